@@ -14,15 +14,20 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arearisk.functions.nulls import finite_or_null
+from arearisk.operators import breaks
 from arearisk.operators.breaks import solve
 from arearisk.operators.quantiles import exact_quantiles
 from arearisk.scratch import materialize
 
+# The helper travels with the task, so workers need no copy of this package.
+cloudpickle.register_pickle_by_value(breaks)
+
 BINS = 4096
 EXACT_ROWS = 50_000  # groups (or remainders) up to this many rows use their values as bins
 

@@ -56,7 +56,7 @@ def polygon_edges(layer: DataFrame, feature: str, rings: str) -> DataFrame:
 def points_in_polygons(points: DataFrame, point: str, x: str, y: str,
                        layer: DataFrame, feature: str, rings: str) -> DataFrame:
     """Distinct (point, feature) pairs with the point inside the feature."""
-    edges = materialize(polygon_edges(layer, feature, rings), "polygon-edges")
+    edges = polygon_edges(layer, feature, rings)
     boxes = materialize(
         edges.groupBy("feature").agg(
             F.min(F.least("x1", "x2")).alias("xmin"), F.max(F.greatest("x1", "x2")).alias("xmax"),
@@ -103,12 +103,16 @@ def points_in_polygons(points: DataFrame, point: str, x: str, y: str,
         band(F.col("py"), F.col("ymin"), F.col("band_height"), F.col("bands")).alias("band"),
     )
     shape = boxes.select("feature", "ymin", "band_height", "bands")
-    banded = edges.join(shape, "feature").select(
-        "feature", "x1", "y1", "x2", "y2",
-        F.explode(F.sequence(
-            band(F.least("y1", "y2"), F.col("ymin"), F.col("band_height"), F.col("bands")),
-            band(F.greatest("y1", "y2"), F.col("ymin"), F.col("band_height"), F.col("bands")),
-        )).alias("band"),
+    # Stored after the explode, so that the planner sees the size of what it may broadcast.
+    banded = materialize(
+        edges.join(shape, "feature").select(
+            "feature", "x1", "y1", "x2", "y2",
+            F.explode(F.sequence(
+                band(F.least("y1", "y2"), F.col("ymin"), F.col("band_height"), F.col("bands")),
+                band(F.greatest("y1", "y2"), F.col("ymin"), F.col("band_height"), F.col("bands")),
+            )).alias("band"),
+        ),
+        "polygon-edge-bands",
     )
     crosses = ((banded["y1"] > pairs["py"]) != (banded["y2"] > pairs["py"])) & (
         pairs["px"] < (banded["x2"] - banded["x1"]) * (pairs["py"] - banded["y1"]) / (banded["y2"] - banded["y1"]) + banded["x1"]
