@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from arearisk.functions.nulls import finite_or_null
 from arearisk.operators import breaks
 from arearisk.operators.breaks import solve
+from arearisk.operators.joins import attach
 from arearisk.operators.quantiles import exact_quantiles
 from arearisk.scratch import materialize
 
@@ -32,14 +33,6 @@ BINS = 4096
 EXACT_ROWS = 50_000  # groups (or remainders) up to this many rows use their values as bins
 
 
-def _match(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> Column:
-    cond = None
-    for c in keys:
-        one = a[c].eqNullSafe(b[c])
-        cond = one if cond is None else cond & one
-    return cond
-
-
 def natural_breaks(df: DataFrame, value: str, k: int = 5, by: Sequence[str] = (),
                    bins: int = BINS, exact_rows: int = EXACT_ROWS) -> DataFrame:
     """Least-squares class limits per group.
@@ -91,11 +84,11 @@ def natural_breaks(df: DataFrame, value: str, k: int = 5, by: Sequence[str] = ()
     first = True
     while True:
         on = keys if first else [*keys, "bin"]
-        sub = F.least(F.floor((rows["x"] - level["lo"]) / level["width"]), level["parts"] - 1)
-        located = rows.join(level, _match(rows, level, on)).select(
-            *[rows[c] for c in keys], rows["x"], level["centre"],
-            F.when(level["exact"], level["base"]).otherwise(level["base"] + sub).cast("long").alias("bin"),
-            F.when(level["exact"], rows["x"]).alias("exact_value"),
+        sub = F.least(F.floor((F.col("x") - F.col("lo")) / F.col("width")), F.col("parts") - 1)
+        located = attach(rows, level, on, "inner", null_safe=True).select(
+            *keys, "x", "centre",
+            F.when(F.col("exact"), F.col("base")).otherwise(F.col("base") + sub).cast("long").alias("bin"),
+            F.when(F.col("exact"), F.col("x")).alias("exact_value"),
         )
         off = F.col("x") - F.col("centre")
         atoms = located.groupBy(*keys, "bin", "exact_value").agg(
@@ -110,7 +103,7 @@ def natural_breaks(df: DataFrame, value: str, k: int = 5, by: Sequence[str] = ()
             break
         level = materialize(open_bins.select(*keys, "bin", "centre", "lo", "width", "parts", "base", "exact"), "break-level")
         closed = solved.filter("not open").select(*keys, *atom_cols)
-        in_doubt = located.join(level.select(*keys, "bin"), _match(located, level, [*keys, "bin"]), "left_semi")
+        in_doubt = attach(located, level.select(*keys, "bin"), [*keys, "bin"], "left_semi", null_safe=True)
         rows = materialize(in_doubt.select(*keys, "x", "bin"), "break-rows")
         first = False
 
@@ -164,8 +157,7 @@ def classify(df: DataFrame, value: str, out: str | None = None, k: int = 5, by:
     find = {"natural": natural_breaks, "quantile": quantile_breaks}[method]
     limits = materialize(find(df, value, k, by, **kw), "class-limits")
     if by:
-        wide = df.join(limits, _match(df, limits, by), "left").select(
-            *[df[c] for c in df.columns], "n_classes", "lowers", "uppers")
+        wide = attach(df, limits, by, null_safe=True)
     else:
         # Without groups the limits are exactly one row.
         wide = df.crossJoin(F.broadcast(limits)) if not limits.isEmpty() else df.select(

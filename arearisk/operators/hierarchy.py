@@ -83,13 +83,7 @@ def worst_of(df: DataFrame, parent: str | Sequence[str], measures: Sequence[Meas
         return worst
     named = df.select(*by, *([weight] if weight else []), *[F.col(m.value).alias(m.name) for m in valued])
     mid = medians(named, [m.name for m in valued], by, weight)
-    cond = None
-    for c in by:
-        one = worst[c].eqNullSafe(mid[c])
-        cond = one if cond is None else cond & one
-    return worst.join(mid, cond, "left").select(
-        *[worst[c] for c in worst.columns], *[mid[c] for c in mid.columns if c not in by]
-    )
+    return attach(worst, mid, by, null_safe=True)
 
 
 def roll_up_worst(df: DataFrame, lookup: DataFrame, child: str, parent: str, measures: Sequence[Measure],

@@ -8,28 +8,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arearisk.functions.nulls import sd_or_zero
+from arearisk.operators.joins import attach
 from arearisk.operators.quantiles import quantile_columns
 from arearisk.scratch import materialize
 
 
-def _same(a: DataFrame, b: DataFrame, by: Sequence[str]):
-    cond = None
-    for c in by:
-        one = a[c].eqNullSafe(b[c])
-        cond = one if cond is None else cond & one
-    return cond
-
-
-def _join_stats(a: DataFrame, b: DataFrame, by: Sequence[str]) -> DataFrame:
-    extra = [c for c in b.columns if c not in by]
-    return a.join(b, _same(a, b, by)).select(*[a[c] for c in a.columns], *[b[c] for c in extra])
-
-
 def six_numbers(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     """Minimum, quartiles, mean and maximum per group."""
     quart = quantile_columns(df, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by)
     rest = df.groupBy(*by).agg(F.min(value).alias("minimum"), F.avg(value).alias("mean"), F.max(value).alias("maximum"))
-    return _join_stats(rest, quart, by).select(*by, "minimum", "q1", "median", "mean", "q3", "maximum")
+    return attach(rest, quart, by, null_safe=True).select(*by, "minimum", "q1", "median", "mean", "q3", "maximum")
 
 
 def histogram(df: DataFrame, value: str, width: float, by: Sequence[str] = ()) -> DataFrame:
@@ -48,7 +36,7 @@ def box(df: DataFrame, value: str, by: Sequence[str], reach: float = 1.5) -> Dat
     quart = materialize(quantile_columns(rows, "x", {"q1": 0.25, "median": 0.5, "q3": 0.75}, by), "box-quartiles")
     span = (F.col("q3") - F.col("q1")) * F.lit(reach)
     inside = (F.col("x") >= F.col("q1") - span) & (F.col("x") <= F.col("q3") + span)
-    return _join_stats(rows, quart, by).groupBy(*by).agg(
+    return attach(rows, quart, by, "inner", null_safe=True).groupBy(*by).agg(
         F.first("q1").alias("q1"),
         F.first("median").alias("median"),
         F.first("q3").alias("q3"),
@@ -62,7 +50,7 @@ def spread(df: DataFrame, value: str, by: Sequence[str], centre: str = "median")
     """Centre with one standard deviation to each side."""
     if centre == "median":
         sd = df.groupBy(*by).agg(sd_or_zero(value).alias("sd"))
-        out = _join_stats(sd, quantile_columns(df, value, {"centre": 0.5}, by), by)
+        out = attach(sd, quantile_columns(df, value, {"centre": 0.5}, by), by, null_safe=True)
     else:
         out = df.groupBy(*by).agg(F.avg(value).alias("centre"), sd_or_zero(value).alias("sd"))
     return out.select(

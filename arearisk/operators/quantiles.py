@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arearisk.functions.nulls import finite_or_null
+from arearisk.operators.joins import attach
 from arearisk.scratch import materialize
 
 SKETCH_ACCURACY = 10_000
@@ -58,11 +59,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     ])
     plan = sketch.select(*by, "n", brackets.alias("brackets"))
     if by:
-        cond = None
-        for c in by:
-            one = rows[c].eqNullSafe(plan[c])
-            cond = one if cond is None else cond & one
-        paired = rows.join(plan, cond).select(*[rows[c] for c in by], "x", "w", "n", "brackets")
+        paired = attach(rows, plan, by, "inner", null_safe=True)
     else:
         # The ungrouped sketch has exactly one row.
         paired = rows.crossJoin(F.broadcast(plan))

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arearisk.functions.nulls import ratio, strict_sum
+from arearisk.operators.joins import attach
 
 
 def crosstab(df: DataFrame, key: str | Sequence[str], category: str, values: Sequence[str],
@@ -79,10 +80,7 @@ def fill_down(df: DataFrame, by: Sequence[str], order: str, value: str, out: str
     earlier = Window.partitionBy(*by).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
     carried = ends.withColumn("__carry", F.last("__end", ignorenulls=True).over(earlier)).drop("__end")
     inside = Window.partitionBy(*by, "__block").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    cond: Column = cut["__block"] == carried["__block"]
-    for c in by:
-        cond = cond & cut[c].eqNullSafe(carried[c])
-    joined = cut.join(carried, cond, "left").select(*[cut[c] for c in cut.columns], carried["__carry"])
+    joined = attach(cut, carried, [*by, "__block"], null_safe=True)
     filled = joined.withColumn(out, F.coalesce(F.last(value, ignorenulls=True).over(inside), F.col("__carry")))
     return filled.drop("__block", "__carry")
 
