@@ -10,6 +10,7 @@ from arearisk.operators.classify import classify, natural_breaks
 from arearisk.operators.hierarchy import roll_up_rate
 from arearisk.operators.reshape import crosstab, share
 from arearisk.plans import nations as NP
+from arearisk.scratch import materialize
 from workload.areas import AREA_EVENTS_SQL, area_events
 from workload.base import (
     LADDER_SQL, LADS_SQL, big, breaks_sql, class_sql, country_sql, ladder, lads, rnd, sql_rnd, strict_sql, table,
@@ -157,11 +158,21 @@ def nation_inputs(spark, sf) -> NP.Inputs:
     per_lad = sup.groupBy("lad_code").agg(
         F.count(F.when(F.col("s_acctbal") > 4000, 1)).alias("sec95"), F.sum(F.col("s_suppkey") % 7).alias("digital_total_mult"),
         F.avg("s_acctbal").alias("hle_birth"), F.count(F.when(F.col("s_acctbal") < 0, 1)).alias("debts"))
-    lad19 = F.col("lad_code").alias("lad19cd")
-    return NP.Inputs(
-        areas=l.select("area_code").distinct(), fires=fires, floods=floods,
+    # Processed tables are stored before the nation plan reads them, as they are in production.
+    def stored(**frames):
+        return {name: materialize(df, f"processed-{name}") for name, df in frames.items()}
+
+    keep = stored(
+        fires=fires, floods=floods, alone=alone, per_lad=per_lad, deciles=deciles,
+        lookup=l.select("lsoa", "area_code", "lad_code", "lad_name"),
         loneliness=l.groupBy("area_code").agg(F.avg("c_acctbal").alias("loneills_2018")),
-        alone=alone, deciles=deciles, lookup=l.select("lsoa", "area_code", "lad_code", "lad_name"),
+        service_fires=small.join(l, "lsoa").filter(F.col("n_regionkey") == 1).groupBy(
+            F.concat(F.lit("W5"), (F.col("n_nationkey") % 2).cast("string")).alias("service_code")).agg(
+            (F.sum("n_fires") / F.sum("n_people")).alias("dens_fires")),
+    )
+    per_lad, lad19 = keep.pop("per_lad"), F.col("lad_code").alias("lad19cd")
+    return NP.Inputs(
+        areas=keep["lookup"].select("area_code").distinct(), **keep,
         lad_successor=lad.select("lad_code", merged.alias("lad19cd")),
         displacement=per_lad.select(lad19, "sec95"), digital=per_lad.select("lad_code", "digital_total_mult"),
         life=per_lad.select("lad_code", "hle_birth"),
@@ -172,9 +183,6 @@ def nation_inputs(spark, sf) -> NP.Inputs:
         service_lookup=lad.filter(F.col("n_regionkey") == 1).select(
             "lad_code", F.concat(F.lit("W5"), (F.col("n_nationkey") % 2).cast("string")).alias("service_code"),
             F.concat(F.lit("Service "), (F.col("n_nationkey") % 2).cast("string")).alias("service_name")),
-        service_fires=small.join(l, "lsoa").filter(F.col("n_regionkey") == 1).groupBy(
-            F.concat(F.lit("W5"), (F.col("n_nationkey") % 2).cast("string")).alias("service_code")).agg(
-            (F.sum("n_fires") / F.sum("n_people")).alias("dens_fires")),
     )
 
 
