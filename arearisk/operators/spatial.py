@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arearisk.operators.joins import attach
+from arearisk.operators.joins import attach, union_filled
 from arearisk.scratch import materialize
 
 MIN_LEVEL, MAX_LEVEL = -20, 43  # cell side = 1024 / 2**level; at most 64 levels
@@ -133,9 +133,12 @@ def polygon_flags(layer: DataFrame, feature: str, rings: str,
 
     Point sets map a column name to (points, id column, x column, y column).
     """
-    out = layer.select(feature).distinct()
-    for name, (points, pid, x, y) in point_sets.items():
-        found = points_in_polygons(points, pid, x, y, layer, feature, rings).select(feature).distinct()
-        marked = attach(out, found.withColumn("__hit", F.lit(True)), feature)
-        out = marked.withColumn(name, F.when(F.col("__hit"), "Yes").otherwise("No")).drop("__hit")
-    return out
+    tagged = union_filled(*[
+        points.select(F.struct(F.lit(name).alias("set"), F.col(pid).cast("string").alias("id")).alias("point"),
+                      F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+        for name, (points, pid, x, y) in point_sets.items()
+    ])
+    found = points_in_polygons(tagged, "point", "x", "y", layer, feature, rings)
+    hits = found.groupBy(feature).agg(*[F.max(F.col("point.set") == n).alias(n) for n in point_sets])
+    marked = attach(layer.select(feature).distinct(), hits, feature)
+    return marked.select(feature, *[F.when(F.col(n), "Yes").otherwise("No").alias(n) for n in point_sets])

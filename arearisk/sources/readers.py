@@ -28,16 +28,19 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType) -
 
 
 def read_sheets(spark: SparkSession, path: str | list[str], columns: Mapping[str, tuple[str, T.DataType]],
-                skip: int = 0, separator: str = ",") -> DataFrame:
+                skip: int = 0, separator: str = ",", tag: str = "file") -> DataFrame:
     """Worksheets staged as one CSV file each, with `skip` title rows above the header.
 
-    `columns` maps header texts to (name, type). Adds `sheet`, the file name
-    without its ending, and `row_no`, the row order a worksheet has. One file
-    is one row of text first: a worksheet ends at 1,048,576 rows, so that is
-    bounded; sheets are read in parallel, however many there are.
+    `columns` maps header texts to (name, type). Adds `sheet`, the name of the
+    file without its ending (or of its folder, with `tag="folder"`), and
+    `row_no`, the row order a worksheet has. One file is one row of text
+    first: a worksheet ends at 1,048,576 rows, so that is bounded; sheets are
+    read in parallel, however many there are.
     """
+    name = {"file": F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", ""),
+            "folder": F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1)}[tag]
     files = spark.read.text(path, wholetext=True).select(
-        F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "").alias("sheet"),
+        name.alias("sheet"),
         F.split(F.regexp_replace("value", "^﻿", ""), "\r?\n").alias("lines"),
     )
     heads = files.select(F.get("lines", F.lit(skip)).alias("h")).limit(1).collect()

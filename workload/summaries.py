@@ -75,7 +75,7 @@ def inequality_summary(spark, sf):
     return out.select("country", "domain", "indicator", *[rnd(c).alias(c) for c in ("max", "min", "diff", "mean_diff")])
 
 
-@query("SELECT unnest(['Balance', 'Fires', 'Price']) AS indicator FROM (SELECT count(*) FROM orders)")
+@query(f"WITH {_LONG_SQL} SELECT DISTINCT indicator FROM long")
 def indicator_list(spark, sf):
     return I.indicator_list(_extremes(spark, sf))
 
