@@ -61,7 +61,7 @@ def _centroid(n, s, i, j, empty):
         return np.where(m > 0, (s[j] - s[i]) / m, empty)
 
 
-def solve(n, s, q, lo, hi, k: int, tighten: int = 6) -> tuple[np.ndarray, np.ndarray]:
+def solve(n, s, q, lo, hi, k: int, closed=None, tighten: int = 6) -> tuple[np.ndarray, np.ndarray]:
     """Class (from the bottom, 0-based) of every bin, and whether a break may lie inside it.
 
     Values are relative to any fixed centre. In the best solution a break lies
@@ -72,7 +72,8 @@ def solve(n, s, q, lo, hi, k: int, tighten: int = 6) -> tuple[np.ndarray, np.nda
     breaks in one bin. So edge solutions credited with that amount per break
     are a lower bound, and a bin is closed once no credited solution through
     its edges beats the best edge solution. Knowing where the neighbouring
-    breaks can be bounds the gap, which is used to tighten the credit.
+    breaks can be bounds the gap, which is used to tighten the credit. Bins
+    marked `closed` were settled before and stay so.
     """
     d = len(n)
     if d <= k and bool(np.all(hi <= lo)):
@@ -97,6 +98,8 @@ def solve(n, s, q, lo, hi, k: int, tighten: int = 6) -> tuple[np.ndarray, np.nda
         right = left
 
     wide = hi > lo
+    if closed is not None:
+        wide &= ~closed
     if k < 2 or not wide.any():
         return cls, np.zeros(d, dtype=bool)
     limit = best + 1e-9 * max(first[d], 1e-300)

@@ -65,11 +65,11 @@ def natural_breaks(df: DataFrame, value: str, k: int = 5, by: Sequence[str] = ()
         ("q", T.DoubleType()), ("lo", T.DoubleType()), ("hi", T.DoubleType()), ("cls", T.IntegerType()),
         ("open", T.BooleanType()), ("width", T.DoubleType()), ("parts", T.IntegerType()),
         ("base", T.LongType()), ("exact", T.BooleanType()))]])
-    atom_cols = ["bin", "centre", "n", "s", "q", "lo", "hi"]
+    atom_cols = ["bin", "centre", "n", "s", "q", "lo", "hi", "closed"]
 
     def solve_group(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("lo", kind="stable").reset_index(drop=True)
-        cls, open_ = solve(*(pdf[c].to_numpy(float) for c in ("n", "s", "q", "lo", "hi")), k)
+        cls, open_ = solve(*(pdf[c].to_numpy(float) for c in ("n", "s", "q", "lo", "hi")), k, pdf["closed"].to_numpy(bool))
         count = int(open_.sum())
         parts = max(2, bins // count) if count else 2
         pdf["cls"], pdf["open"] = cls, open_
@@ -95,14 +95,14 @@ def natural_breaks(df: DataFrame, value: str, k: int = 5, by: Sequence[str] = ()
             F.first("centre").alias("centre"),
             F.count(F.lit(1)).cast("double").alias("n"), F.sum(off).alias("s"), F.sum(off * off).alias("q"),
             F.min("x").alias("lo"), F.max("x").alias("hi"),
-        ).select(*keys, *atom_cols)
+        ).withColumn("closed", F.lit(False)).select(*keys, *atom_cols)
         state = atoms if closed is None else atoms.unionByName(closed)
         solved = materialize(state.groupBy(*keys).applyInPandas(solve_group, solved_schema), "break-bins")
         open_bins = solved.filter("open")
         if open_bins.isEmpty():
             break
         level = materialize(open_bins.select(*keys, "bin", "centre", "lo", "width", "parts", "base", "exact"), "break-level")
-        closed = solved.filter("not open").select(*keys, *atom_cols)
+        closed = solved.filter("not open").withColumn("closed", F.lit(True)).select(*keys, *atom_cols)
         in_doubt = attach(located, level.select(*keys, "bin"), [*keys, "bin"], "left_semi", null_safe=True)
         rows = materialize(in_doubt.select(*keys, "x", "bin"), "break-rows")
         first = False
@@ -138,15 +138,13 @@ def class_of(value: Column, n_classes: Column, uppers: Column, k: int, ascending
     return F.when(value.isNotNull() & n_classes.isNotNull(), cls.cast("int"))
 
 
-def class_label(value: Column, n_classes: Column, lowers: Column, uppers: Column, k: int, pattern: str = "%.6g") -> Column:
-    """Interval text of the value's class: lowest class closed on both sides, others (low, high]."""
-    idx = class_of(value, n_classes, uppers, k, ascending=True)
-    low = F.when(idx == 1, F.get(lowers, F.lit(0))).otherwise(F.get(uppers, idx - 2))
-    opening = F.when(idx == 1, "[").otherwise("(")
-    return F.when(
-        idx.isNotNull(),
-        F.concat(opening, F.format_string(f"{pattern}, {pattern}]", low, F.get(uppers, idx - 1))),
-    )
+def class_labels(lowers: Column, uppers: Column, pattern: str = "%.6g") -> Column:
+    """Interval texts of all classes: the lowest is closed on both sides, others are (low, high]."""
+    def text(u: Column, i: Column) -> Column:
+        low = F.when(i == 0, F.get(lowers, F.lit(0))).otherwise(F.get(uppers, i - 1))
+        return F.concat(F.when(i == 0, "[").otherwise("("), F.format_string(f"{pattern}, {pattern}]", low, u))
+
+    return F.transform(uppers, text)
 
 
 def classify(df: DataFrame, value: str, out: str | None = None, k: int = 5, by: Sequence[str] = (),
@@ -155,20 +153,25 @@ def classify(df: DataFrame, value: str, out: str | None = None, k: int = 5, by:
     """Add `<out>_q`, the class of `value` within its group, and `<out>_q_name`, its interval."""
     out, by = out or value, list(by)
     find = {"natural": natural_breaks, "quantile": quantile_breaks}[method]
-    limits = materialize(find(df, value, k, by, **kw), "class-limits")
+    limits = find(df, value, k, by, **kw).withColumn(
+        "__labels", class_labels(F.col("lowers"), F.col("uppers"), label_pattern)
+    ).drop("lowers").withColumnsRenamed({"n_classes": "__classes", "uppers": "__uppers"})
     if by:
-        wide = attach(df, limits, by, null_safe=True)
+        wide = attach(df, materialize(limits, "class-limits"), by, null_safe=True)
     else:
-        # Without groups the limits are exactly one row.
-        wide = df.crossJoin(F.broadcast(limits)) if not limits.isEmpty() else df.select(
-            "*", F.lit(None).cast("int").alias("n_classes"),
-            F.lit(None).cast("array<double>").alias("lowers"), F.lit(None).cast("array<double>").alias("uppers"))
-    x = finite_or_null(value)
-    wide = wide.withColumn(f"{out}_q", class_of(x, F.col("n_classes"), F.col("uppers"), k, ascending))
+        # Without groups the limits are one row of at most k classes; they become literals.
+        one = limits.first()
+        n, uppers, labels = (one["__classes"], one["__uppers"], one["__labels"]) if one else (None, None, None)
+        wide = df.withColumns({
+            "__classes": F.lit(n).cast("int"),
+            "__uppers": F.array(*map(F.lit, uppers)) if uppers else F.lit(None).cast("array<double>"),
+            "__labels": F.array(*map(F.lit, labels)) if labels else F.lit(None).cast("array<string>")})
+    cls = class_of(finite_or_null(value), F.col("__classes"), F.col("__uppers"), k, ascending)
+    wide = wide.withColumn(f"{out}_q", cls)
     if label:
-        wide = wide.withColumn(
-            f"{out}_q_name", class_label(x, F.col("n_classes"), F.col("lowers"), F.col("uppers"), k, label_pattern))
-    return wide.drop("n_classes", "lowers", "uppers")
+        from_bottom = F.col(f"{out}_q") - 1 if ascending else F.col("__classes") - F.col(f"{out}_q")
+        wide = wide.withColumn(f"{out}_q_name", F.get("__labels", from_bottom))
+    return wide.drop("__classes", "__uppers", "__labels")
 
 
 def pivot_limits(limits: DataFrame, indicator: str, names: Sequence[str], by: Sequence[str]) -> DataFrame:

@@ -39,14 +39,11 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     lows = [max(0.0, p - margin) for p in probs]
     highs = [min(1.0, p + margin) for p in probs]
     sketched = rows.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("w")))) if weight else rows
-    sketch = materialize(
-        sketched.groupBy(*by).agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min("x").alias("least"),
-            F.max("x").alias("most"),
-            F.percentile_approx("x", lows + highs, accuracy).alias("cut"),
-        ),
-        "quantile-sketch",
+    sketch = sketched.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("x").alias("least"),
+        F.max("x").alias("most"),
+        F.percentile_approx("x", lows + highs, accuracy).alias("cut"),
     )
     whole = F.col("n") <= small_group
     brackets = F.array(*[
@@ -59,10 +56,13 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     ])
     plan = sketch.select(*by, "n", brackets.alias("brackets"))
     if by:
-        paired = attach(rows, plan, by, "inner", null_safe=True)
+        paired = attach(rows, materialize(plan, "quantile-sketch"), by, "inner", null_safe=True)
     else:
-        # The ungrouped sketch has exactly one row.
-        paired = rows.crossJoin(F.broadcast(plan))
+        # The ungrouped sketch is one row of a few numbers; they become literals.
+        one = plan.first()
+        ends = F.array(*[
+            F.struct(*[F.lit(b[f]).cast("double").alias(f) for f in ("prob", "lo", "hi")]) for b in one["brackets"]])
+        paired = rows.withColumns({"n": F.lit(one["n"]), "brackets": ends})
     # Everything below a bracket collapses into one counted row per group.
     counted = (
         paired.withColumn("b", F.explode(F.filter("brackets", lambda b: F.col("x") <= b["hi"])))

@@ -15,6 +15,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_stored: list[str] = []
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder named in `spark.checkpoint.dir`; a temporary one only in local mode."""
     sc = spark.sparkContext
@@ -39,4 +42,15 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
+    _stored.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the tables this process stored; call it when their results are written."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    gone = 0
+    while _stored:
+        path = jvm.org.apache.hadoop.fs.Path(_stored.pop())
+        gone += bool(path.getFileSystem(conf).delete(path, True))
+    return gone
