@@ -79,16 +79,18 @@ def read_placemarks(spark: SparkSession, paths: Mapping[str, str], row_tag: str
     return out
 
 
-_FEATURE = "type string, properties {props}, geometry struct<type: string, coordinates: string>"
+# Coordinates are read as text first, as their depth depends on the kind of shape.
+_GEOMETRY = T.StructType([T.StructField("type", T.StringType()), T.StructField("coordinates", T.StringType())])
 _POLYGON = "array<array<array<double>>>"
 _MULTI = "array<array<array<array<double>>>>"
 
 
 def _features(spark: SparkSession, path: str, properties: T.StructType, layout: str) -> DataFrame:
-    feature = _FEATURE.format(props=properties.simpleString())
+    feature = T.StructType([
+        T.StructField("type", T.StringType()), T.StructField("properties", properties), T.StructField("geometry", _GEOMETRY)])
     if layout == "document":
-        doc = spark.read.schema(f"features array<struct<{feature.replace(' string', ':string').replace('properties ', 'properties:').replace('geometry ', 'geometry:')}>>")
-        return doc.json(path, multiLine=True).select(F.explode("features").alias("f"))
+        doc = T.StructType([T.StructField("features", T.ArrayType(feature))])
+        return spark.read.schema(doc).json(path, multiLine=True).select(F.explode("features").alias("f"))
     if layout == "lines":
         line = F.regexp_replace(F.trim("value"), ",$", "")
         text = spark.read.text(path).filter(F.col("value").rlike(r'"type"\s*:\s*"Feature"'))
