@@ -31,6 +31,14 @@ cloudpickle.register_pickle_by_value(breaks)
 
 BINS = 4096
 EXACT_ROWS = 50_000  # groups (or remainders) up to this many rows use their values as bins
+TINY = 5e-324  # smallest positive double, keeps divisors off zero
+
+# Bins of one group after a round: their sums, class, and how to cut the ones still open.
+SOLVED = T.StructType([T.StructField(c, t) for c, t in (
+    ("gid", T.LongType()), ("bin", T.LongType()), ("centre", T.DoubleType()), ("n", T.DoubleType()), ("s", T.DoubleType()),
+    ("q", T.DoubleType()), ("lo", T.DoubleType()), ("hi", T.DoubleType()), ("cls", T.IntegerType()),
+    ("open", T.BooleanType()), ("width", T.DoubleType()), ("parts", T.IntegerType()), ("base", T.LongType()),
+    ("exact", T.BooleanType()))])
 
 
 def natural_breaks(df: DataFrame, value: str, k: int = 5, by: Sequence[str] = (),
@@ -42,30 +50,35 @@ def natural_breaks(df: DataFrame, value: str, k: int = 5, by: Sequence[str] = ()
     distinct values get one class per value.
     """
     by = list(by)
-    keys = by or ["__all"]
     rows = df.select(*by, finite_or_null(value).alias("x")).filter(F.col("x").isNotNull())
+    keys = by or ["__all"]
     if not by:
         rows = rows.withColumn("__all", F.lit(0))
-    stats = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.avg("x").alias("centre"), F.min("x").alias("lo"), F.max("x").alias("hi")
+    ranges = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.avg("x").alias("centre"), F.min("x").alias("lo"), F.max("x").alias("hi"),
+        F.stddev_pop("x").alias("sd"),
     )
-    level = materialize(
-        stats.select(
-            *keys, "centre", "lo",
-            F.greatest((F.col("hi") - F.col("lo")) / F.lit(float(bins)), F.lit(5e-324)).alias("width"),
-            F.lit(bins).alias("parts"), F.lit(0).cast("long").alias("base"),
-            (F.col("n") <= exact_rows).alias("exact"),
-        ),
-        "break-range",
+    # First bins are even on a scale that is linear near the mean and logarithmic far from it,
+    # so long tails do not push everything into a few bins. log1p keeps the order of its inputs.
+    unit = F.greatest(F.col("sd") / 16, (F.col("hi") - F.col("lo")) / F.lit(1e9), F.lit(TINY))
+
+    def scaled(c: Column) -> Column:
+        u = (c - F.col("centre")) / F.col("unit")
+        return F.signum(u) * F.log1p(F.abs(u))
+
+    start = ranges.withColumn("unit", unit).select(
+        *keys, F.monotonically_increasing_id().alias("gid"), "centre", "unit", scaled(F.col("lo")).alias("from"),
+        F.greatest((scaled(F.col("hi")) - scaled(F.col("lo"))) / F.lit(float(bins)), F.lit(TINY)).alias("width"),
+        (F.col("n") <= exact_rows).alias("exact"),
     )
-    rows = rows.withColumn("bin", F.lit(0).cast("long"))
-    key_fields = [rows.schema[c] for c in keys]
-    solved_schema = T.StructType([*key_fields, *[T.StructField(c, t) for c, t in (
-        ("bin", T.LongType()), ("centre", T.DoubleType()), ("n", T.DoubleType()), ("s", T.DoubleType()),
-        ("q", T.DoubleType()), ("lo", T.DoubleType()), ("hi", T.DoubleType()), ("cls", T.IntegerType()),
-        ("open", T.BooleanType()), ("width", T.DoubleType()), ("parts", T.IntegerType()),
-        ("base", T.LongType()), ("exact", T.BooleanType()))]])
-    atom_cols = ["bin", "centre", "n", "s", "q", "lo", "hi", "closed"]
+    start = materialize(start, "break-range")  # stored, so the group numbers are fixed
+    first = F.least(F.greatest(F.floor((scaled(F.col("x")) - F.col("from")) / F.col("width")), F.lit(0)), F.lit(bins - 1))
+    located = attach(rows, start, keys, "inner", null_safe=True).select(
+        "gid", "x", "centre",
+        F.when(F.col("exact"), 0).otherwise(first).cast("long").alias("bin"),
+        F.when(F.col("exact"), F.col("x")).alias("exact_value"),
+    )
+    atom_cols = ["gid", "bin", "centre", "n", "s", "q", "lo", "hi", "closed"]
 
     def solve_group(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("lo", kind="stable").reset_index(drop=True)
@@ -73,43 +86,42 @@ def natural_breaks(df: DataFrame, value: str, k: int = 5, by: Sequence[str] = ()
         count = int(open_.sum())
         parts = max(2, bins // count) if count else 2
         pdf["cls"], pdf["open"] = cls, open_
-        pdf["width"] = np.maximum((pdf["hi"] - pdf["lo"]) / parts, 5e-324)
+        pdf["width"] = np.maximum((pdf["hi"] - pdf["lo"]) / parts, TINY)
         pdf["parts"] = parts
         round_no = int(pdf["bin"].max() >> 40) + 1
         pdf["base"] = (np.int64(round_no) << 40) + np.where(open_, np.cumsum(open_) - 1, 0).astype(np.int64) * parts
         pdf["exact"] = bool(pdf.loc[open_, "n"].sum() <= exact_rows)
-        return pdf[[f.name for f in solved_schema]]
+        return pdf[SOLVED.names]
 
     closed = None
-    first = True
     while True:
-        on = keys if first else [*keys, "bin"]
-        sub = F.least(F.floor((F.col("x") - F.col("lo")) / F.col("width")), F.col("parts") - 1)
-        located = attach(rows, level, on, "inner", null_safe=True).select(
-            *keys, "x", "centre",
-            F.when(F.col("exact"), F.col("base")).otherwise(F.col("base") + sub).cast("long").alias("bin"),
-            F.when(F.col("exact"), F.col("x")).alias("exact_value"),
-        )
         off = F.col("x") - F.col("centre")
-        atoms = located.groupBy(*keys, "bin", "exact_value").agg(
+        atoms = located.groupBy("gid", "bin", "exact_value").agg(
             F.first("centre").alias("centre"),
             F.count(F.lit(1)).cast("double").alias("n"), F.sum(off).alias("s"), F.sum(off * off).alias("q"),
             F.min("x").alias("lo"), F.max("x").alias("hi"),
-        ).withColumn("closed", F.lit(False)).select(*keys, *atom_cols)
+        ).withColumn("closed", F.lit(False)).select(*atom_cols)
         state = atoms if closed is None else atoms.unionByName(closed)
-        solved = materialize(state.groupBy(*keys).applyInPandas(solve_group, solved_schema), "break-bins")
+        solved = materialize(state.groupBy("gid").applyInPandas(solve_group, SOLVED), "break-bins")
         open_bins = solved.filter("open")
         if open_bins.isEmpty():
             break
-        level = materialize(open_bins.select(*keys, "bin", "centre", "lo", "width", "parts", "base", "exact"), "break-level")
-        closed = solved.filter("not open").withColumn("closed", F.lit(True)).select(*keys, *atom_cols)
-        in_doubt = attach(located, level.select(*keys, "bin"), [*keys, "bin"], "left_semi", null_safe=True)
-        rows = materialize(in_doubt.select(*keys, "x", "bin"), "break-rows")
-        first = False
+        closed = solved.filter("not open").withColumn("closed", F.lit(True)).select(*atom_cols)
+        level = materialize(
+            open_bins.select("gid", "bin", F.col("lo").alias("from"), "width", "parts", "base", "exact"), "break-level")
+        in_doubt = materialize(
+            attach(located.select("gid", "bin", "x", "centre"), level.select("gid", "bin"), ["gid", "bin"], "left_semi"), "break-rows")
+        sub = F.least(F.floor((F.col("x") - F.col("from")) / F.col("width")), F.col("parts") - 1)
+        located = attach(in_doubt, level, ["gid", "bin"], "inner").select(
+            "gid", "x", "centre",
+            F.when(F.col("exact"), F.col("base")).otherwise(F.col("base") + sub).cast("long").alias("bin"),
+            F.when(F.col("exact"), F.col("x")).alias("exact_value"),
+        )
 
-    per_class = solved.groupBy(*keys, "cls").agg(F.min("lo").alias("lower"), F.max("hi").alias("upper"))
+    per_class = solved.groupBy("gid", "cls").agg(F.min("lo").alias("lower"), F.max("hi").alias("upper"))
     ordered = F.array_sort(F.collect_list(F.struct("cls", "lower", "upper")))  # at most k entries
-    return per_class.groupBy(*keys).agg(ordered.alias("c")).select(
+    limits = per_class.groupBy("gid").agg(ordered.alias("c"))
+    return attach(limits, start.select("gid", *by), "gid", "inner").select(
         *by, F.size("c").alias("n_classes"), F.col("c.lower").alias("lowers"), F.col("c.upper").alias("uppers")
     )
 
