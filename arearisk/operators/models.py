@@ -259,6 +259,11 @@ def lines_by_group(df: DataFrame, y: str, x: str, by: Sequence[str]) -> DataFram
 
 # ---- count models ----------------------------------------------------------
 
+def _exp(v: float) -> float | None:
+    """exp, missing where the result leaves the range of doubles."""
+    return math.exp(v) if v < 700 else None
+
+
 @dataclass(frozen=True)
 class CountFit:
     names: tuple[str, ...]  # the intercept first
@@ -274,7 +279,7 @@ class CountFit:
         se = np.sqrt(np.diag(self.cov))
         return spark.createDataFrame(
             [(t, float(b), float(s), float(b - z * s), float(b + z * s),
-              math.exp(b), math.exp(b - z * s), math.exp(b + z * s)) for t, b, s in zip(self.names, self.coef, se)],
+              _exp(b), _exp(b - z * s), _exp(b + z * s)) for t, b, s in zip(self.names, self.coef, se)],
             "term string, estimate double, std_error double, conf_low double, conf_high double, "
             "rate_ratio double, rate_low double, rate_high double")
 
@@ -322,7 +327,7 @@ def fit_negative_binomial(df: DataFrame, y: str, terms: Terms, max_iter: int = 5
         xwz, xwx = np.array([float(v) for v in r[2:2 + p]]), np.zeros((p, p))
         for (i, j), v in zip(pairs, r[2 + p:]):
             xwx[i, j] = xwx[j, i] = float(v)
-        cov = np.linalg.inv(xwx)
+        cov = np.linalg.pinv(xwx, hermitian=True)  # dependent terms share their effect
         new = cov @ xwz
         new_inv = max(float(r[0]) / float(r[1]), 1e-8)
         moved = max(float(np.max(np.abs(new - coef))), abs(new_inv - inv_theta))

@@ -129,6 +129,15 @@ def test_negative_binomial_matches_reweighted_least_squares(spark, frame, data):
     assert band["lower"] < band["predicted"] < band["upper"]
 
 
+def test_dependent_terms_do_not_break_the_count_model(spark, frame, data):
+    k = data[4]
+    twice = {"a": F.when(F.col("x").isNotNull(), 1.0), "x": F.col("x"), "again": F.col("x")}
+    fit = M.fit_negative_binomial(frame, "k", twice)
+    once = M.fit_negative_binomial(frame, "k", M.numeric_term("x"))
+    assert fit.coef[2] == pytest.approx(once.coef[1] / 2, abs=1e-5) and fit.coef[2] == pytest.approx(fit.coef[3], abs=1e-6)
+    assert fit.coefficients(spark).count() == 4 and fit.n == len(k)
+
+
 def test_lines_by_group_equal_the_interaction_model(spark, frame):
     lines = {r["country"]: r for r in M.lines_by_group(frame, "y", "x", ["country"]).collect()}
     co = {r["term"]: r["estimate"] for r in M.fit_linear(frame, "y", terms(frame)).coefficients(spark).collect()}
