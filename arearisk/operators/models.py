@@ -8,12 +8,13 @@ and leverages are column expressions, so they scale with the rows.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from statistics import NormalDist
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +24,7 @@ from arearisk.scratch import materialize
 
 Terms = dict[str, Column]
 MAX_LEVELS = 64
+MAX_SUMS = 30  # sums per generated aggregation; beyond, the method is too long to be compiled
 
 
 # ---- design ----------------------------------------------------------------
@@ -147,6 +149,43 @@ def _complete(df: DataFrame, y: str, terms: Terms, keep: Sequence[str] = ()) ->
     return rows.dropna("any", subset=["y", *cols]), cols
 
 
+def _arrow_sums(rows: DataFrame, cols: list[str], length: int, per_batch: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """Sum of `per_batch` over all rows, given as Arrow batches; each task returns one vector."""
+    def per_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(length)
+        for batch in batches:
+            total += per_batch(batch.to_numpy(dtype=float))
+        yield pd.DataFrame({"pos": np.arange(length), "v": total})
+
+    parts = rows.select(*cols).mapInPandas(per_task, "pos int, v double").groupBy("pos").agg(F.sum("v").alias("v"))
+    out = np.zeros(length)
+    for r in parts.collect():  # `length` numbers
+        out[r["pos"]] = r["v"]
+    return out
+
+
+def _moments(rows: DataFrame, cols: list[str], means: list[float]) -> np.ndarray:
+    """Matrix of summed cross-products around the given means.
+
+    Few columns are summed in generated code. With many, the generated method
+    would be too long to be compiled, so batches are multiplied with numpy.
+    """
+    p, pairs = len(cols), [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    if len(pairs) > MAX_SUMS:
+        shift = np.array(means)
+
+        def gram(x: np.ndarray) -> np.ndarray:
+            d = x - shift
+            return (d.T @ d).ravel()
+
+        return _arrow_sums(rows, cols, p * p, gram).reshape(p, p)
+    off = [F.col(c) - F.lit(float(m)) for c, m in zip(cols, means)]
+    out = np.zeros((p, p))
+    for (i, j), v in zip(pairs, rows.agg(*[F.sum(off[i] * off[j]) for i, j in pairs]).first()):
+        out[i, j] = out[j, i] = float(v)
+    return out
+
+
 def fit_linear(df: DataFrame, y: str, terms: Terms, prior_sd: float | None = None) -> LinearFit:
     """Least squares, or with `prior_sd` the normal posterior under normal(0, prior_sd) priors.
 
@@ -159,15 +198,8 @@ def fit_linear(df: DataFrame, y: str, terms: Terms, prior_sd: float | None = Non
     n, y_mean, means = int(head[0]), head[1], np.array([float(v) for v in head[2:]] if head[0] else [])
     if n <= p + 1:
         raise ValueError(f"{n} complete rows cannot identify {p + 1} coefficients")
-    off = {c: F.col(c) - F.lit(float(m)) for c, m in zip(cols, means)}
-    dy = F.col("y") - F.lit(float(y_mean))
-    pairs = [(i, j) for i in range(p) for j in range(i, p)]
-    sums = rows.agg(
-        F.sum(dy * dy), *[F.sum(off[c] * dy) for c in cols], *[F.sum(off[cols[i]] * off[cols[j]]) for i, j in pairs]
-    ).first()
-    tss, sxy, sxx = float(sums[0]), np.array([float(v) for v in sums[1:1 + p]]), np.zeros((p, p))
-    for (i, j), v in zip(pairs, sums[1 + p:]):
-        sxx[i, j] = sxx[j, i] = float(v)
+    cross = _moments(rows, ["y", *cols], [y_mean, *means])
+    tss, sxy, sxx = float(cross[0, 0]), cross[0, 1:], cross[1:, 1:]
     inv = np.linalg.pinv(sxx, hermitian=True) if p else np.zeros((0, 0))
     rank = int(np.linalg.matrix_rank(sxx, hermitian=True)) if p else 0
     beta = inv @ sxy
@@ -192,47 +224,67 @@ def _plus(parts: list[Column]) -> Column:
 
 
 def _quadratic(xs: list[Column], m: np.ndarray) -> Column:
-    """x' M x as a column."""
-    return _plus([xs[i] * xs[j] * F.lit(float(m[i, j]) * (1 if i == j else 2))
-                  for i in range(len(xs)) for j in range(i, len(xs))])
+    """x' M x as a column; numpy on Arrow batches where the expression would be too long to compile."""
+    p = len(xs)
+    if p * (p + 1) // 2 > MAX_SUMS:
+        @F.pandas_udf("double")
+        def quadratic(*parts: pd.Series) -> pd.Series:
+            x = np.column_stack(parts)
+            return pd.Series(np.einsum("ij,jk,ik->i", x, m, x))
+
+        known = reduce(lambda a, b: a & b, [x.isNotNull() for x in xs])
+        return F.when(known, quadratic(*xs))
+    return _plus([xs[i] * _plus([xs[j] * F.lit(float(m[i, j]) * (1 if i == j else 2)) for j in range(i, p)])
+                  for i in range(p)])
+
+
+def _linear(start: float, cols: list[Column], weights: np.ndarray) -> Column:
+    return F.lit(float(start)) + _plus([c * F.lit(float(w)) for c, w in zip(cols, weights)])
+
 
+def _with_terms(df: DataFrame, names: Sequence[str], terms: Terms) -> tuple[DataFrame, list[Column]]:
+    """Terms as columns of their own, so that wide quadratic forms stay small in generated code."""
+    held = {f"__t{i}": terms[t] for i, t in enumerate(names)}
+    return (df.withColumns(held) if held else df), [F.col(c) for c in held]
 
-def fitted(fit: LinearFit, terms: Terms) -> Column:
-    return F.lit(fit.intercept) + _plus([terms[t] * F.lit(float(b)) for t, b in zip(fit.names, fit.beta)])
 
+def _hidden(n: int) -> list[str]:
+    return [f"__t{i}" for i in range(n)]
 
-def leverage(fit: LinearFit, terms: Terms) -> Column:
-    xs = [terms[t] - F.lit(float(m)) for t, m in zip(fit.names, fit.means)]
-    return F.lit(1.0 / fit.n) + _quadratic(xs, fit.sxx_inv)
+
+def _around_means(fit: LinearFit, cols: list[Column]) -> list[Column]:
+    return [c - F.lit(float(m)) for c, m in zip(cols, fit.means)]
 
 
 def with_residuals(df: DataFrame, y: str, terms: Terms, fit: LinearFit) -> DataFrame:
-    """Adds fitted, residual and leverage."""
-    f = fitted(fit, terms)
-    return df.withColumns({"fitted": f, "residual": F.col(y) - f, "leverage": leverage(fit, terms)})
+    """Adds fitted, residual and leverage; missing where a term is."""
+    held, cols = _with_terms(df, fit.names, terms)
+    mean = _linear(fit.intercept, cols, fit.beta)
+    lever = F.lit(1.0 / fit.n) + _quadratic(_around_means(fit, cols), fit.sxx_inv)
+    return held.withColumns({"fitted": mean, "residual": F.col(y) - mean, "leverage": lever}).drop(*_hidden(len(cols)))
 
 
 def predict_band(fit: LinearFit, grid: DataFrame, terms: Terms, level: float = 0.95) -> DataFrame:
     """Mean, its interval and the interval of a new observation for every grid row."""
     z = NormalDist().inv_cdf(0.5 + level / 2)
-    xs = [terms[t] - F.lit(float(m)) for t, m in zip(fit.names, fit.means)]
-    var = F.lit(fit.level_var) + _quadratic(xs, fit.beta_cov)
-    mean = fitted(fit, terms)
-    return grid.withColumns({
-        "predicted": mean,
-        "lower": mean - F.lit(z) * F.sqrt(var), "upper": mean + F.lit(z) * F.sqrt(var),
-        "new_lower": mean - F.lit(z) * F.sqrt(var + F.lit(fit.sigma**2)),
-        "new_upper": mean + F.lit(z) * F.sqrt(var + F.lit(fit.sigma**2)),
-    })
+    held, cols = _with_terms(grid, fit.names, terms)
+    mean = _linear(fit.intercept, cols, fit.beta)
+    var = F.lit(fit.level_var) + _quadratic(_around_means(fit, cols), fit.beta_cov)
+    held = held.withColumns({"predicted": mean, "__var": var})
+    half, wide = F.lit(z) * F.sqrt("__var"), F.lit(z) * F.sqrt(F.col("__var") + F.lit(fit.sigma**2))
+    p = F.col("predicted")
+    return held.withColumns({
+        "lower": p - half, "upper": p + half, "new_lower": p - wide, "new_upper": p + wide,
+    }).drop("__var", *_hidden(len(cols)))
 
 
 def press(df: DataFrame, y: str, terms: Terms, fit: LinearFit) -> DataFrame:
     """Leave-one-out squared error, without refitting: residuals over one minus leverage."""
-    rows = df.dropna("any", subset=[y])
-    f = fitted(fit, terms)
-    err = (F.col(y) - f) / (F.lit(1.0) - leverage(fit, terms))
-    return rows.select(err.alias("e")).filter(F.col("e").isNotNull()).agg(
-        F.sum(F.col("e") * F.col("e")).alias("press"), F.count(F.lit(1)).alias("n"))
+    rows, cols = _complete(df, y, terms)
+    cols = [F.col(c) for c in cols]
+    lever = F.lit(1.0 / fit.n) + _quadratic(_around_means(fit, cols), fit.sxx_inv)
+    error = F.try_divide(F.col("y") - _linear(fit.intercept, cols, fit.beta), F.lit(1.0) - lever)
+    return rows.select(error.alias("e")).agg(F.sum(F.col("e") * F.col("e")).alias("press"), F.count("e").alias("n"))
 
 
 def compare_loo(df: DataFrame, y: str, models: dict[str, Terms]) -> DataFrame:
@@ -314,22 +366,31 @@ def fit_negative_binomial(df: DataFrame, y: str, terms: Terms, max_iter: int = 5
     inv_theta, cov, done = 0.0, np.eye(p), 0
     pairs = [(i, j) for i in range(p) for j in range(i, p)]
     for done in range(1, max_iter + 1):
-        eta = _plus([x * F.lit(float(b)) for x, b in zip(xs, coef)])
-        mu = F.exp(eta)
-        step = rows.withColumn("eta", eta).withColumn("mu", mu).withColumn(
-            "w", F.col("mu") / (F.lit(1.0) + F.col("mu") * F.lit(inv_theta))
-        ).withColumn("z", F.col("eta") + (F.col("y") - F.col("mu")) / F.col("mu"))
-        w, z, m = F.col("w"), F.col("z"), F.col("mu")
-        r = step.agg(
-            F.sum((F.col("y") - m) * (F.col("y") - m) - m), F.sum(m * m),
-            *[F.sum(w * x * z) for x in xs], *[F.sum(w * xs[i] * xs[j]) for i, j in pairs],
-        ).first()
-        xwz, xwx = np.array([float(v) for v in r[2:2 + p]]), np.zeros((p, p))
-        for (i, j), v in zip(pairs, r[2 + p:]):
-            xwx[i, j] = xwx[j, i] = float(v)
+        if len(pairs) > MAX_SUMS:
+            b, it = coef, inv_theta
+
+            def step_sums(data: np.ndarray) -> np.ndarray:
+                y_, x = data[:, 0], np.column_stack([np.ones(len(data)), data[:, 1:]])
+                mu_ = np.exp(x @ b)
+                xw = x * (mu_ / (1.0 + mu_ * it))[:, None]
+                target = x @ b + (y_ - mu_) / mu_
+                return np.concatenate(([np.sum((y_ - mu_) ** 2 - mu_), np.sum(mu_ * mu_)], xw.T @ target, (xw.T @ x).ravel()))
+
+            r = _arrow_sums(rows, ["y", *cols], 2 + p + p * p, step_sums)
+            extra, xwz, xwx = r[:2], r[2:2 + p], r[2 + p:].reshape(p, p)
+        else:
+            step = rows.withColumn("eta", _linear(coef[0], xs[1:], coef[1:])).withColumn("mu", F.exp("eta")).withColumn(
+                "w", F.col("mu") / (F.lit(1.0) + F.col("mu") * F.lit(inv_theta))
+            ).withColumn("z", F.col("eta") + (F.col("y") - F.col("mu")) / F.col("mu"))
+            w, z, m = F.col("w"), F.col("z"), F.col("mu")
+            r = step.agg(F.sum((F.col("y") - m) * (F.col("y") - m) - m), F.sum(m * m), *[F.sum(w * x * z) for x in xs],
+                         *[F.sum(w * xs[i] * xs[j]) for i, j in pairs]).first()
+            extra, xwz, xwx = np.array(r[:2], float), np.array(r[2:2 + p], float), np.zeros((p, p))
+            for (i, j), v in zip(pairs, r[2 + p:]):
+                xwx[i, j] = xwx[j, i] = float(v)
         cov = np.linalg.pinv(xwx, hermitian=True)  # dependent terms share their effect
         new = cov @ xwz
-        new_inv = max(float(r[0]) / float(r[1]), 1e-8)
+        new_inv = max(float(extra[0] / extra[1]), 1e-8)
         moved = max(float(np.max(np.abs(new - coef))), abs(new_inv - inv_theta))
         coef, inv_theta = new, new_inv
         if moved < tol:
@@ -337,22 +398,22 @@ def fit_negative_binomial(df: DataFrame, y: str, terms: Terms, max_iter: int = 5
     return CountFit(("(Intercept)", *terms), coef, cov, 1.0 / inv_theta, int(n), done)
 
 
-def count_mean(fit: CountFit, terms: Terms) -> Column:
-    return F.exp(F.lit(float(fit.coef[0])) + _plus([terms[t] * F.lit(float(b)) for t, b in zip(fit.names[1:], fit.coef[1:])]))
-
-
 def count_band(fit: CountFit, grid: DataFrame, terms: Terms, level: float = 0.95) -> DataFrame:
     """Expected count with its interval for every grid row."""
     z = NormalDist().inv_cdf(0.5 + level / 2)
-    xs = [F.lit(1.0), *[terms[t] for t in fit.names[1:]]]
-    eta, se = F.log(count_mean(fit, terms)), F.sqrt(_quadratic(xs, fit.cov))
-    return grid.withColumns({
-        "predicted": F.exp(eta), "lower": F.exp(eta - F.lit(z) * se), "upper": F.exp(eta + F.lit(z) * se)})
+    held, cols = _with_terms(grid, fit.names[1:], terms)
+    held = held.withColumns({"__eta": _linear(fit.coef[0], cols, fit.coef[1:]),
+                             "__se": F.sqrt(_quadratic([F.lit(1.0), *cols], fit.cov))})
+    eta, half = F.col("__eta"), F.lit(z) * F.col("__se")
+    return held.withColumns({
+        "predicted": F.exp(eta), "lower": F.exp(eta - half), "upper": F.exp(eta + half),
+    }).drop("__eta", "__se", *_hidden(len(cols)))
 
 
 def zero_share(df: DataFrame, y: str, terms: Terms, fit: CountFit) -> DataFrame:
     """Observed share of zeros against the share the model expects."""
-    mu = count_mean(fit, terms)
+    held, cols = _with_terms(df, fit.names[1:], terms)
+    mu = F.exp(_linear(fit.coef[0], cols, fit.coef[1:]))
     p0 = F.exp(-mu) if fit.theta is None else F.pow(F.lit(fit.theta) / (F.lit(fit.theta) + mu), F.lit(fit.theta))
-    data = df.select(F.col(y).cast("double").alias("y"), p0.alias("p0")).dropna("any")
+    data = held.select(F.col(y).cast("double").alias("y"), p0.alias("p0")).dropna("any")
     return data.agg(F.avg(F.when(F.col("y") == 0, 1.0).otherwise(0.0)).alias("observed"), F.avg("p0").alias("expected"))
