@@ -169,7 +169,9 @@ def classify(df: DataFrame, value: str, out: str | None = None, k: int = 5, by:
         "__labels", class_labels(F.col("lowers"), F.col("uppers"), label_pattern)
     ).drop("lowers").withColumnsRenamed({"n_classes": "__classes", "uppers": "__uppers"})
     if by:
-        wide = attach(df, materialize(limits, "class-limits"), by, null_safe=True)
+        # Natural breaks end on a stored table of bins, so their size is known already.
+        limits = limits if method == "natural" else materialize(limits, "class-limits")
+        wide = attach(df, limits, by, null_safe=True)
     else:
         # Without groups the limits are one row of at most k classes; they become literals.
         one = limits.first()

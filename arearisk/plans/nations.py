@@ -122,8 +122,7 @@ def _classes(df: DataFrame, source: DataFrame, values: Mapping[str, str], wanted
     """Add `<indicator>_q` to `df` from class limits found on `source` (country, indicator, value)."""
     pairs = F.concat_ws("|", "country", "indicator").isin([f"{c}|{i}" for c, i in wanted])
     limits = finder(source.filter(pairs), "value", k, ["country", "indicator"])
-    wide = materialize(pivot_limits(limits, "indicator", list(values), ["country"]), "nation-limits")
-    out = attach(df, wide, "country")
+    out = attach(df, pivot_limits(limits, "indicator", list(values), ["country"]), "country")
     for name, col in values.items():
         out = out.withColumn(f"{name}_q", class_of(F.col(col).cast("double"), F.col(f"{name}__n"), F.col(f"{name}__u"), k))
     return out.drop(*[f"{n}__{s}" for n in values for s in ("n", "u")])
