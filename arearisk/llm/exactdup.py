@@ -71,7 +71,7 @@ def _merger(last: bool):
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
         for b in batches:
-            t = pa.Table.from_batches([b])
+            t = pa.table({c: b.column(c) for c in b.schema.names})
             t = pa.concat_tables([held, t]) if held is not None else t
             if not len(t):
                 continue
@@ -79,7 +79,7 @@ def _merger(last: bool):
             ends = np.append(starts[1:], len(t)) - 1
             n = np.add.reduceat(t["n"].to_numpy(), starts)
             t = t.take(pa.array(ends if last else starts))
-            t = t.set_column(t.schema.get_field_index("n"), "n", pa.array(n))
+            t = pa.table({c: pa.array(n) if c == "n" else t[c] for c in t.column_names})
             held = t.slice(len(t) - 1)
             yield from t.slice(0, len(t) - 1).to_batches()
         if held is not None:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arearisk.llm import bpe, exactdup, packing, shards, tokencount
+from arearisk.llm import bpe, exactdup, packing, shards, tokencount, toxicity
 from workload.base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,6 +53,12 @@ def op3_vector_packing(spark: SparkSession, sf: str) -> DataFrame:
     return done.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+@query()
+def op4_kneser_ney_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    done = toxicity.score_toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    return done.select("doc_id", "held_out", "score", "predicted", "toxic_logp", "ordinary_logp")
+
+
 @query()
 def op8_heap_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf, "documents"), vocabulary("piece_bpe_32k.model"))
