@@ -31,9 +31,9 @@ from pyspark.sql import functions as F
 from arearisk.llm.common import blocks, id_and_text, is_held_out, offsets_of, quoted
 from arearisk.scratch import materialize
 
-ORDER = 6
+ORDER = 4
 SHARED = 2
-DOCS_PER_CLASS = 4000
+DOCS_PER_CLASS = 5000
 CURVE_DOCS = 4000
 REMEMBERED = 500_000
 
