@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,6 +48,30 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row += len(texts)
 
 
+def _with_digests(text_col: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = pc.fill_null(b.column("whole").field(text_col), "").cast(pa.binary())
+            own = pa.RecordBatch.from_arrays([pa.nulls(len(b)), texts], ["doc_id", "text"])
+            (made,) = _digests([own])
+            yield pa.RecordBatch.from_arrays([b.column("whole"), b.column("row"), *made.columns[2:]], ["whole", "row", *KEY])
+    return run
+
+
+def drop_copies(docs: DataFrame, keep: str = "max", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of `docs`, all columns as they are, that `exact_groups` keeps: one of each group of equal texts."""
+    rows = docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("whole"), F.monotonically_increasing_id().alias("row"))
+    schema = rows.schema
+    for name, kind in zip(KEY, ("binary", "long", "long")):
+        schema = schema.add(name, kind)
+    own = materialize(rows.mapInArrow(_with_digests(text_col), schema), "rows-with-digests")
+    slim = own.select(F.col("whole").getField(id_col).alias("doc_id"), "row", *KEY)
+    groups = materialize(merged_runs(slim, keep).filter("n > 1"), "digest-groups")
+    groups = groups.select(*[F.col(k).alias(f"g_{k}") for k in KEY], "keep_row")
+    gone = materialize(slim.join(groups, [F.col(k) == F.col(f"g_{k}") for k in KEY]).filter("row <> keep_row").select("row"), "copies")
+    return own.join(gone, "row", "left_anti").select("whole.*")
+
+
 def text_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`doc_id`, a row number, SHA-256, length and a second digest of every normalised text."""
     rows = docs.select(quoted(id_col).alias("doc_id"), F.coalesce(quoted(text_col), F.lit("")).cast("binary").alias("text"))

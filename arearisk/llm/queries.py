@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arearisk.llm import bpe, exactdup, packing, quality, secrets, shards, tokencount, toxicity, warc
+from arearisk.llm import bpe, exactdup, neardup, packing, quality, secrets, shards, tokencount, toxicity, warc
 from workload.base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,6 +86,11 @@ def op5_trigram_secrets(spark: SparkSession, sf: str) -> DataFrame:
                        secrets.named_spans(F.col("spans")).alias("spans"))
 
 
+@query()
+def op6_weighted_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf, "documents")).select("doc_id", "class_id", "class_size", "links")
+
+
 @query()
 def op7_isolation_forest(spark: SparkSession, sf: str) -> DataFrame:
     done = quality.judge_quality(table(spark, sf, "documents"), table(spark, sf, "labels"))

@@ -70,8 +70,10 @@ def trigram_query(rule: Rule) -> list[frozenset[str]]:
 
 
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`doc_id`, `text` and `key` of every row, NULL text as empty."""
-    rows = docs.select(quoted(id_col).alias("doc_id"), F.coalesce(quoted(text_col), F.lit("")).alias("text"))
+    """`doc_id`, `text` (NULL as empty), `key` and `rest`, a struct of the other columns, of every row."""
+    rest = [quoted(c) for c in docs.columns if c not in (id_col, text_col)]
+    rows = docs.select(quoted(id_col).alias("doc_id"), F.coalesce(quoted(text_col), F.lit("")).alias("text"),
+                       (F.struct(*rest) if rest else F.lit(None).cast("int")).alias("rest"))
     return rows.withColumn("key", F.xxhash64("doc_id", "text"))
 
 
@@ -132,10 +134,10 @@ def spans_of(text: Column, rule: Rule, place: int) -> Column:
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`doc_id`, `text` and `spans`, an array of (start, place, end) by start, then by the rule's place in `rules`.
+    """`doc_id`, `text`, `rest` (the other columns) and `spans`, an array of (start, place, end) by start, then by the rule's place in `rules`.
 
     A NULL or empty text has no spans; equal rows have equal spans; NULL ids are scanned like any other; an empty
-    table gives an empty result. Other columns are not read.
+    table gives an empty result. Other columns stay inside `rest`, so their names cannot clash.
     """
     rows = keyed(docs, id_col, text_col)
     found = materialize(candidates(materialize(postings(rows, rules), "postings"), rules), "candidates")
@@ -147,7 +149,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id
         if f"may_{rule.kind}" in found.columns:
             able = F.coalesce(F.col(f"may_{rule.kind}"), F.lit(False)) & able
         parts.append(F.when(able, spans_of(F.col("text"), rule, place)).otherwise(none))
-    return checked.select("doc_id", "text", F.array_sort(F.concat(*parts)).alias("spans"))
+    return checked.select("doc_id", "text", "rest", F.array_sort(F.concat(*parts)).alias("spans"))
 
 
 def is_rule(place: int):
@@ -163,7 +165,7 @@ def named_spans(spans: Column, rules: tuple[Rule, ...] = RULES, first: int | Non
     return F.array_join(text, ",")
 
 
-def redact(scanned: DataFrame, rules: tuple[Rule, ...] = RULES) -> Column:
+def redacted(rules: tuple[Rule, ...] = RULES) -> Column:
     """The text of `scan` rows with every span replaced by [kind]; overlapping spans become one, named by the first."""
     names = F.array(*[F.lit(r.kind) for r in rules])
     start = F.struct(F.lit("").alias("done"), F.lit(0).alias("at"))
@@ -176,3 +178,24 @@ def redact(scanned: DataFrame, rules: tuple[Rule, ...] = RULES) -> Column:
 
     done = F.aggregate("spans", start, step, lambda acc: F.concat(acc["done"], F.substring(F.col("text"), acc["at"] + 1, F.length("text"))))
     return F.when(F.size("spans") > 0, done).otherwise(F.col("text"))
+
+
+def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text",
+           length_col: str | None = "n_chars") -> DataFrame:
+    """The rows of `docs` with every secret replaced by its kind in brackets; a length column is brought up to date.
+
+    A text without spans stays as it is, a NULL one NULL.
+    """
+    done = scan(docs, rules, id_col, text_col).withColumn("clean", redacted(rules))
+    found = F.size("spans") > 0
+    out = []
+    for c in docs.columns:
+        if c == id_col:
+            out.append(F.col("doc_id").alias(c))
+        elif c == text_col:
+            out.append(F.when(F.col("text") != "", F.col("clean")).alias(c))
+        elif c == length_col:
+            out.append(F.when(found, F.length("clean")).otherwise(F.col("rest").getField(c)).cast(docs.schema[c].dataType).alias(c))
+        else:
+            out.append(F.col("rest").getField(c).alias(c))
+    return done.select(*out)

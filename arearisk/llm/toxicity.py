@@ -327,3 +327,16 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     return done.select(
         "doc_id", is_held_out(F.col("doc_id")).alias("held_out"), (F.col("toxic_sum") / n).alias("toxic_logp"),
         (F.col("ordinary_sum") / n).alias("ordinary_logp"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, bound: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of `docs`, all columns as they are, whose text scores below `bound`; same rules as `score_toxicity`."""
+    shared = _Shared(docs.sparkSession.sparkContext.broadcast(train(docs, labels, id_col, text_col)), next(_numbers))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = _scorer(shared)
+        for b in batches:
+            texts = [t or "" for t in b.column(text_col).to_pylist()]
+            yield b.filter(pa.array(own.model.score(own.sums(texts)) < bound))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -1,3 +1,64 @@
-"""The corpus pipeline."""
+"""From raw documents to packed training sequences: five stages over whole tables.
 
-QUERIES, SQL = {}, {}
+toxicity      documents that the class-conditional models reject go
+exact_dedup   of equal texts the row with the largest id stays
+near_dedup    of each class of near-duplicates one document stays
+secrets       secrets in texts are replaced by their kind
+packing       texts become token sequences
+
+Every stage reads what its predecessor kept, as Parquet.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from arearisk.llm import exactdup, neardup, packing, secrets, toxicity
+from arearisk.scratch import materialize
+
+
+def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Learns from the labelled documents that are still there."""
+    return toxicity.drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def remove_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return exactdup.drop_copies(docs)
+
+
+def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return neardup.drop_near(docs)
+
+
+def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return secrets.redact(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("toxicity", remove_toxic),
+    ("exact_dedup", remove_copies),
+    ("near_dedup", remove_near_copies),
+    ("secrets", hide_secrets),
+    ("packing", pack),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over `documents`; each but the last is written and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
+
+
+#: The stages learn, sample by hash and tokenize, which SQL cannot say; tests hold them against brute force.
+ORACLE_SQL = None
+
+QUERIES = {"pipeline": run}
+SQL: dict[str, str] = {}
