@@ -24,6 +24,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from arearisk.llm.common import quoted
 from arearisk.scratch import materialize
@@ -61,9 +62,8 @@ def _with_digests(text_col: str):
 def drop_copies(docs: DataFrame, keep: str = "max", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs`, all columns as they are, that `exact_groups` keeps: one of each group of equal texts."""
     rows = docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("whole"), F.monotonically_increasing_id().alias("row"))
-    schema = rows.schema
-    for name, kind in zip(KEY, ("binary", "long", "long")):
-        schema = schema.add(name, kind)
+    schema = T.StructType([*rows.schema.fields, T.StructField("sha", T.BinaryType()), T.StructField("n_bytes", T.LongType()),
+                           T.StructField("second", T.LongType())])
     own = materialize(rows.mapInArrow(_with_digests(text_col), schema), "rows-with-digests")
     slim = own.select(F.col("whole").getField(id_col).alias("doc_id"), "row", *KEY)
     groups = materialize(merged_runs(slim, keep).filter("n > 1"), "digest-groups")
