@@ -7,13 +7,12 @@ anywhere is counted, too low by that share at most; all others have the same
 largest idf. The table of heavy shingles is bounded by mean length / `HEAVY`,
 whatever the number of documents.
 
-`BANDS` x `ROWS` consistent samples, banded, give buckets. Within a bucket every
-text is compared with the bucket's hub (the text that shares most buckets with
-others), those that are not near it with the next hub, and so on until every
-text has been a hub or near one: no pairs within a group are listed, and the
-links found join the texts as classes. A link is a weighted Jaccard similarity,
-computed from both whole texts, of at least the threshold. Equal texts are one
-text throughout; their rows come back as members at the end.
+`BANDS` x `ROWS` consistent samples, banded, give buckets, and texts that share
+buckets form families. The texts of a family meet once, in tasks of bounded size,
+where whole texts are compared pair by pair; only links that join classes leave
+a task, never all pairs of a group (see `links`). A link is a weighted Jaccard
+similarity of at least the threshold. Equal texts are one text throughout; their
+rows come back as members at the end.
 """
 
 from __future__ import annotations
@@ -22,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +35,11 @@ ROWS = 4
 HEAVY = 0.01
 SEED = 11
 
+#: Most texts, and bytes of text, that are compared with each other in one task; about how many hubs a larger family has per round.
+FAMILY = 4096
+FAMILY_BYTES = 64 << 20
+HUBS = 64
+
 #: Texts of a block and shingles of a chunk; the second keeps the sampling arrays in the processor's cache.
 BLOCK = 4 << 20
 CHUNK = 32_768
@@ -201,70 +206,152 @@ def weights(rows: DataFrame) -> Weights:
     return Weights(found["shingle"].to_numpy().view(np.uint64), found["df"].to_numpy(), total)
 
 
-def similarity(texts: list[str], left: np.ndarray, right: np.ndarray, own: Weights) -> np.ndarray:
-    """Weighted Jaccard similarity of pairs of texts, given by their places; 1 for two texts without words."""
-    h, doc, times, order = counted(*shingles(texts))
-    h, doc, w = h[order], doc[order], own.of(h, times)[order]
-    by_doc = np.argsort(doc, kind="stable")
-    h, w = h[by_doc], w[by_doc]
-    bound = np.searchsorted(doc[by_doc], np.arange(len(texts) + 1))
-    total = np.add.reduceat(np.append(w, 0.0), bound[:-1]) * (np.diff(bound) > 0)
-    out = np.empty(len(left))
-    for k, (a, b) in enumerate(zip(left.tolist(), right.tolist())):
-        ha, wa = h[bound[a]:bound[a + 1]], w[bound[a]:bound[a + 1]]
-        hb, wb = h[bound[b]:bound[b + 1]], w[bound[b]:bound[b + 1]]
-        shared = 0.0
-        if len(ha) and len(hb):
-            at = np.minimum(np.searchsorted(hb, ha), len(hb) - 1)
-            same = hb[at] == ha
-            shared = float(np.minimum(wa[same], wb[at[same]]).sum())
-        union = total[a] + total[b] - shared
-        out[k] = shared / union if union > 0 else 1.0
-    return out
-
+def spanning(texts: list[str], own: Weights, threshold: float = THRESHOLD) -> tuple[list[tuple[int, int, float]], list[int]]:
+    """Near pairs that join the texts of a bounded group as classes, and the class of each text.
 
-def _verified(pairs: DataFrame, texts: DataFrame, shared, threshold: float) -> DataFrame:
-    """`hub`, `key`, `similarity` and `near` of pairs of text keys."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in blocks(batches, "text", BLOCK):
-            number: dict[str, int] = {}
-            left = np.array([number.setdefault(x, len(number)) for x in t["hub_text"].to_pylist()], np.int64)
-            right = np.array([number.setdefault(x, len(number)) for x in t["text"].to_pylist()], np.int64)
-            sim = similarity(list(number), left, right, shared.value)
-            yield from pa.table({"hub": t["hub"], "key": t["key"], "similarity": sim, "near": sim >= threshold - 1e-9}).to_batches()
+    Every pair of texts that are not in one class yet is compared by its weighted Jaccard similarity.
+    """
+    part, kept = list(range(len(texts))), []
+
+    def find(x: int) -> int:
+        while part[x] != x:
+            part[x] = part[part[x]]
+            x = part[x]
+        return x
+
+    h, doc, times, _ = counted(*shingles(texts))
+    w = own.of(h, times)
+    first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(h) else np.empty(0, np.int64)
+    here, ends = doc[first].tolist(), np.append(first[1:], len(h))
+    total = np.add.reduceat(w, first) if len(h) else w
+    names, number = np.unique(h, return_inverse=True)
+    mine = np.zeros(len(names))
+    size = ends - first
+    for i, text in enumerate(here[:-1]):
+        others = np.array([j for j in range(i + 1, len(here)) if find(here[j]) != find(text)], np.int64)
+        if not len(others):
+            continue
+        if len(others) == len(here) - i - 1:
+            at = slice(int(first[i + 1]), len(h))
+        else:
+            bound = offsets_of(size[others])
+            at = np.arange(bound[-1]) + np.repeat(first[others] - bound[:-1], size[others])
+        low, high = first[i], ends[i]
+        mine[number[low:high]] = w[low:high]
+        shared = np.add.reduceat(np.minimum(mine[number[at]], w[at]), offsets_of(size[others])[:-1])
+        mine[number[low:high]] = 0
+        union = total[i] + total[others] - shared
+        for k in np.flatnonzero(shared >= (threshold - 1e-9) * union).tolist():
+            x, y = find(text), find(here[others[k]])
+            if x != y:
+                part[max(x, y)] = min(x, y)
+                kept.append((text, here[others[k]], float(shared[k] / union[k])))
+    return kept, [find(x) for x in range(len(texts))]
+
+
+_LINK = "a binary, b binary, similarity double, settled boolean"
+
+
+def _grouped(groups: DataFrame, by: list[str], shared, threshold: float) -> DataFrame:
+    """Spanning links of every bounded group of `key`, `text`, `hub`; rows without `b` say whether a key is `settled`.
+
+    A text is settled if it is a hub or is joined with one.
+    """
+    def run(t: pa.Table) -> pa.Table:
+        order = pc.sort_indices(t["key"])
+        keys, texts, hubs = (t[c].take(order).to_pylist() for c in ("key", "text", "hub"))
+        found, part = spanning(texts, shared.value, threshold)
+        led = {part[i] for i, is_hub in enumerate(hubs) if is_hub}
+        a = [keys[x] for x, _, _ in found] + keys
+        b = [keys[y] for _, y, _ in found] + [None] * len(keys)
+        sims = [sim for _, _, sim in found] + [None] * len(keys)
+        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary()), "similarity": pa.array(sims, pa.float64()),
+                         "settled": pa.array([None] * len(found) + [p in led for p in part], pa.bool_())})
 
-    both = (pairs.join(texts, "key").join(texts.select(F.col("key").alias("hub"), F.col("text").alias("hub_text")), "hub"))
-    return both.select("hub", "key", "hub_text", "text").mapInArrow(run, "hub binary, key binary, similarity double, near boolean")
+    return groups.select(*by, "key", "text", "hub").groupBy(*by).applyInArrow(run, _LINK)
 
 
 def links(rows: DataFrame, keys: DataFrame, own: Weights, threshold: float = THRESHOLD) -> DataFrame | None:
-    """Links (`hub`, `key`, `similarity`) between different near texts; None if there are none to test.
+    """Links (`a`, `b`, `similarity`) that join near texts as classes; None if no two texts share a bucket.
 
-    `rows`: `key` and `text` of all documents; `keys`: the distinct keys with their buckets.
+    `rows`: `key` and `text` of all documents; `keys`: the distinct keys with their buckets. Texts that share
+    buckets, directly or through others, are a family. Within a family of up to `FAMILY` texts every pair is
+    compared. A larger one is dealt into random chunks that all hold the same hubs: pairs are compared within a
+    chunk, texts joined with a hub are settled, and the rest go to another round with other hubs, until they fit
+    one chunk. What then lies in different classes but shares a bucket is compared by its hubs once more.
     """
-    spark = rows.sparkSession
-    shared = spark.sparkContext.broadcast(own)
+    shared = rows.sparkSession.sparkContext.broadcast(own)
     entries = keys.select("key", F.explode("buckets").alias("bucket"))
-    sizes = entries.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    sizes = entries.groupBy("bucket").agg(F.count("*").alias("n"), F.min("key").alias("least")).filter("n > 1")
     entries = materialize(entries.join(sizes, "bucket"), "buckets")
-    central = entries.groupBy("key").agg(F.sum("n").alias("score"))
-    left = materialize(entries.drop("n").join(central, "key"), "entries")
-    wanted = materialize(central.select("key"), "tested-keys")
-    texts = materialize(rows.join(wanted, "key").dropDuplicates(["key"]), "tested-texts")
-    done: DataFrame | None = None
-    while True:
-        hubs = left.groupBy("bucket").agg(F.max(F.struct("score", "key")).alias("top"), F.count("*").alias("n")).filter("n > 1")
-        open_ = materialize(left.join(hubs.select("bucket", F.col("top.key").alias("hub")), "bucket").filter("key <> hub"), "open")
-        if open_.isEmpty():
-            return done
-        pairs = open_.select("hub", "key").distinct()
-        known = done
-        if known is not None:
-            pairs = pairs.join(known, ["hub", "key"], "left_anti")
-        tested = materialize(_verified(pairs, texts, shared, threshold), "tested")
-        done = tested if known is None else materialize(known.unionByName(tested), "tested-so-far")
-        near = done.filter("near").select("hub", "key")
-        left = open_.join(near, ["hub", "key"], "left_anti").select("bucket", "key", "score")
+    stars = entries.filter("key <> least").select("key", "least").distinct()
+    if stars.isEmpty():
+        return None
+    family = components(stars, "key", "least")
+    family = family.union(family.select(F.col("root").alias("node"), "root").distinct())
+    # The same plan at every size: the texts are shuffled once, by key. A text with copies comes once for each; any will do.
+    texts = materialize(rows.join(family.hint("merge"), F.col("key") == F.col("node")).drop("node").dropDuplicates(["key"]), "member-texts")
+    sized = texts.groupBy("root").agg(F.count("*").alias("size"), F.sum(F.octet_length("text")).alias("bytes"))
+    # What counts is the number of chunks; a family of long texts gets as many as its bytes need.
+    sized = sized.select("root", F.greatest("size", F.ceil(F.col("bytes") * (FAMILY / FAMILY_BYTES))).cast("long").alias("size"))
+    texts = texts.join(sized, "root")
+    small = texts.filter(F.col("size") <= FAMILY).withColumn("hub", F.lit(False))
+    found = [materialize(_grouped(small, ["root"], shared, threshold).filter("b IS NOT NULL"), "family-links")]
+    left, turn = texts.filter(F.col("size") > FAMILY).select("root", "key", "size", "text"), 0
+    if not left.isEmpty():
+        large = left.select("key", "root")
+        central = materialize(entries.join(large, "key").groupBy("root", "key").agg(F.sum("n").alias("score")), "scores")
+        left = left.join(central.select("key", "score"), "key")
+        while True:
+            hubs = left.groupBy("root").agg(F.max(F.struct("score", "key")).alias("top"))
+            lot = F.pmod(F.xxhash64("key", F.lit(turn)), F.ceil(F.col("size") / HUBS))
+            named = materialize(left.join(hubs, "root").filter((F.col("key") == F.col("top.key")) | (lot == 0))
+                                .select("root", "key", "text", "size"), "hubs")
+            chunks = F.greatest(F.lit(1), F.ceil(F.col("size") * 2 / FAMILY)).cast("long")
+            rest = left.join(named.select(F.col("key").alias("h")), F.col("key") == F.col("h"), "left_anti")
+            dealt = rest.select("root", "key", "text", F.pmod(F.xxhash64("key", F.lit(turn + 1)), chunks).alias("chunk"), F.lit(False).alias("hub"))
+            everywhere = named.select("root", "key", "text", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)).alias("chunk"), F.lit(True).alias("hub"))
+            done = materialize(_grouped(dealt.union(everywhere), ["root", "chunk"], shared, threshold), "chunk-links")
+            found.append(done.filter("b IS NOT NULL").distinct())
+            # All members but the settled ones go on; what fitted one chunk was compared in full.
+            open_ = done.filter("b IS NULL AND NOT settled").select(F.col("a").alias("o"))
+            again = rest.filter(chunks > 1).join(open_, F.col("key") == F.col("o"), "left_semi")
+            counts = again.groupBy("root").agg(F.count("*").alias("size"))
+            left = materialize(again.drop("size").join(counts, "root").select("root", "key", "size", "text", "score"), "unsettled")
+            turn += 2
+            if left.isEmpty():
+                break
+        found.append(_crossed(entries, large, texts, found, shared, threshold))
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out.select("a", "b", "similarity").distinct()
+
+
+def _crossed(entries: DataFrame, large: DataFrame, texts: DataFrame, found: list[DataFrame], shared, threshold: float) -> DataFrame:
+    """Links between classes of large families: per bucket the hubs of its classes against the bucket's main hub."""
+    edges = found[0].select("a", "b")
+    for more in found[1:]:
+        edges = edges.union(more.select("a", "b"))
+    roots = components(edges.join(large, F.col("a") == F.col("key"), "left_semi"), "a", "b")
+    part = entries.join(large.select("key"), "key").join(roots, F.col("key") == F.col("node"), "left")
+    part = part.select("bucket", "key", F.coalesce("root", "key").alias("part"))
+    leaders = part.groupBy("bucket", "part").agg(F.count("*").alias("n"), F.min("key").alias("leader"))
+    main = leaders.groupBy("bucket").agg(F.max(F.struct("n", "leader")).alias("top"))
+    pairs = leaders.join(main, "bucket").filter(F.col("leader") != F.col("top.leader")).select(F.col("leader").alias("a"), F.col("top.leader").alias("b")).distinct()
+    short = texts.select("key", "text")
+    both = pairs.join(short, F.col("a") == F.col("key")).select("a", "b", F.col("text").alias("one"))
+    both = both.join(short, F.col("b") == F.col("key")).select("a", "b", "one", F.col("text").alias("two"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            got = [spanning([x, y], shared.value, threshold)[0] for x, y in zip(batch.column("one").to_pylist(), batch.column("two").to_pylist())]
+            kept = pa.array([bool(g) for g in got])
+            sims = pa.array([g[0][2] if g else 0.0 for g in got])
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), sims, pa.nulls(len(got), pa.bool_())],
+                                             ["a", "b", "similarity", "settled"]).filter(kept)
+
+    return materialize(both.mapInArrow(run, _LINK), "crossed")
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
@@ -321,9 +408,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_col: str =
     if tested is None:
         classes = texts.select("key", F.col("least").alias("class_id"), F.col("copies").alias("class_size"), F.lit(0).cast("long").alias("links"))
     else:
-        near = tested.filter("near").select("hub", "key")
-        roots = components(near, "hub", "key")
-        degree = near.select(F.explode(F.array("hub", "key")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
+        near = materialize(tested, "links")
+        roots = components(near, "a", "b")
+        degree = near.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
         texts = texts.join(roots, F.col("key") == F.col("node"), "left").drop("node")
         texts = texts.join(degree, F.col("key") == F.col("node"), "left").drop("node")
         texts = materialize(texts.withColumn("root", F.coalesce("root", "key")), "texts")
