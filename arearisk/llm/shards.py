@@ -27,7 +27,7 @@ BUCKET_BYTES = 32 << 20
 
 def _order(t: pa.Table, seed: int) -> np.ndarray:
     """Fisher-Yates order of a bucket's rows, whatever order they arrived in."""
-    at = pc.sort_indices(t, [("_hash", "ascending"), ("_id", "ascending"), ("_text", "ascending")]).to_numpy()
+    at = pc.sort_indices(t["_hash"]).to_numpy()
     order = at.astype(np.int64)
     rng = np.random.Generator(np.random.PCG64([seed & (2 ** 64 - 1), int(t["_bucket"][0].as_py())]))
     for i, j in zip(range(len(order) - 1, 0, -1), rng.integers(0, np.arange(len(order), 1, -1)).tolist()):
@@ -40,24 +40,23 @@ def external_shuffle(docs: DataFrame, seed: int = 42, bucket_bytes: int = BUCKET
     """All rows in a seeded random order, stored: `row` (the whole row as a struct), `doc_id`, `text`, `bucket`, `place`.
 
     The order is the same for the same rows, seed and number of buckets, however the input is split. NULL ids and
-    texts are scattered like any value; equal rows share a bucket; an empty table gives an empty result. The input's
+    texts are scattered like any value; rows equal in id and text share a bucket, in no set order; an empty table gives an empty result. The input's
     columns stay inside `row`, so their names cannot clash.
     """
     whole = docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("row"))
-    whole = whole.select("row", F.col("row").getField(id_col).alias("_id"), F.col("row").getField(text_col).alias("_text"))
-    size = whole.agg(F.sum(F.coalesce(F.octet_length("_text"), F.lit(0)).cast("long") + 16).alias("n")).first()["n"] or 0
+    own_id, own_text = F.col("row").getField(id_col), F.col("row").getField(text_col)
+    size = whole.agg(F.sum(F.coalesce(F.octet_length(own_text), F.lit(0)).cast("long") + 16).alias("n")).first()["n"] or 0
     buckets = max(1, -(-size // bucket_bytes))
-    mixed = F.xxhash64(F.lit(seed), "_id", "_text")
+    mixed = F.xxhash64(F.lit(seed), own_id, own_text)
     scattered = whole.withColumn("_hash", mixed).withColumn("_bucket", F.pmod(F.xxhash64(F.lit(seed + 1), "_hash"), F.lit(buckets)))
 
     def shuffle(t: pa.Table) -> pa.Table:
         t = t.take(pa.array(_order(t, seed))).drop_columns(["_hash"])
         return t.append_column("place", pa.array(np.arange(len(t))))
 
-    kept = scattered.select("row", "_id", "_text", "_bucket").schema.add("place", "long")
-    done = scattered.groupBy("_bucket").applyInArrow(shuffle, kept)
-    return materialize(done.select("row", F.col("_id").alias("doc_id"), F.col("_text").alias("text"),
-                                   F.col("_bucket").alias("bucket"), "place"), "shuffled")
+    kept = scattered.select("row", "_bucket").schema.add("place", "long")
+    done = materialize(scattered.groupBy("_bucket").applyInArrow(shuffle, kept), "shuffled")
+    return done.select("row", own_id.alias("doc_id"), own_text.alias("text"), F.col("_bucket").alias("bucket"), "place")
 
 
 def shards(shuffled: DataFrame, n: int = 8) -> DataFrame:
