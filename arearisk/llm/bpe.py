@@ -34,7 +34,7 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 #: Distinct pieces of text that a worker remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 700_000
 
 #: Beyond this code point Unicode versions differ in what a letter is; the library's own splitter decides there.
 _RARE = re.compile("[^\u0000-ԯ]")

@@ -69,7 +69,7 @@ def drop_copies(docs: DataFrame, keep: str = "max", id_col: str = "doc_id", text
     groups = materialize(merged_runs(slim, keep).filter("n > 1"), "digest-groups")
     groups = groups.select(*[F.col(k).alias(f"g_{k}") for k in KEY], "keep_row")
     gone = materialize(slim.join(groups, [F.col(k) == F.col(f"g_{k}") for k in KEY]).filter("row <> keep_row").select("row"), "copies")
-    return own.join(gone, "row", "left_anti").select("whole.*")
+    return own.join(gone.hint("merge"), "row", "left_anti").select("whole.*")
 
 
 def text_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -428,4 +428,4 @@ def drop_near(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_
     gone = materialize(classes.filter(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select(
         F.col("key").alias("gone_key"), F.col("doc_id").alias("gone_id")).distinct(), "near-copies")
     key = F.unhex(F.md5(F.coalesce(quoted(text_col), F.lit("")).cast("binary")))
-    return docs.join(gone, (key == F.col("gone_key")) & quoted(id_col).eqNullSafe(F.col("gone_id")), "left_anti")
+    return docs.join(gone.hint("merge"), (key == F.col("gone_key")) & quoted(id_col).eqNullSafe(F.col("gone_id")), "left_anti")

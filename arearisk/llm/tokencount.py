@@ -29,7 +29,7 @@ from arearisk.llm.common import blocks, id_and_text
 SPACE = "▁"
 
 #: Distinct words that a worker remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 700_000
 
 _AFTER_WORD = re.compile("(?<=[^ ]) ")
 

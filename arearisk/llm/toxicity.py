@@ -281,8 +281,9 @@ def labelled_sample(labels: DataFrame, folds: int = 5, id_col: str = "doc_id", l
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Fit both models and the curve on the bounded sample of labelled documents."""
+    # At most 2 x DOCS_PER_CLASS + CURVE_DOCS rows of an id, a label and a word: bounded, so it may be broadcast.
     sample = labelled_sample(labels)
-    texts = materialize(id_and_text(docs, id_col, text_col).filter("doc_id IS NOT NULL").join(sample, "doc_id")
+    texts = materialize(id_and_text(docs, id_col, text_col).filter("doc_id IS NOT NULL").join(F.broadcast(sample), "doc_id")
                         .select("doc_id", "toxic", "part", "text"), "toxic-texts")
     found = (texts.filter("part = 'words'").select("toxic", "text").mapInArrow(_count_words, "toxic int, word string, n long")
              .groupBy("word").agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("toxic"),
