@@ -122,7 +122,10 @@ class LinearFit:
 
     @property
     def aic(self) -> float:
-        p = len(self.names) + 2
+        # Of n rows, df are left over; the rest is the rank with the intercept. A perfect fit has no finite likelihood.
+        if self.rss <= 0:
+            return -math.inf
+        p = self.n - self.df + 1 if not self.bayes else len(self.names) + 2
         return self.n * (math.log(2 * math.pi * self.rss / self.n) + 1) + 2 * p
 
     def coefficients(self, spark: SparkSession, level: float = 0.95) -> DataFrame:

@@ -55,8 +55,15 @@ def polygon_edges(layer: DataFrame, feature: str, rings: str) -> DataFrame:
 
 def points_in_polygons(points: DataFrame, point: str, x: str, y: str,
                        layer: DataFrame, feature: str, rings: str) -> DataFrame:
-    """Distinct (point, feature) pairs with the point inside the feature."""
-    edges = polygon_edges(layer, feature, rings)
+    """Distinct (point, feature) pairs with the point inside a row of the feature.
+
+    Crossings are counted per place of a point and per row of the layer, not per id: a repeated id or row,
+    or one without an id, is tested like any other.
+    """
+    # Stored, so that the numbers stay the same wherever the rows are read again.
+    layer = materialize(layer.select(F.col(feature).alias("feature_id"), F.col(rings).alias("rings")).withColumn(
+        "feature_row", F.monotonically_increasing_id()), "polygon-rows")
+    edges = polygon_edges(layer, "feature_row", "rings")
     boxes = materialize(
         edges.groupBy("feature").agg(
             F.min(F.least("x1", "x2")).alias("xmin"), F.max(F.greatest("x1", "x2")).alias("xmax"),
@@ -74,7 +81,7 @@ def points_in_polygons(points: DataFrame, point: str, x: str, y: str,
     )
     levels = sorted(r[0] for r in boxes.select("level").distinct().collect())  # at most 64 numbers
     if not levels:
-        return points.select(F.col(point).alias(point), F.lit(None).cast(layer.schema[feature].dataType).alias(feature)).limit(0)
+        return points.select(F.col(point).alias(point), F.lit(None).cast(layer.schema["feature_id"].dataType).alias(feature)).limit(0)
 
     def cell(c, level):
         return F.floor(c / _side(level)).cast("long")
@@ -84,8 +91,8 @@ def points_in_polygons(points: DataFrame, point: str, x: str, y: str,
         .withColumn("cy", F.explode(F.sequence(cell(F.col("ymin"), F.col("level")), cell(F.col("ymax"), F.col("level")))))
     )
     probes = (
-        points.select(F.col(point).alias("point"), F.col(x).cast("double").alias("px"), F.col(y).cast("double").alias("py"))
-        .filter(F.col("px").isNotNull() & F.col("py").isNotNull())
+        points.select(F.struct(F.col(point).alias("id"), F.col(x).cast("double").alias("px"), F.col(y).cast("double").alias("py")).alias("point"))
+        .select("point", "point.px", "point.py").filter(F.col("px").isNotNull() & F.col("py").isNotNull()).distinct()
         .withColumn("level", F.explode(F.array(*[F.lit(v) for v in levels])))
         .withColumn("cx", cell(F.col("px"), F.col("level")))
         .withColumn("cy", cell(F.col("py"), F.col("level")))
@@ -120,11 +127,9 @@ def points_in_polygons(points: DataFrame, point: str, x: str, y: str,
     hits = pairs.join(
         banded, (pairs["feature"] == banded["feature"]) & (pairs["band"] == banded["band"]) & crosses
     ).select("point", pairs["feature"].alias("feature"))
-    return (
-        hits.groupBy("point", "feature").agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") % 2 == 1)
-        .select(F.col("point").alias(point), F.col("feature").alias(feature))
-    )
+    inside = hits.groupBy("point", "feature").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") % 2 == 1)
+    named = inside.join(layer.select("feature_id", F.col("feature_row").alias("feature")), "feature")
+    return named.select(F.col("point.id").alias(point), F.col("feature_id").alias(feature)).distinct()
 
 
 def polygon_flags(layer: DataFrame, feature: str, rings: str,
@@ -140,5 +145,6 @@ def polygon_flags(layer: DataFrame, feature: str, rings: str,
     ])
     found = points_in_polygons(tagged, "point", "x", "y", layer, feature, rings)
     hits = found.groupBy(feature).agg(*[F.max(F.col("point.set") == n).alias(n) for n in point_sets])
-    marked = attach(layer.select(feature).distinct(), hits, feature)
+    own = layer.select(feature).distinct()
+    marked = own.join(hits.withColumnRenamed(feature, "hit_feature"), own[feature].eqNullSafe(F.col("hit_feature")), "left")
     return marked.select(feature, *[F.when(F.col(n), "Yes").otherwise("No").alias(n) for n in point_sets])

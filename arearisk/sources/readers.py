@@ -6,8 +6,9 @@ Schemas are always declared; nothing is inferred from data.
 from __future__ import annotations
 
 import csv
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,35 +36,62 @@ def read_sheets(spark: SparkSession, path: str | list[str], columns: Mapping[str
     file without its ending (or of its folder, with `tag="folder"`), and
     `row_no`, the row order a worksheet has. One file is one row of text
     first: a worksheet ends at 1,048,576 rows, so that is bounded; sheets are
-    read in parallel, however many there are.
+    read in parallel, however many there are. Columns are found by the header
+    of each sheet, so their order may differ; a sheet without one of them is an
+    error. `row_no` counts records below the header, blank ones included.
     """
     name = {"file": F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", ""),
             "folder": F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1)}[tag]
-    files = spark.read.text(path, wholetext=True).select(
-        name.alias("sheet"),
-        F.split(F.regexp_replace("value", "^﻿", ""), "\r?\n").alias("lines"),
-    )
-    heads = files.select(F.get("lines", F.lit(skip)).alias("h")).limit(1).collect()
-    if not heads or heads[0]["h"] is None:
+    files = spark.read.text(path, wholetext=True).select(name.alias("sheet"), F.regexp_replace("value", "^\ufeff", "").alias("text"))
+    wanted = list(columns)
+    heads = files.mapInArrow(_sheet_heads(skip, separator, wanted), "missing string").distinct().limit(len(wanted) + 2).collect()
+    if not heads or any(r["missing"] is None for r in heads):
         raise ValueError(f"no header row after {skip} title rows in {path}")
-    header = next(csv.reader([heads[0]["h"]], delimiter=separator))
-    missing = [c for c in columns if c not in header]
-    if missing:
+    if missing := sorted(r["missing"] for r in heads if r["missing"]):
         raise ValueError(f"columns not in the sheet header: {missing}")
-    fields = [f"c{i}" for i in range(len(header))]
-    shape = ", ".join(f"{f} string" for f in fields)
-    rows = (
-        files.select("sheet", F.posexplode("lines").alias("pos", "line"))
-        .filter((F.col("pos") > skip) & (F.trim("line") != ""))
-        .select("sheet", (F.col("pos") - skip).cast("long").alias("row_no"),
-                F.from_csv("line", F.lit(shape), {"sep": separator, "nullValue": NA}).alias("r"))
-    )
-
-    def cell(text: str, name: str, kind: T.DataType):
-        raw = F.nullif(F.col(f"r.{fields[header.index(text)]}"), F.lit(""))
+    rows = files.mapInArrow(_sheet_rows(skip, separator, wanted), "sheet string, row_no long, cells array<string>")
+
+    def cell(place: int, name: str, kind: T.DataType):
+        raw = F.nullif(F.get("cells", F.lit(place)), F.lit(""))
+        raw = F.when(raw != NA, raw)
         return (raw if isinstance(kind, T.StringType) else raw.try_cast(kind)).alias(name)
 
-    return rows.select("sheet", "row_no", *[cell(text, n, t) for text, (n, t) in columns.items()])
+    return rows.select("sheet", "row_no", *[cell(i, n, t) for i, (n, t) in enumerate(columns.values())])
+
+
+def _opened(text: str, skip: int, separator: str):
+    """Header of a sheet (None without one) and its records; quoted fields may hold line ends."""
+    lines = iter(text.splitlines(keepends=True))
+    for _ in range(skip):
+        next(lines, None)
+    table = csv.reader(lines, delimiter=separator)
+    return next(table, None), table
+
+
+def _sheet_heads(skip: int, separator: str, wanted: list[str]):
+    """What sheets lack: a wanted column's text each, NULL for a header row, empty for nothing."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: set[str | None] = set()
+            for text in batch.column("text").to_pylist():
+                header, _ = _opened(text, skip, separator)
+                out |= {c for c in wanted if c not in header} or {""} if header else {None}
+            yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.string())], ["missing"])
+    return run
+
+
+def _sheet_rows(skip: int, separator: str, wanted: list[str]):
+    """Cells of the wanted columns, found by the header of each sheet."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for sheet, text in zip(batch.column("sheet").to_pylist(), batch.column("text").to_pylist()):
+                header, table = _opened(text, skip, separator)
+                places = [header.index(c) for c in wanted]
+                kept = [(i, [r[p] if p < len(r) else None for p in places]) for i, r in enumerate(table, 1) if any(x.strip() for x in r)]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([sheet] * len(kept), pa.string()), pa.array([i for i, _ in kept], pa.int64()),
+                    pa.array([cells for _, cells in kept], pa.list_(pa.string()))], ["sheet", "row_no", "cells"])
+    return run
 
 
 def read_placemarks(spark: SparkSession, paths: Mapping[str, str], row_tag: str = "Placemark") -> DataFrame:
@@ -93,8 +121,12 @@ def _features(spark: SparkSession, path: str, properties: T.StructType, layout:
         return spark.read.schema(doc).json(path, multiLine=True).select(F.explode("features").alias("f"))
     if layout == "lines":
         line = F.regexp_replace(F.trim("value"), ",$", "")
-        text = spark.read.text(path).filter(F.col("value").rlike(r'"type"\s*:\s*"Feature"'))
-        return text.select(F.from_json(line, feature).alias("f"))
+        # Lines of the frame around the features have no properties; any other line must be one whole feature.
+        frame = line.isin("", "{", "}", "]", "]}") | line.rlike(r'^\{?\s*"(type"\s*:\s*"FeatureCollection"|name"|crs"|features")(?!.*"Feature")')
+        parsed = F.from_json(line, feature)
+        whole = line.rlike(r'^\{.*\}$') & parsed.isNotNull() & (parsed["type"] == "Feature")
+        wrong = F.concat(F.lit(f"not a feature on a line of its own in {path}; use layout='document' for a collection: "), F.substring(line, 1, 80))
+        return spark.read.text(path).filter(~frame).select(F.when(whole, parsed).otherwise(F.raise_error(wrong)).alias("f"))
     raise ValueError(f"unknown layout: {layout}")
 
 
@@ -123,8 +155,13 @@ def read_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return spark.read.schema(schema).json(path)
 
 
-def rename_from_descriptions(df: DataFrame, descriptions: DataFrame, code: str, description: str,
-                             limit: int = 10_000) -> DataFrame:
-    """Replace column codes by their descriptions from a metadata table with one row per column."""
-    named = {r[0]: r[1] for r in descriptions.select(code, description).limit(limit).collect()}
-    return df.toDF(*[named.get(c, c) for c in df.columns])
+def rename_from_descriptions(df: DataFrame, descriptions: DataFrame, code: str, description: str) -> DataFrame:
+    """Replace column codes by their descriptions from a metadata table with one row per column.
+
+    Only the table's rows for columns of `df` are read. Two descriptions of one column are an error.
+    """
+    own = descriptions.select(code, description).filter(F.col(code).isin(df.columns)).distinct().collect()
+    named = {r[0]: r[1] for r in own}
+    if len(named) < len(own):
+        raise ValueError("a column has more than one description")
+    return df.toDF(*[named.get(c) or c for c in df.columns])

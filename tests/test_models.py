@@ -149,3 +149,10 @@ def test_too_many_levels_and_too_few_rows(spark, frame):
         M.levels_of(spark.range(100).select(F.col("id").cast("string").alias("f")), "f")
     with pytest.raises(ValueError, match="cannot identify"):
         M.fit_linear(frame.limit(2), "y", M.numeric_term("x"))
+
+
+def test_a_perfect_fit_has_statistics(spark):
+    df = spark.createDataFrame([(float(i), 2.0 * i, 0.0) for i in range(8)], "x double, y double, z double")
+    fit = M.fit_linear(df, "z", {"x": df["x"]})
+    row = fit.glance(spark).first()
+    assert row["n"] == 8 and row["aic"] == float("-inf")

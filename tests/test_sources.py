@@ -109,3 +109,39 @@ def test_stored_tables_are_released(spark):
 def test_catalogue_paths():
     c = Catalogue("/d/", "/o")
     assert (c.raw("census", "x.csv"), c.processed("f"), c.output("r")) == ("/d/raw/census/x.csv", "/d/processed/f", "/o/r")
+
+
+def test_sheets_with_other_column_orders_and_quoted_line_ends(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('code,n\nE1,1\n"E\n2",2\n')
+    (tmp_path / "b.csv").write_text("n,extra,code\n7,x,S1\n")
+    cols = {"code": ("code", T.StringType()), "n": ("n", T.LongType())}
+    assert rows(R.read_sheets(spark, str(tmp_path), cols), "sheet", "code", "n") == [("a", "E\n2", 2), ("a", "E1", 1), ("b", "S1", 7)]
+    (tmp_path / "c.csv").write_text("code,other\nW1,1\n")
+    with pytest.raises(ValueError, match="not in the sheet header"):
+        R.read_sheets(spark, str(tmp_path), cols)
+
+
+def test_a_collection_is_not_read_as_lines(spark, tmp_path):
+    one = '{"type": "Feature", "properties": {"id": "%s"}, "geometry": {"type": "Point", "coordinates": [1, 2]}}'
+    schema = T.StructType([T.StructField("id", T.StringType())])
+    good = tmp_path / "good.geojson"
+    good.write_text('{\n"type": "FeatureCollection",\n"features": [\n' + one % "a" + ",\n" + one % "b" + "\n]\n}\n")
+    assert rows(R.read_points(spark, str(good), schema)) == [("a", 1.0, 2.0), ("b", 1.0, 2.0)]
+    whole = tmp_path / "whole.geojson"
+    whole.write_text('{"type": "FeatureCollection", "features": [' + one % "a" + ", " + one % "b" + "]}\n")
+    assert rows(R.read_points(spark, str(whole), schema, "document")) == [("a", 1.0, 2.0), ("b", 1.0, 2.0)]
+    with pytest.raises(Exception, match="not a feature"):
+        R.read_points(spark, str(whole), schema).collect()
+    broken = tmp_path / "broken.geojson"
+    broken.write_text(one % "a" + "\n" + (one % "b")[:-20] + "\n")
+    with pytest.raises(Exception, match="not a feature"):
+        R.read_points(spark, str(broken), schema).collect()
+
+
+def test_every_description_counts(spark):
+    df = spark.createDataFrame([(1, 2)], "c11999 int, c2 int")
+    named = spark.range(12_000).selectExpr("concat('c', id) AS code", "concat('name ', id) AS label")
+    assert R.rename_from_descriptions(df, named, "code", "label").columns == ["name 11999", "name 2"]
+    twice = named.union(spark.createDataFrame([("c2", "other")], "code string, label string"))
+    with pytest.raises(ValueError, match="more than one description"):
+        R.rename_from_descriptions(df, twice, "code", "label")

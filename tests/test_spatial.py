@@ -64,3 +64,16 @@ def test_flags_for_several_point_sets(spark):
     two = spark.createDataFrame([("z", 11.0, 10.5), ("y", 99.0, 99.0)], "code string, lon double, lat double")
     got = rows(polygon_flags(layer, "id", "rings", {"shops": (one, "id", "x", "y"), "props": (two, "code", "lon", "lat")}))
     assert got == [("a", "Yes", "No"), ("b", "No", "Yes")]
+
+
+def test_repeated_and_missing_ids_are_tested_by_place(spark):
+    """A point or a polygon given twice, or without an id, is inside like any other."""
+    square = [[[0.0, 0.0], [4.0, 0.0], [4.0, 4.0], [0.0, 4.0]]]
+    far = [[[10.0, 10.0], [12.0, 10.0], [12.0, 12.0]]]
+    layer = spark.createDataFrame([("a", square), ("a", square), (None, far), ("b", far)], "zone string, rings array<array<array<double>>>")
+    points = spark.createDataFrame(
+        [("p", 1.0, 1.0), ("p", 1.0, 1.0), (None, 2.0, 2.0), (None, 11.5, 11.0), ("q", 9.0, 9.0), ("p", 50.0, 50.0)], "id string, x double, y double")
+    got = points_in_polygons(points, "id", "x", "y", layer, "zone", "rings").collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, [("p", "a"), (None, "a"), (None, None), (None, "b")]))
+    flags = polygon_flags(layer, "zone", "rings", {"any": (points, "id", "x", "y")})
+    assert {r["zone"]: r["any"] for r in flags.collect()} == {"a": "Yes", "b": "Yes", None: "Yes"}
