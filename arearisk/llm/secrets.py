@@ -70,10 +70,10 @@ def trigram_query(rule: Rule) -> list[frozenset[str]]:
 
 
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`doc_id`, `text` (NULL as empty), `key` and `rest`, a struct of the other columns, of every row."""
+    """`doc_id`, `text` (NULL as empty), whether it was `missing`, `key` and `rest`, a struct of the other columns."""
     rest = [quoted(c) for c in docs.columns if c not in (id_col, text_col)]
     rows = docs.select(quoted(id_col).alias("doc_id"), F.coalesce(quoted(text_col), F.lit("")).alias("text"),
-                       (F.struct(*rest) if rest else F.lit(None).cast("int")).alias("rest"))
+                       quoted(text_col).isNull().alias("missing"), (F.struct(*rest) if rest else F.lit(None).cast("int")).alias("rest"))
     return rows.withColumn("key", F.xxhash64("doc_id", "text"))
 
 
@@ -150,7 +150,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id
         if f"may_{rule.kind}" in found.columns:
             able = F.coalesce(F.col(f"may_{rule.kind}"), F.lit(False)) & able
         parts.append(F.when(able, spans_of(F.col("text"), rule, place)).otherwise(none))
-    return checked.select("doc_id", "text", "rest", F.array_sort(F.concat(*parts)).alias("spans"))
+    return checked.select("doc_id", "text", "missing", "rest", F.array_sort(F.concat(*parts)).alias("spans"))
 
 
 def is_rule(place: int):
@@ -194,7 +194,7 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_
         if c == id_col:
             out.append(F.col("doc_id").alias(c))
         elif c == text_col:
-            out.append(F.when(F.col("text") != "", F.col("clean")).alias(c))
+            out.append(F.when(~F.col("missing"), F.col("clean")).alias(c))
         elif c == length_col:
             out.append(F.when(found, F.length("clean")).otherwise(F.col("rest").getField(c)).cast(docs.schema[c].dataType).alias(c))
         else:
