@@ -65,8 +65,9 @@ def shards(shuffled: DataFrame, n: int = 8) -> DataFrame:
         raise ValueError("at least one shard")
     sizes = shuffled.groupBy("bucket").agg(F.count("*").alias("rows"))
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("bucket", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("first"),
-                          F.sum("rows").over(Window.partitionBy(F.lit(0))).alias("total"))
+    # Stored, so that its size is known before the join and the texts need not be shuffled again.
+    starts = materialize(sizes.select("bucket", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("first"),
+                                      F.sum("rows").over(Window.partitionBy(F.lit(0))).alias("total")), "bucket-starts")
     out = shuffled.join(starts, "bucket").withColumn("shard", F.expr(f"CAST((first + place) * {n} div total AS INT)"))
     begin = F.expr(f"(CAST(shard AS BIGINT) * total + {n - 1}) div {n}")
     return out.withColumn("slot", F.col("first") + F.col("place") - begin).drop("first", "total")
