@@ -33,8 +33,8 @@ from arearisk.scratch import materialize
 
 ORDER = 4
 SHARED = 2
-DOCS_PER_CLASS = 5000
-CURVE_DOCS = 4000
+DOCS_PER_CLASS = 2500
+CURVE_DOCS = 3000
 REMEMBERED = 500_000
 
 _WORD = re.compile(r"\w+")
@@ -61,15 +61,14 @@ class Chars:
         depth = np.arange(1, n + 1) - np.repeat(self.bound[:-1], np.diff(self.bound))
         #: Characters of the word up to and including this one.
         self.depth = depth
-        self.hash = [np.zeros(n, np.uint64)]
+        running = np.zeros(n, np.uint64)
+        self.mixed = [running]
         power, modulus = 1, 1 << 64
         for k in range(1, order + 1):
-            older = np.zeros(n, np.uint64)
-            older[k - 1:] = code[:n - k + 1]
-            self.hash.append(self.hash[-1] + older * np.uint64(power))
+            running = running.copy()
+            running[k - 1:] += code[:n - k + 1] * np.uint64(power)
+            self.mixed.append(running ^ (running >> np.uint64(29)))
             power = power * _BASE % modulus
-        self.mixed = [h ^ (h >> np.uint64(29)) for h in self.hash]
-
     def context(self, k: int, at: np.ndarray) -> np.ndarray:
         """Hash of the k - 1 characters before each place."""
         return self.mixed[k - 1][at - 1]
@@ -143,10 +142,11 @@ def fit(words: list[str], counts: np.ndarray) -> Model:
         model.weights += [model.weights[0]] * ORDER
         return model
     chars = Chars(words, ORDER)
-    owner = np.repeat(np.arange(len(words)), np.diff(chars.bound))
+    owner = np.repeat(np.arange(len(words), dtype=np.int32), np.diff(chars.bound))
     alphabet = len(np.unique(chars.mixed[1]))
     model.floor = -float(np.log(alphabet + 1))
-    raw = counts[owner].astype(np.float64)
+    raw = counts.astype(np.float32)[owner]
+    del owner
     for k in range(1, ORDER + 1):
         at = np.flatnonzero((chars.depth >= k) & (chars.depth > 1))
         gram, first, group = np.unique(chars.mixed[k][at], return_index=True, return_inverse=True)
