@@ -37,6 +37,9 @@ DOCS_PER_CLASS = 2500
 CURVE_DOCS = 3000
 REMEMBERED = 500_000
 
+#: Bytes of texts that a worker cuts into words at a time.
+BLOCK = 4 << 20
+
 _WORD = re.compile(r"\w+")
 _BASE = 0x9E3779B97F4A7C15
 _START, _END = "\x02", "\x03"
@@ -58,11 +61,10 @@ class Chars:
         self.bound = offsets_of([len(w) for w in framed])
         code = np.frombuffer("".join(framed).encode("utf-32-le"), np.uint32).astype(np.uint64) + np.uint64(1)
         n = len(code)
-        depth = np.arange(1, n + 1) - np.repeat(self.bound[:-1], np.diff(self.bound))
         #: Characters of the word up to and including this one.
-        self.depth = depth
+        self.depth = (np.arange(1, n + 1) - np.repeat(self.bound[:-1], np.diff(self.bound))).astype(np.int32)
         running = np.zeros(n, np.uint64)
-        self.mixed = [running]
+        self.mixed = [np.broadcast_to(np.uint64(0), n)]
         power, modulus = 1, 1 << 64
         for k in range(1, order + 1):
             running = running.copy()
@@ -303,7 +305,7 @@ def _sums(rows: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _scorer(shared)
-        for t in blocks(batches):
+        for t in blocks(batches, limit=BLOCK):
             sums = own.sums(t["text"].to_pylist())
             yield from pa.table({
                 "doc_id": t["doc_id"], "toxic_sum": sums[:, 0], "ordinary_sum": sums[:, 1],
@@ -336,8 +338,8 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, bound: float = 0.5, id_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _scorer(shared)
-        for b in batches:
-            texts = [t or "" for t in b.column(text_col).to_pylist()]
-            yield b.filter(pa.array(own.model.score(own.sums(texts)) < bound))
+        for t in blocks(batches, text_col, BLOCK):
+            texts = [x or "" for x in t[text_col].to_pylist()]
+            yield from t.filter(pa.array(own.model.score(own.sums(texts)) < bound)).to_batches()
 
     return docs.mapInArrow(run, docs.schema)
