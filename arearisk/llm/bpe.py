@@ -222,14 +222,14 @@ class Encoder:
         """Ids of each text as little-endian 32-bit numbers."""
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        cut = [self.pieces(text) for text in texts]
         fresh: set[str] = set()
-        for parts in cut:
-            fresh.update(filterfalse(self.known.__contains__, parts))
+        for text in texts:
+            fresh.update(filterfalse(self.known.__contains__, self.pieces(text)))
         if fresh:
             self.learn(list(fresh))
+        # Cutting twice costs little; the pieces of a whole block would take ten times its bytes.
         get = self.known.__getitem__
-        return [b"".join(map(get, parts)) for parts in cut]
+        return [b"".join(map(get, self.pieces(text))) for text in texts]
 
     def decode(self, ids: np.ndarray) -> str:
         """Text of the ids as the library's decode gives it, special tokens kept."""
