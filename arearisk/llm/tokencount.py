@@ -79,14 +79,13 @@ class Counter:
         """Tokens of each whole text."""
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        cut = [self.words(t) for t in texts]
-        fresh: set[str] = set()
-        for words in cut:
-            fresh.update(filterfalse(self.known.__contains__, words))
-        for w in fresh:
-            self.known[w] = self.word(SPACE + w.replace(" ", SPACE))
-        get = self.known.__getitem__
-        return [sum(map(get, words)) for words in cut]
+        known, out = self.known, []
+        for text in texts:
+            words = self.words(text)
+            for w in set(filterfalse(known.__contains__, words)):
+                known[w] = self.word(SPACE + w.replace(" ", SPACE))
+            out.append(sum(map(known.__getitem__, words)))
+        return out
 
     def words(self, text: str) -> list[str]:
         """A text's words without the one space mark before each; further spaces stay in front."""
