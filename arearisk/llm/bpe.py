@@ -36,6 +36,9 @@ BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s
 #: Distinct pieces of text that a worker remembers.
 REMEMBERED = 700_000
 
+#: Bytes of texts whose new words are encoded together.
+BLOCK = 4 << 20
+
 #: Beyond this code point Unicode versions differ in what a letter is; the library's own splitter decides there.
 _RARE = re.compile("[^\u0000-ԯ]")
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
@@ -257,7 +260,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path)
-        for t in blocks(batches):
+        for t in blocks(batches, limit=BLOCK):
             ids = _ids_array(own.encode(t["text"].to_pylist()))
             yield from pa.table({"doc_id": t["doc_id"], "ids": ids}).to_batches()
 
@@ -283,7 +286,7 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     """`encode` and `decode` in one pass: `doc_id`, `ids`, `decoded`. Same rules for missing and repeated rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path)
-        for t in blocks(batches):
+        for t in blocks(batches, limit=BLOCK):
             got = own.encode(t["text"].to_pylist())
             back = [own.decode(np.frombuffer(g, np.int32)) for g in got]
             yield from pa.table({"doc_id": t["doc_id"], "ids": _ids_array(got), "decoded": pa.array(back, pa.string())}).to_batches()

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arearisk.llm.bpe import encoder
+from arearisk.llm.bpe import BLOCK, encoder
 from arearisk.llm.common import blocks, id_and_text, quoted
 
 #: Items that wait in a task while bins are filled from them.
@@ -180,7 +180,7 @@ def pack_documents(docs: DataFrame, path: str, end_id: int = 1, limits: Limits =
         own = encoder(path)
 
         def rows():
-            for t in blocks(batches):
+            for t in blocks(batches, limit=BLOCK):
                 data = [x + tail for x in own.encode(t["text"].to_pylist())]
                 yield t["doc_id"].combine_chunks(), data, [len(x) // 4 - 1 for x in data]
 
