@@ -19,7 +19,6 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import filterfalse
 
 import numpy as np
@@ -27,7 +26,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from arearisk.llm.common import blocks, id_and_text, offsets_of
+from arearisk.llm.common import blocks, id_and_text, kept, offsets_of
 
 #: How the two supported vocabularies cut normalised text into words.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -241,10 +240,9 @@ class Encoder:
         return b"".join(map(self.raw.__getitem__, ids.tolist())).decode("utf-8", "replace")
 
 
-@lru_cache(maxsize=4)
 def encoder(path: str) -> Encoder:
-    """One encoder per vocabulary file and Python worker."""
-    return Encoder(path)
+    """This worker's encoder for a vocabulary file."""
+    return kept(("encoder", path), lambda: Encoder(path))
 
 
 def _ids_array(encoded: list[bytes]) -> pa.Array:

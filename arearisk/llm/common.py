@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -59,3 +59,19 @@ def offsets_of(lengths) -> np.ndarray:
 def is_held_out(doc_id: Column, folds: int = 5) -> Column:
     """True where crc32 of the id as text is divisible by `folds`; a NULL id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds == 0
+
+
+_kept: dict[Hashable, object] = {}
+
+
+def kept(name: Hashable, make: Callable[[], object]):
+    """What a Python worker keeps between tasks under `name`. Only one thing is kept, so what an earlier operator left goes."""
+    if name not in _kept:
+        forget()
+        _kept[name] = make()
+    return _kept[name]
+
+
+def forget() -> None:
+    """Drop what an earlier operator left in this worker."""
+    _kept.clear()

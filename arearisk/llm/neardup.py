@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arearisk.llm.common import blocks, offsets_of, quoted
+from arearisk.llm.common import blocks, forget, offsets_of, quoted
 from arearisk.scratch import materialize
 
 WORDS = 5
@@ -187,6 +187,7 @@ def bands(h: np.ndarray, doc: np.ndarray, w: np.ndarray, n: int) -> list[np.ndar
 
 
 def _heavy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    forget()
     for t in blocks(batches, limit=BLOCK):
         h, doc, _, order = counted(*shingles(t["text"].to_pylist()))
         by_hash = h[order]
@@ -388,6 +389,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_col: str =
     shared = spark.sparkContext.broadcast(own)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for t in blocks(batches, limit=BLOCK):
             texts, keys = t["text"].to_pylist(), t["key"].to_pylist()
             first: dict[bytes, int] = {}

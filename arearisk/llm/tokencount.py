@@ -16,14 +16,13 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import filterfalse
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from arearisk.llm.common import blocks, id_and_text
+from arearisk.llm.common import blocks, id_and_text, kept
 
 #: Fixed value: the mark that stands for a space.
 SPACE = "▁"
@@ -95,10 +94,9 @@ class Counter:
         return text.split(" ") if "  " not in text and text[0] != " " else _AFTER_WORD.split(text)
 
 
-@lru_cache(maxsize=4)
 def counter(path: str) -> Counter:
-    """One counter per model file and Python worker."""
-    return Counter(path)
+    """This worker's counter for a model file."""
+    return kept(("counter", path), lambda: Counter(path))
 
 
 def count_tokens(docs: DataFrame, path: str, limit: int = 4096, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

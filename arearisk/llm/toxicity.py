@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arearisk.llm.common import blocks, id_and_text, is_held_out, offsets_of, quoted
+from arearisk.llm.common import blocks, id_and_text, is_held_out, kept, offsets_of, quoted
 from arearisk.scratch import materialize
 
 ORDER = 4
@@ -228,15 +228,9 @@ class Scorer:
         return out
 
 
-_scorers: dict[int, Scorer] = {}
-
-
 def _scorer(shared) -> Scorer:
     """This worker's scorer for a broadcast model."""
-    if shared.id not in _scorers:
-        _scorers.clear()
-        _scorers[shared.id] = Scorer(shared.value)
-    return _scorers[shared.id]
+    return kept(("scorer", shared.id), lambda: Scorer(shared.value))
 
 
 class _Shared:
