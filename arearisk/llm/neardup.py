@@ -207,12 +207,14 @@ def weights(rows: DataFrame) -> Weights:
     return Weights(found["shingle"].to_numpy().view(np.uint64), found["df"].to_numpy(), total)
 
 
-def spanning(texts: list[str], own: Weights, threshold: float = THRESHOLD) -> tuple[list[tuple[int, int, float]], list[int]]:
+def spanning(texts: list[str], own: Weights, threshold: float = THRESHOLD, part: list[int] | None = None,
+             apart=None) -> tuple[list[tuple[int, int, float]], list[int]]:
     """Near pairs that join the texts of a bounded group as classes, and the class of each text.
 
-    Every pair of texts that are not in one class yet is compared by its weighted Jaccard similarity.
+    Every pair of texts that are not in one class yet is compared by its weighted Jaccard similarity. `part` holds
+    the classes at the start, each named by its first text; `apart(text, others)` says which pairs are compared here.
     """
-    part, kept = list(range(len(texts))), []
+    part, kept = list(range(len(texts))) if part is None else list(part), []
 
     def find(x: int) -> int:
         while part[x] != x:
@@ -230,6 +232,8 @@ def spanning(texts: list[str], own: Weights, threshold: float = THRESHOLD) -> tu
     size = ends - first
     for i, text in enumerate(here[:-1]):
         others = np.array([j for j in range(i + 1, len(here)) if find(here[j]) != find(text)], np.int64)
+        if apart is not None and len(others):
+            others = others[apart(text, np.array(here, np.int64)[others])]
         if not len(others):
             continue
         if len(others) == len(here) - i - 1:
@@ -279,7 +283,7 @@ def links(rows: DataFrame, keys: DataFrame, own: Weights, threshold: float = THR
     buckets, directly or through others, are a family. Within a family of up to `FAMILY` texts every pair is
     compared. A larger one is dealt into random chunks that all hold the same hubs: pairs are compared within a
     chunk, texts joined with a hub are settled, and the rest go to another round with other hubs, until they fit
-    one chunk. What then lies in different classes but shares a bucket is compared by its hubs once more.
+    one chunk. Then all pairs that share a bucket and still lie in different classes are compared, chunk by chunk.
     """
     shared = rows.sparkSession.sparkContext.broadcast(own)
     entries = keys.select("key", F.explode("buckets").alias("bucket"))
@@ -322,37 +326,53 @@ def links(rows: DataFrame, keys: DataFrame, own: Weights, threshold: float = THR
             turn += 2
             if left.isEmpty():
                 break
-        found.append(_crossed(entries, large, texts, found, shared, threshold))
+        found.append(_crossed(keys, entries, large, texts, found, shared, threshold))
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
     return out.select("a", "b", "similarity").distinct()
 
 
-def _crossed(entries: DataFrame, large: DataFrame, texts: DataFrame, found: list[DataFrame], shared, threshold: float) -> DataFrame:
-    """Links between classes of large families: per bucket the hubs of its classes against the bucket's main hub."""
+def _crossed(keys: DataFrame, entries: DataFrame, large: DataFrame, texts: DataFrame, found: list[DataFrame], shared, threshold: float) -> DataFrame:
+    """Links between classes of large families: all pairs that share a bucket and lie in different classes.
+
+    The members of a bucket are dealt into chunks, and a task compares one chunk with one other, or with itself. A pair
+    is compared only in the first bucket that it shares.
+    """
     edges = found[0].select("a", "b")
     for more in found[1:]:
         edges = edges.union(more.select("a", "b"))
     roots = components(edges.join(large, F.col("a") == F.col("key"), "left_semi"), "a", "b")
-    part = entries.join(large.select("key"), "key").join(roots, F.col("key") == F.col("node"), "left")
-    part = part.select("bucket", "key", F.coalesce("root", "key").alias("part"))
-    leaders = part.groupBy("bucket", "part").agg(F.count("*").alias("n"), F.min("key").alias("leader"))
-    main = leaders.groupBy("bucket").agg(F.max(F.struct("n", "leader")).alias("top"))
-    pairs = leaders.join(main, "bucket").filter(F.col("leader") != F.col("top.leader")).select(F.col("leader").alias("a"), F.col("top.leader").alias("b")).distinct()
-    short = texts.select("key", "text")
-    both = pairs.join(short, F.col("a") == F.col("key")).select("a", "b", F.col("text").alias("one"))
-    both = both.join(short, F.col("b") == F.col("key")).select("a", "b", "one", F.col("text").alias("two"))
+    part = large.select("key").join(roots, F.col("key") == F.col("node"), "left").select("key", F.coalesce("root", "key").alias("part"))
+    part = materialize(part.join(texts.select("key", F.octet_length("text").alias("bytes")), "key"), "large-parts")
+    part = entries.select("bucket", "key").join(part, "key")
+    mixed = part.groupBy("bucket").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"), F.min("part").alias("low"), F.max("part").alias("high"))
+    chunks = F.greatest(F.lit(1), F.ceil(F.col("n") * 2 / FAMILY), F.ceil(F.col("bytes") * 2 / FAMILY_BYTES)).cast("long")
+    mixed = mixed.filter("low <> high").select("bucket", chunks.alias("chunks"))
+    dealt = part.drop("bytes").join(mixed, "bucket").withColumn("own", F.pmod(F.xxhash64("key"), F.col("chunks")))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+    dealt = dealt.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "key", "part")
+    tiles = dealt.join(texts.select("key", "text"), "key").join(keys, "key")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            got = [spanning([x, y], shared.value, threshold)[0] for x, y in zip(batch.column("one").to_pylist(), batch.column("two").to_pylist())]
-            kept = pa.array([bool(g) for g in got])
-            sims = pa.array([g[0][2] if g else 0.0 for g in got])
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), sims, pa.nulls(len(got), pa.bool_())],
-                                             ["a", "b", "similarity", "settled"]).filter(kept)
-
-    return materialize(both.mapInArrow(run, _LINK), "crossed")
+    def run(t: pa.Table) -> pa.Table:
+        t = t.take(pc.sort_indices(t["key"]))
+        names, first = t["part"].to_pylist(), {}
+        part = [first.setdefault(p, x) for x, p in enumerate(names)]
+        bucket, own = t["bucket"][0].as_py(), t["own"].to_numpy()
+        buckets = t["buckets"].combine_chunks().flatten().to_numpy().reshape(len(names), -1)
+        two_sided = t["i"][0].as_py() != t["j"][0].as_py()
+
+        def apart(x: int, others: np.ndarray) -> np.ndarray:
+            alike = buckets[others] == buckets[x]
+            here = buckets[x][alike.argmax(axis=1)] == bucket
+            return here & (own[others] != own[x]) if two_sided else here
+
+        got = spanning(t["text"].to_pylist(), shared.value, threshold, part, apart)[0] if len(first) > 1 else []
+        key = t["key"].to_pylist()
+        return pa.table({"a": pa.array([key[x] for x, _, _ in got], pa.binary()), "b": pa.array([key[y] for _, y, _ in got], pa.binary()),
+                         "similarity": pa.array([sim for _, _, sim in got], pa.float64()), "settled": pa.nulls(len(got), pa.bool_())})
+
+    return materialize(tiles.groupBy("bucket", "i", "j").applyInArrow(run, _LINK), "crossed")
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:

@@ -91,6 +91,22 @@ def test_near_classes(table, family, hubs, request, monkeypatch):
     assert {r["doc_id"] for r in kept.collect()} == {c for c in named.values()}
 
 
+def test_chain_in_a_large_family(spark, monkeypatch):
+    """Texts of one bucket that are near to the next one only, in a family of many chunks, form the classes of brute force."""
+    monkeypatch.setattr(neardup, "FAMILY", 20)
+    monkeypatch.setattr(neardup, "HUBS", 4)
+    rows = [(k, " ".join(f"w{i}" for i in range(10 * k, 10 * k + 105))) for k in range(60)]
+    named, *_ = brute_classes(rows, own := neardup.Weights(np.empty(0, np.uint64), np.empty(0), len(rows)))
+    assert set(named.values()) == {0}
+    table = spark.createDataFrame([(bytearray(hashlib.md5(t.encode()).digest()), t) for _, t in rows], "key binary, text string")
+    got = neardup.links(table, table.selectExpr("key", "array(7L, 8L) AS buckets"), own).collect()
+    part = {bytes(r["key"]): {bytes(r["key"])} for r in table.collect()}
+    for r in got:
+        both = part[bytes(r["a"])] | part[bytes(r["b"])]
+        part.update(dict.fromkeys(both, both))
+    assert {len(p) for p in part.values()} == {len(rows)}
+
+
 def test_samples_agree_as_often_as_the_similarity_says():
     rng = np.random.default_rng(5)
     base = [f"w{i}" for i in range(300)]
