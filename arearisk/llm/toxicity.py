@@ -7,11 +7,13 @@ both classes, so an expression that is rare in either falls back on the same
 estimate. The difference of the two log-likelihoods, per character, is turned
 into a score by a logistic curve.
 
-Labels are read only for documents outside the held-out fold. The models are
-fitted on a bounded sample, `DOCS_PER_CLASS` documents of each class (those with
-the smallest hash of their id), the curve on `CURVE_DOCS` others. Only word
-counts of that sample reach the driver. Scoring is a map over all rows; a worker
-remembers the words it has met in a bounded table.
+Labels are read only for documents outside the held-out fold. The n-grams of every
+labelled document of the learning folds are counted with Spark: words, then n-grams
+per class, then the distinct characters before them. The driver gets one row per
+distinct n-gram and makes the table that is shared. Only the logistic curve, three
+numbers, is fitted on a bounded sample, `CURVE_DOCS` documents of a fold of their
+own. Scoring is a map over all rows; a worker remembers the words it has met in a
+bounded table.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from itertools import chain, count, filterfalse
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arearisk.llm.common import blocks, id_and_text, is_held_out, kept, offsets_of, quoted
@@ -33,8 +35,7 @@ from arearisk.scratch import materialize
 
 ORDER = 4
 SHARED = 2
-DOCS_PER_CLASS = 2500
-CURVE_DOCS = 3000
+CURVE_DOCS = 4000
 REMEMBERED = 500_000
 
 #: Bytes of texts that a worker cuts into words at a time.
@@ -134,38 +135,63 @@ def margins(sums: np.ndarray) -> np.ndarray:
     return np.column_stack([gap / n, gap / np.sqrt(n), np.ones(len(n))])
 
 
-def fit(words: list[str], counts: np.ndarray) -> Model:
-    """Model from distinct words and how often each class (toxic, ordinary) has them."""
-    model = Model([np.empty(0, np.uint64)], [np.empty((0, 2))], [np.empty(0, np.uint64)], [np.empty((0, 2))])
-    if not words:
-        model.grams += [model.grams[0]] * ORDER
-        model.logs += [model.logs[0]] * ORDER
-        model.contexts += [model.contexts[0]] * ORDER
-        model.weights += [model.weights[0]] * ORDER
-        return model
+_GRAMS = "order int, gram long, context long, suffix long, longer long, whole boolean, toxic long, ordinary long"
+
+
+def grams_of(words: list[str], counts: np.ndarray) -> pa.Table:
+    """How often each class has the n-grams of distinct words: one row per order, n-gram and the same with the character before it.
+
+    `whole` n-grams, those of the highest order and at the start of a word, count as often as they occur and have no
+    character before them (`longer` is 0); the others once per distinct character before them (see `continued`).
+    """
     chars = Chars(words, ORDER)
-    owner = np.repeat(np.arange(len(words), dtype=np.int32), np.diff(chars.bound))
-    alphabet = len(np.unique(chars.mixed[1]))
-    model.floor = -float(np.log(alphabet + 1))
-    raw = counts.astype(np.float32)[owner]
-    del owner
+    raw = np.repeat(counts.astype(np.int64), np.diff(chars.bound), axis=0)
+    parts = []
     for k in range(1, ORDER + 1):
         at = np.flatnonzero((chars.depth >= k) & (chars.depth > 1))
-        gram, first, group = np.unique(chars.mixed[k][at], return_index=True, return_inverse=True)
-        n = np.zeros((len(gram), 2))
-        whole = (chars.depth[at] == k) | (k == ORDER)
-        # Highest order and n-grams at the start of a word: plain counts. Others: distinct characters before them.
-        np.add.at(n, group[whole], raw[at[whole]])
-        inner = at[~whole]
-        longer, once = np.unique(chars.mixed[k + 1][inner], return_index=True) if k < ORDER else (None, inner[:0])
-        if len(once):
-            seen = np.zeros((len(longer), 2))
-            np.add.at(seen, np.searchsorted(longer, chars.mixed[k + 1][inner]), raw[inner])
-            np.add.at(n, group[~whole][once], (seen > 0).astype(np.float64))
+        plain = (chars.depth[at] == k) | (k == ORDER)
+        for whole, place in ((True, at[plain]), (False, at[~plain]))[:1 if k == ORDER else 2]:
+            _, first, group = np.unique(chars.mixed[k if whole else k + 1][place], return_index=True, return_inverse=True)
+            n = np.zeros((len(first), 2), np.int64)
+            np.add.at(n, group, raw[place])
+            one = place[first]
+            longer = np.zeros(len(one), np.uint64) if whole else chars.mixed[k + 1][one]
+            hashes = [x.astype(np.uint64).view(np.int64) for x in (chars.mixed[k][one], chars.context(k, one), chars.mixed[k - 1][one], longer)]
+            parts.append(pa.table([pa.array(np.full(len(one), k, np.int32)), *map(pa.array, hashes), pa.array(np.full(len(one), whole)),
+                                   pa.array(n[:, 0]), pa.array(n[:, 1])],
+                                  names=["order", "gram", "context", "suffix", "longer", "whole", "toxic", "ordinary"]))
+    return pa.concat_tables(parts)
+
+
+def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for t in blocks(batches, "word", 1 << 20):
+        yield from grams_of(t["word"].to_pylist(), np.column_stack([t["toxic"].to_numpy(), t["ordinary"].to_numpy()])).to_batches()
+
+
+def continued(words: DataFrame) -> DataFrame:
+    """Counts of every n-gram of the distinct `word`s with their `toxic` and `ordinary` counts: plain or continuation counts."""
+    found = words.select("word", "toxic", "ordinary").mapInArrow(_count_grams, _GRAMS)
+    found = found.groupBy("order", "gram", "context", "suffix", "longer", "whole").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
+    return found.groupBy("order", "gram", "context", "suffix").agg(
+        *[F.sum(F.when(F.col("whole"), F.col(c)).otherwise((F.col(c) > 0).cast("long"))).alias(c) for c in ("toxic", "ordinary")])
+
+
+def finished(found: pa.Table) -> Model:
+    """Model from the counts of all n-grams."""
+    model = Model([np.empty(0, np.uint64)], [np.empty((0, 2))], [np.empty(0, np.uint64)], [np.empty((0, 2))])
+    orders = found["order"].to_numpy()
+    if len(orders):
+        # Every distinct character, the start mark, which is never scored, and one for unknown ones.
+        model.floor = -float(np.log(int((orders == 1).sum()) + 2))
+    for k in range(1, ORDER + 1):
+        own = found.filter(pa.array(orders == k))
+        gram, context, suffix = (own[c].to_numpy().view(np.uint64) for c in ("gram", "context", "suffix"))
+        order = np.argsort(gram)
+        gram, suffix = gram[order], suffix[order]
+        n = np.column_stack([own["toxic"].to_numpy(), own["ordinary"].to_numpy()]).astype(np.float64)[order]
         if k <= SHARED:
             n = np.repeat(n.sum(axis=1, keepdims=True), 2, axis=1)
-        place = at[first]
-        context, inverse = np.unique(chars.context(k, place), return_inverse=True)
+        context, inverse = np.unique(context[order], return_inverse=True)
         total, kinds = np.zeros((len(context), 2)), np.zeros((len(context), 2))
         np.add.at(total, inverse, n)
         np.add.at(kinds, inverse, (n > 0).astype(np.float64))
@@ -173,15 +199,26 @@ def fit(words: list[str], counts: np.ndarray) -> Model:
         discount = np.clip((ones + 0.5) / (ones + 2 * twos + 1.0), 0.1, 0.9)
         with np.errstate(divide="ignore", invalid="ignore"):
             weight = np.where(total > 0, discount * kinds / total, 1.0)
-            lower = np.exp(model.logp(chars, place, k - 1)) if k > 1 else np.full((len(place), 2), np.exp(model.floor))
-            own = np.where(total[inverse] > 0, np.maximum(n - discount, 0) / total[inverse], 0.0)
+            # The n-gram without its first character is known: it occurs wherever the whole one does.
+            lower = np.exp(model.logs[k - 1][find(model.grams[k - 1], suffix)]) if k > 1 else np.full((len(gram), 2), np.exp(model.floor))
+            share = np.where(total[inverse] > 0, np.maximum(n - discount, 0) / total[inverse], 0.0)
         model.grams.append(gram)
-        model.logs.append(np.log(own + weight[inverse] * lower).astype(np.float32))
+        model.logs.append(np.log(share + weight[inverse] * lower).astype(np.float32))
         model.contexts.append(context)
         model.weights.append(np.log(weight).astype(np.float32))
     return model
 
 
+def fit(words: list[str], counts: np.ndarray) -> Model:
+    """Model from distinct words and how often each class (toxic, ordinary) has them, without Spark."""
+    rows = grams_of(words, counts).group_by(["order", "gram", "context", "suffix", "longer", "whole"]).aggregate([("toxic", "sum"), ("ordinary", "sum")])
+    for c in ("toxic", "ordinary"):
+        n = rows[f"{c}_sum"]
+        rows = rows.append_column(c, pc.if_else(rows["whole"], n, pc.cast(pc.greater(n, 0), pa.int64())))
+    rows = rows.group_by(["order", "gram", "context", "suffix"]).aggregate([("toxic", "sum"), ("ordinary", "sum")])
+    return finished(rows.rename_columns([c.removesuffix("_sum") for c in rows.column_names]))
+
+
 def fit_curve(model: Model, sums: np.ndarray, toxic: np.ndarray) -> None:
     """Logistic curve through labelled documents by Newton's method; the rarer class weighs more, by the root of the odds."""
     if not toxic.any() or toxic.all():
@@ -255,38 +292,38 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ], ["toxic", "word", "n"])
 
 
-def labelled_sample(labels: DataFrame, folds: int = 5, id_col: str = "doc_id", label_col: str = "toxic") -> DataFrame:
-    """Ids to learn from: `doc_id`, `toxic` and `part` ("words" for the models, "curve" for the curve), stored.
+def fold_of(doc_id: Column, folds: int = 5) -> Column:
+    """The fold of an id; fold 0 is held out."""
+    return F.crc32(doc_id.cast("string").cast("binary")) % folds
+
+
+def labelled_rows(labels: DataFrame, folds: int = 5, id_col: str = "doc_id", label_col: str = "toxic") -> tuple[DataFrame, DataFrame]:
+    """Ids to learn from, `doc_id` and `toxic`: all for the models, and a sample of a fold of their own for the curve, stored.
 
     An id with several labels counts as toxic if any says so; NULL ids and labels are left out, the held-out fold too.
     """
     rows = (labels.select(quoted(id_col).alias("doc_id"), quoted(label_col).cast("int").alias("toxic"))
             .filter("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
             .filter(~is_held_out(F.col("doc_id"), folds)))
-    rows = rows.withColumn("fold", F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds)
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-
-    def first(kind: str, part: str, n: int) -> DataFrame:
-        return rows.filter(kind).orderBy(*order).limit(n).select("doc_id", "toxic", F.lit(part).alias("part"))
-
-    return materialize(
-        first(f"fold < {folds - 1} AND toxic = 1", "words", DOCS_PER_CLASS)
-        .union(first(f"fold < {folds - 1} AND toxic = 0", "words", DOCS_PER_CLASS))
-        .union(first(f"fold = {folds - 1}", "curve", CURVE_DOCS)), "toxic-sample")
-
-
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Fit both models and the curve on the bounded sample of labelled documents."""
-    # At most 2 x DOCS_PER_CLASS + CURVE_DOCS rows of an id, a label and a word: bounded, so it may be broadcast.
-    sample = labelled_sample(labels)
-    texts = materialize(id_and_text(docs, id_col, text_col).filter("doc_id IS NOT NULL").join(F.broadcast(sample), "doc_id")
-                        .select("doc_id", "toxic", "part", "text"), "toxic-texts")
-    found = (texts.filter("part = 'words'").select("toxic", "text").mapInArrow(_count_words, "toxic int, word string, n long")
+    rows = rows.withColumn("fold", fold_of(F.col("doc_id"), folds))
+    curve = rows.filter(f"fold = {folds - 1}").orderBy(F.xxhash64("doc_id"), "doc_id").limit(CURVE_DOCS)
+    return (materialize(rows.filter(f"fold < {folds - 1}").select("doc_id", "toxic"), "toxic-labels"),
+            materialize(curve.select("doc_id", "toxic"), "toxic-curve"))
+
+
+def train(docs: DataFrame, labels: DataFrame, folds: int = 5, id_col: str = "doc_id", text_col: str = "text") -> Model:
+    """Fit both models on all labelled documents of the learning folds, the curve on a bounded sample of the last one."""
+    learned, sample = labelled_rows(labels, folds)
+    rows = id_and_text(docs, id_col, text_col).filter("doc_id IS NOT NULL")
+    # The same plan at every size: the texts of the learning folds, labelled or not, are shuffled once, by id.
+    words = (rows.filter(fold_of(F.col("doc_id"), folds).between(1, folds - 2)).join(learned.hint("merge"), "doc_id")
+             .select("toxic", "text").mapInArrow(_count_words, "toxic int, word string, n long")
              .groupBy("word").agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("toxic"),
-                                  F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("ordinary")).toArrow())
-    found = found.take(pc.sort_indices(found["word"]))
-    model = fit(found["word"].to_pylist(), np.column_stack([found["toxic"].to_numpy(), found["ordinary"].to_numpy()]))
-    curve = _sums(texts.filter("part = 'curve'").select(F.col("toxic").alias("doc_id"), "text"), model).toArrow()
+                                 F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("ordinary")))
+    model = finished(continued(words).toArrow())
+    # At most CURVE_DOCS rows of an id and a label: bounded, so it may be broadcast.
+    texts = rows.join(F.broadcast(sample), "doc_id")
+    curve = _sums(texts.select(F.col("toxic").alias("doc_id"), "text"), model).toArrow()
     sums = np.column_stack([curve[c].to_numpy() for c in ("toxic_sum", "ordinary_sum", "characters")]).astype(np.float64)
     order = np.lexsort([*sums.T, curve["doc_id"].to_numpy()])
     fit_curve(model, sums[order], curve["doc_id"].to_numpy()[order] == 1)
@@ -319,7 +356,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     to no evidence. Equal texts get equal scores; NULL ids are scored, not learned from; without labels of both
     classes the curve is a fixed one; an empty table gives an empty result. Other columns are not read.
     """
-    done = _sums(id_and_text(docs, id_col, text_col), train(docs, labels, id_col, text_col))
+    done = _sums(id_and_text(docs, id_col, text_col), train(docs, labels, id_col=id_col, text_col=text_col))
     n = F.greatest(F.col("characters"), F.lit(1))
     return done.select(
         "doc_id", is_held_out(F.col("doc_id")).alias("held_out"), (F.col("toxic_sum") / n).alias("toxic_logp"),
@@ -328,7 +365,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, bound: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs`, all columns as they are, whose text scores below `bound`; same rules as `score_toxicity`."""
-    shared = _Shared(docs.sparkSession.sparkContext.broadcast(train(docs, labels, id_col, text_col)), next(_numbers))
+    shared = _Shared(docs.sparkSession.sparkContext.broadcast(train(docs, labels, id_col=id_col, text_col=text_col)), next(_numbers))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _scorer(shared)

@@ -85,6 +85,22 @@ def test_model_probabilities_add_up():
         assert (total <= 1.0001).all() and (total > 0.75).all()
 
 
+def test_model_counts_every_labelled_document(spark):
+    """The shared table is that of all learning-fold documents, more than 3,000 of a class, and holds their rarest words."""
+    rows = [(i, f"ordinary words here {i % 7} {'slur' if i % 2 else 'fine'} only{i}", i % 2) for i in range(12_000)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    got = toxicity.train(table.select("doc_id", "text"), table.select("doc_id", "toxic"))
+    counts = defaultdict(lambda: [0, 0])
+    for i, text, toxic in rows:
+        if zlib.crc32(str(i).encode()) % 5 in (1, 2, 3):
+            for w in toxicity.words_of(text):
+                counts[w][1 - toxic] += 1
+    want = toxicity.fit(list(counts), np.array(list(counts.values())))
+    for k in range(1, toxicity.ORDER + 1):
+        assert (got.grams[k] == want.grams[k]).all() and np.allclose(got.logs[k], want.logs[k], atol=1e-6)
+        assert (got.contexts[k] == want.contexts[k]).all() and np.allclose(got.weights[k], want.weights[k], atol=1e-6)
+
+
 def test_toxicity_without_anything(odd, none, labels):
     empty = labels.limit(0)
     assert toxicity.score_toxicity(none, empty).count() == 0
