@@ -394,9 +394,10 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: `doc_id`, `key` (MD5 of its text), `class_id`, `class_size` and `links` of its text.
+    """One row per document: `doc_id`, `key` (MD5 of its text), `class_id`, `class_key`, `class_size` and `links` of its text.
 
-    `class_id` is the smallest id of the documents whose texts are equal or linked, directly or through others.
+    `class_id` is the smallest id of the documents whose texts are equal or linked, directly or through others;
+    `class_key` is the key of that document's text, the smallest if several texts have that id or no text has an id.
     `links` counts the verified links found at a text (a star per group, not all pairs). A NULL text is empty;
     texts without words are near only to equal ones; a text of fewer than five words is a single shingle. NULL
     ids are members of a class but do not name it unless it has no other id, repeated rows are members each; an
@@ -428,7 +429,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_col: str =
     tested = links(rows.select("key", "text"), materialize(keys, "keys"), own, threshold)
     texts = members.groupBy("key").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
     if tested is None:
-        classes = texts.select("key", F.col("least").alias("class_id"), F.col("copies").alias("class_size"), F.lit(0).cast("long").alias("links"))
+        classes = texts.select("key", F.col("least").alias("class_id"), F.col("key").alias("class_key"), F.col("copies").alias("class_size"), F.lit(0).cast("long").alias("links"))
     else:
         near = materialize(tested, "links")
         roots = components(near, "a", "b")
@@ -436,18 +437,21 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_col: str =
         texts = texts.join(roots, F.col("key") == F.col("node"), "left").drop("node")
         texts = texts.join(degree, F.col("key") == F.col("node"), "left").drop("node")
         texts = materialize(texts.withColumn("root", F.coalesce("root", "key")), "texts")
-        named = texts.groupBy("root").agg(F.min("least").alias("class_id"), F.sum("copies").alias("class_size"))
-        classes = texts.join(named, "root").select("key", "class_id", "class_size", F.coalesce("links", F.lit(0)).cast("long").alias("links"))
-    return members.select("doc_id", "key").join(classes, "key").select("doc_id", "key", "class_id", "class_size", "links")
+        first = F.min(F.struct(F.col("least").isNull(), "least", "key"))
+        named = texts.groupBy("root").agg(first["least"].alias("class_id"), first["key"].alias("class_key"), F.sum("copies").alias("class_size"))
+        classes = texts.join(named, "root").select("key", "class_id", "class_key", "class_size", F.coalesce("links", F.lit(0)).cast("long").alias("links"))
+    return members.select("doc_id", "key").join(classes, "key").select("doc_id", "key", "class_id", "class_key", "class_size", "links")
 
 
 def drop_near(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs`, all columns as they are, but one document of each class: the one that names it.
 
+    That is the smallest id, NULL only if there is no other, and of the texts with this id the one with the smallest key.
     Rows that repeat both id and text of that document stay with it; `drop_copies` removes such repeats.
     """
     classes = near_duplicates(docs, threshold, id_col, text_col)
-    gone = materialize(classes.filter(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select(
+    stays = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("key") == F.col("class_key"))
+    gone = materialize(classes.filter(~stays).select(
         F.col("key").alias("gone_key"), F.col("doc_id").alias("gone_id")).distinct(), "near-copies")
     key = F.unhex(F.md5(F.coalesce(quoted(text_col), F.lit("")).cast("binary")))
     return docs.join(gone.hint("merge"), (key == F.col("gone_key")) & quoted(id_col).eqNullSafe(F.col("gone_id")), "left_anti")

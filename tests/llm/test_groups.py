@@ -91,6 +91,15 @@ def test_near_classes(table, family, hubs, request, monkeypatch):
     assert {r["doc_id"] for r in kept.collect()} == {c for c in named.values()}
 
 
+def test_one_of_a_class_without_ids_stays(spark):
+    """Near texts without any id, or with one and the same id, leave one document."""
+    base = " ".join(f"w{i}" for i in range(100))
+    rows = [(None, base), (None, base + " end"), (None, base + " stop"), (7, base.replace("w", "v")), (7, base.replace("w", "v") + " end"),
+            (None, base.replace("w", "v") + " stop"), (None, "something else")]
+    kept = neardup.drop_near(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter(r["doc_id"] for r in kept) == {None: 2, 7: 1}
+
+
 def test_chain_in_a_large_family(spark, monkeypatch):
     """Texts of one bucket that are near to the next one only, in a family of many chunks, form the classes of brute force."""
     monkeypatch.setattr(neardup, "FAMILY", 20)
