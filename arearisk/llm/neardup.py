@@ -1,11 +1,9 @@
 """Near-duplicates by improved consistent weighted sampling over TF-IDF shingles.
 
 A document is the weighted set of its five-word shingles, weight = count x idf.
-Document frequencies come from lossy counting: each block of texts reports the
-shingles held by at least `HEAVY` of its documents, so a shingle of that share
-anywhere is counted, too low by that share at most; all others have the same
-largest idf. The table of heavy shingles is bounded by mean length / `HEAVY`,
-whatever the number of documents.
+Document frequencies are exact. Blocks of texts give out their distinct shingles, packed
+by ranges of the hash; a range is summed in one task, and each block gets back the shingles
+that more than one document has. A text carries the frequencies of its shingles from there on.
 
 `BANDS` x `ROWS` consistent samples, banded, give buckets, and texts that share
 buckets form families. The texts of a family meet once, in tasks of bounded size,
@@ -22,6 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +31,6 @@ WORDS = 5
 THRESHOLD = 0.8
 BANDS = 14
 ROWS = 4
-HEAVY = 0.01
 SEED = 11
 
 #: Most texts, and bytes of text, that are compared with each other in one task; about how many hubs a larger family has per round.
@@ -40,6 +38,10 @@ FAMILY = 4096
 FAMILY_BYTES = 64 << 20
 HUBS = 64
 
+#: Ranges of shingle hashes that document frequencies are summed in: at least so many, and one for so many bytes of text.
+RANGES = 256
+RANGE_BYTES = 24 << 20
+
 #: Texts of a block and shingles of a chunk; the second keeps the sampling arrays in the processor's cache.
 BLOCK = 4 << 20
 CHUNK = 32_768
@@ -48,6 +50,17 @@ _U = np.uint64
 _STEPS = 4096
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """`materialize`, with the shuffle files of the write dropped at its end: nothing reads them again."""
+    conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(name, None)
+    conf.set(name, "true")
+    try:
+        return materialize(df, label)
+    finally:
+        conf.unset(name) if before is None else conf.set(name, before)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Scatter the bits of 64-bit numbers."""
     x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
@@ -128,13 +141,24 @@ def counted(h: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
 
 
 class Weights:
-    """idf of shingles: ln((N + 1) / (df + 1)) + 1 for heavy ones, that of `HEAVY` of all texts for others."""
+    """idf of shingles, ln((N + 1) / (df + 1)) + 1: a table of those that more than one document has; others have that of one."""
 
     def __init__(self, hashes: np.ndarray, df: np.ndarray, total: int):
         order = np.argsort(hashes)
-        self.hashes = hashes[order]
-        self.usual = float(np.log((total + 1) / (HEAVY * total + 1)) + 1)
-        self.idf = np.minimum(np.log((total + 1) / (df[order] + 1)) + 1, self.usual)
+        self.hashes, self.df, self.total = hashes[order], df[order], total
+        self.idf = self.weigh(self.df, 1)
+        self.usual = float(self.weigh(np.ones(1), 1)[0])
+
+    def weigh(self, df: np.ndarray, times) -> np.ndarray:
+        """Weights of shingles by their document frequencies."""
+        return (np.log((self.total + 1) / (df + 1)) + 1) * times
+
+    def df_of(self, h: np.ndarray) -> np.ndarray:
+        out = np.ones(len(h), np.uint32)
+        if len(self.hashes):
+            at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+            out = np.where(self.hashes[at] == h, self.df[at], out).astype(np.uint32)
+        return out
 
     def of(self, h: np.ndarray, times: np.ndarray) -> np.ndarray:
         out = np.full(len(h), self.usual)
@@ -186,33 +210,75 @@ def bands(h: np.ndarray, doc: np.ndarray, w: np.ndarray, n: int) -> list[np.ndar
     return out
 
 
-def _heavy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _df_of_block(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingles of a block in ascending order, and how many of its texts have them."""
+    h, _, _, order = counted(*shingles(texts))
+    by_hash = h[order]
+    first = np.flatnonzero(np.concatenate([[True], by_hash[1:] != by_hash[:-1]])) if len(by_hash) else np.empty(0, np.int64)
+    return by_hash[first], np.diff(np.append(first, len(by_hash))).astype(np.uint32)
+
+
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     forget()
-    for t in blocks(batches, limit=BLOCK):
-        h, doc, _, order = counted(*shingles(t["text"].to_pylist()))
-        by_hash = h[order]
-        if not len(by_hash):
-            continue
-        first = np.flatnonzero(np.concatenate([[True], by_hash[1:] != by_hash[:-1]]))
-        df = np.diff(np.append(first, len(by_hash)))
-        able = df >= HEAVY * len(t)
-        yield pa.RecordBatch.from_arrays([pa.array(by_hash[first[able]].view(np.int64)), pa.array(df[able])], ["shingle", "df"])
+    task = TaskContext.get().partitionId()
+    for n, t in enumerate(blocks(batches, limit=BLOCK)):
+        yield from t.append_column("block", pa.array(np.full(len(t), (task << 32) + n))).to_batches()
+
+
+_PACKED = "part long, block long, hashes binary, df binary"
+
+
+def frequencies(blocked: DataFrame, ranges: int) -> DataFrame:
+    """For each `block` of texts, packed, the `hashes` and `df` of its shingles that more than one row has."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in blocks(batches, limit=BLOCK):
+            for block in pc.unique(t["block"]).to_pylist():
+                h, df = _df_of_block(t.filter(pc.equal(t["block"], block))["text"].to_pylist())
+                part = ((h >> _U(32)) * _U(ranges)) >> _U(32)
+                names, first = np.unique(part, return_index=True)
+                cuts = [*first.tolist(), len(h)]
+                spans = list(zip(cuts, cuts[1:]))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(names.astype(np.int64)), pa.array(np.full(len(names), block, np.int64)),
+                    pa.array([h[x:y].tobytes() for x, y in spans], pa.binary()), pa.array([df[x:y].tobytes() for x, y in spans], pa.binary()),
+                ], ["part", "block", "hashes", "df"])
+
+    def add(t: pa.Table) -> pa.Table:
+        hashes = [np.frombuffer(x, np.uint64) for x in t["hashes"].to_pylist()]
+        names, inverse = np.unique(np.concatenate(hashes), return_inverse=True)
+        df = np.bincount(inverse, np.concatenate([np.frombuffer(x, np.uint32) for x in t["df"].to_pylist()]), len(names)).astype(np.uint32)
+        bound, found, counts = offsets_of([len(x) for x in hashes]), [], []
+        for h, low, high in zip(hashes, bound[:-1], bound[1:]):
+            own = df[inverse[low:high]]
+            found.append(h[own > 1].tobytes())
+            counts.append(own[own > 1].tobytes())
+        return pa.table({"part": t["part"], "block": t["block"], "hashes": pa.array(found, pa.binary()), "df": pa.array(counts, pa.binary())})
+
+    return blocked.select("block", "text").mapInArrow(pack, _PACKED).groupBy("part").applyInArrow(add, _PACKED)
+
+
+def _unpacked(t: pa.Table, total: int) -> Weights:
+    return Weights(*(np.frombuffer(b"".join(t[c].to_pylist()), kind) for c, kind in (("hashes", np.uint64), ("df", np.uint32))), total)
 
 
 def weights(rows: DataFrame) -> Weights:
-    """Corpus weights from the texts of all rows."""
-    total = rows.count()
-    found = (rows.select("text").mapInArrow(_heavy, "shingle long, df long").groupBy("shingle").agg(F.sum("df").alias("df"))
-             .filter(F.col("df") >= HEAVY * total).toArrow())
-    return Weights(found["shingle"].to_numpy().view(np.uint64), found["df"].to_numpy(), total)
+    """The weights of the texts of all rows as one table, for corpora that fit the driver."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in blocks(batches, limit=BLOCK):
+            h, df = _df_of_block(t["text"].to_pylist())
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(df.astype(np.int64))], ["shingle", "df"])
+
+    found = rows.select("text").mapInArrow(run, "shingle long, df long").groupBy("shingle").agg(F.sum("df").alias("df")).filter("df > 1").toArrow()
+    return Weights(found["shingle"].to_numpy().view(np.uint64), found["df"].to_numpy(), rows.count())
 
 
 def spanning(texts: list[str], own: Weights, threshold: float = THRESHOLD, part: list[int] | None = None,
-             apart=None) -> tuple[list[tuple[int, int, float]], list[int]]:
+             apart=None, dfs: list[bytes] | None = None) -> tuple[list[tuple[int, int, float]], list[int]]:
     """Near pairs that join the texts of a bounded group as classes, and the class of each text.
 
     Every pair of texts that are not in one class yet is compared by its weighted Jaccard similarity. `part` holds
-    the classes at the start, each named by its first text; `apart(text, others)` says which pairs are compared here.
+    the classes at the start, each named by its first text; `apart(text, others)` says which pairs are compared here;
+    `dfs` are the document frequencies of the distinct shingles of each text, by default those of the table.
     """
     part, kept = list(range(len(texts))) if part is None else list(part), []
 
@@ -223,7 +289,7 @@ def spanning(texts: list[str], own: Weights, threshold: float = THRESHOLD, part:
         return x
 
     h, doc, times, _ = counted(*shingles(texts))
-    w = own.of(h, times)
+    w = own.of(h, times) if dfs is None else own.weigh(np.frombuffer(b"".join(dfs), np.uint32), times)
     first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(h) else np.empty(0, np.int64)
     here, ends = doc[first].tolist(), np.append(first[1:], len(h))
     total = np.add.reduceat(w, first) if len(h) else w
@@ -254,6 +320,12 @@ def spanning(texts: list[str], own: Weights, threshold: float = THRESHOLD, part:
     return kept, [find(x) for x in range(len(texts))]
 
 
+def _bodies(column: pa.ChunkedArray) -> tuple[list[str], list[bytes] | None]:
+    """Texts, and the document frequencies that they carry."""
+    texts, dfs = (pc.struct_field(column, c).to_pylist() for c in ("text", "dfs"))
+    return texts, None if None in dfs else dfs
+
+
 _LINK = "a binary, b binary, similarity double, settled boolean"
 
 
@@ -264,8 +336,9 @@ def _grouped(groups: DataFrame, by: list[str], shared, threshold: float) -> Data
     """
     def run(t: pa.Table) -> pa.Table:
         order = pc.sort_indices(t["key"])
-        keys, texts, hubs = (t[c].take(order).to_pylist() for c in ("key", "text", "hub"))
-        found, part = spanning(texts, shared.value, threshold)
+        keys, hubs = (t[c].take(order).to_pylist() for c in ("key", "hub"))
+        texts, dfs = _bodies(t["text"].take(order))
+        found, part = spanning(texts, shared.value, threshold, dfs=dfs)
         led = {part[i] for i, is_hub in enumerate(hubs) if is_hub}
         a = [keys[x] for x, _, _ in found] + keys
         b = [keys[y] for _, y, _ in found] + [None] * len(keys)
@@ -279,7 +352,8 @@ def _grouped(groups: DataFrame, by: list[str], shared, threshold: float) -> Data
 def links(rows: DataFrame, keys: DataFrame, own: Weights, threshold: float = THRESHOLD) -> DataFrame | None:
     """Links (`a`, `b`, `similarity`) that join near texts as classes; None if no two texts share a bucket.
 
-    `rows`: `key` and `text` of all documents; `keys`: the distinct keys with their buckets. Texts that share
+    `rows`: `key` and `text` of all documents; `keys`: the distinct keys with their `buckets` and `dfs`, the document
+    frequencies of their distinct shingles, packed; where these are not given they are looked up in `own`. Texts that share
     buckets, directly or through others, are a family. Within a family of up to `FAMILY` texts every pair is
     compared. A larger one is dealt into random chunks that all hold the same hubs: pairs are compared within a
     chunk, texts joined with a hub are settled, and the rest go to another round with other hubs, until they fit
@@ -288,41 +362,44 @@ def links(rows: DataFrame, keys: DataFrame, own: Weights, threshold: float = THR
     shared = rows.sparkSession.sparkContext.broadcast(own)
     entries = keys.select("key", F.explode("buckets").alias("bucket"))
     sizes = entries.groupBy("bucket").agg(F.count("*").alias("n"), F.min("key").alias("least")).filter("n > 1")
-    entries = materialize(entries.join(sizes, "bucket"), "buckets")
+    entries = stored(entries.join(sizes, "bucket"), "buckets")
     stars = entries.filter("key <> least").select("key", "least").distinct()
     if stars.isEmpty():
         return None
     family = components(stars, "key", "least")
     family = family.union(family.select(F.col("root").alias("node"), "root").distinct())
     # The same plan at every size: the texts are shuffled once, by key. A text with copies comes once for each; any will do.
-    texts = materialize(rows.join(family.hint("merge"), F.col("key") == F.col("node")).drop("node").dropDuplicates(["key"]), "member-texts")
-    sized = texts.groupBy("root").agg(F.count("*").alias("size"), F.sum(F.octet_length("text")).alias("bytes"))
+    given = keys.select("key", "dfs" if "dfs" in keys.columns else F.lit(None).cast("binary").alias("dfs"))
+    family = family.join(given, F.col("key") == F.col("node")).drop("key")
+    texts = rows.join(family.hint("merge"), F.col("key") == F.col("node")).select("key", "root", F.struct("text", "dfs").alias("text"))
+    texts = stored(texts.dropDuplicates(["key"]), "member-texts")
+    sized = texts.groupBy("root").agg(F.count("*").alias("size"), F.sum(F.octet_length("text.text")).alias("bytes"))
     # What counts is the number of chunks; a family of long texts gets as many as its bytes need.
     sized = sized.select("root", F.greatest("size", F.ceil(F.col("bytes") * (FAMILY / FAMILY_BYTES))).cast("long").alias("size"))
     texts = texts.join(sized, "root")
     small = texts.filter(F.col("size") <= FAMILY).withColumn("hub", F.lit(False))
-    found = [materialize(_grouped(small, ["root"], shared, threshold).filter("b IS NOT NULL"), "family-links")]
+    found = [stored(_grouped(small, ["root"], shared, threshold).filter("b IS NOT NULL"), "family-links")]
     left, turn = texts.filter(F.col("size") > FAMILY).select("root", "key", "size", "text"), 0
     if not left.isEmpty():
         large = left.select("key", "root")
-        central = materialize(entries.join(large, "key").groupBy("root", "key").agg(F.sum("n").alias("score")), "scores")
+        central = stored(entries.join(large, "key").groupBy("root", "key").agg(F.sum("n").alias("score")), "scores")
         left = left.join(central.select("key", "score"), "key")
         while True:
             hubs = left.groupBy("root").agg(F.max(F.struct("score", "key")).alias("top"))
             lot = F.pmod(F.xxhash64("key", F.lit(turn)), F.ceil(F.col("size") / HUBS))
-            named = materialize(left.join(hubs, "root").filter((F.col("key") == F.col("top.key")) | (lot == 0))
+            named = stored(left.join(hubs, "root").filter((F.col("key") == F.col("top.key")) | (lot == 0))
                                 .select("root", "key", "text", "size"), "hubs")
             chunks = F.greatest(F.lit(1), F.ceil(F.col("size") * 2 / FAMILY)).cast("long")
             rest = left.join(named.select(F.col("key").alias("h")), F.col("key") == F.col("h"), "left_anti")
             dealt = rest.select("root", "key", "text", F.pmod(F.xxhash64("key", F.lit(turn + 1)), chunks).alias("chunk"), F.lit(False).alias("hub"))
             everywhere = named.select("root", "key", "text", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)).alias("chunk"), F.lit(True).alias("hub"))
-            done = materialize(_grouped(dealt.union(everywhere), ["root", "chunk"], shared, threshold), "chunk-links")
+            done = stored(_grouped(dealt.union(everywhere), ["root", "chunk"], shared, threshold), "chunk-links")
             found.append(done.filter("b IS NOT NULL").distinct())
             # All members but the settled ones go on; what fitted one chunk was compared in full.
             open_ = done.filter("b IS NULL AND NOT settled").select(F.col("a").alias("o"))
             again = rest.filter(chunks > 1).join(open_, F.col("key") == F.col("o"), "left_semi")
             counts = again.groupBy("root").agg(F.count("*").alias("size"))
-            left = materialize(again.drop("size").join(counts, "root").select("root", "key", "size", "text", "score"), "unsettled")
+            left = stored(again.drop("size").join(counts, "root").select("root", "key", "size", "text", "score"), "unsettled")
             turn += 2
             if left.isEmpty():
                 break
@@ -344,7 +421,7 @@ def _crossed(keys: DataFrame, entries: DataFrame, large: DataFrame, texts: DataF
         edges = edges.union(more.select("a", "b"))
     roots = components(edges.join(large, F.col("a") == F.col("key"), "left_semi"), "a", "b")
     part = large.select("key").join(roots, F.col("key") == F.col("node"), "left").select("key", F.coalesce("root", "key").alias("part"))
-    part = materialize(part.join(texts.select("key", F.octet_length("text").alias("bytes")), "key"), "large-parts")
+    part = stored(part.join(texts.select("key", F.octet_length("text.text").alias("bytes")), "key"), "large-parts")
     part = entries.select("bucket", "key").join(part, "key")
     mixed = part.groupBy("bucket").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"), F.min("part").alias("low"), F.max("part").alias("high"))
     chunks = F.greatest(F.lit(1), F.ceil(F.col("n") * 2 / FAMILY), F.ceil(F.col("bytes") * 2 / FAMILY_BYTES)).cast("long")
@@ -352,7 +429,7 @@ def _crossed(keys: DataFrame, entries: DataFrame, large: DataFrame, texts: DataF
     dealt = part.drop("bytes").join(mixed, "bucket").withColumn("own", F.pmod(F.xxhash64("key"), F.col("chunks")))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
     dealt = dealt.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "key", "part")
-    tiles = dealt.join(texts.select("key", "text"), "key").join(keys, "key")
+    tiles = dealt.join(texts.select("key", "text"), "key").join(keys.select("key", "buckets"), "key")
 
     def run(t: pa.Table) -> pa.Table:
         t = t.take(pc.sort_indices(t["key"]))
@@ -367,26 +444,27 @@ def _crossed(keys: DataFrame, entries: DataFrame, large: DataFrame, texts: DataF
             here = buckets[x][alike.argmax(axis=1)] == bucket
             return here & (own[others] != own[x]) if two_sided else here
 
-        got = spanning(t["text"].to_pylist(), shared.value, threshold, part, apart)[0] if len(first) > 1 else []
+        texts, dfs = _bodies(t["text"])
+        got = spanning(texts, shared.value, threshold, part, apart, dfs)[0] if len(first) > 1 else []
         key = t["key"].to_pylist()
         return pa.table({"a": pa.array([key[x] for x, _, _ in got], pa.binary()), "b": pa.array([key[y] for _, y, _ in got], pa.binary()),
                          "similarity": pa.array([sim for _, _, sim in got], pa.float64()), "settled": pa.nulls(len(got), pa.bool_())})
 
-    return materialize(tiles.groupBy("bucket", "i", "j").applyInArrow(run, _LINK), "crossed")
+    return stored(tiles.groupBy("bucket", "i", "j").applyInArrow(run, _LINK), "crossed")
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """`node` and `root`, the smallest node that it is linked with, by alternating large and small stars."""
-    now = materialize(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct(), "stars")
+    now = stored(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct(), "stars")
     mark = None
     while True:
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = materialize(large.filter("u <> v").distinct(), "large-stars")
+        large = stored(large.filter("u <> v").distinct(), "large-stars")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
-        now = materialize(small.filter("u <> v").distinct(), "small-stars")
+        now = stored(small.filter("u <> v").distinct(), "small-stars")
         seen = now.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
         if seen == mark:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
@@ -405,38 +483,43 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_col: str =
     """
     text = F.coalesce(quoted(text_col), F.lit(""))
     rows = docs.select(quoted(id_col).alias("doc_id"), text.alias("text"), F.unhex(F.md5(text.cast("binary"))).alias("key"))
-    own = weights(rows)
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(own)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        forget()
-        for t in blocks(batches, limit=BLOCK):
-            texts, keys = t["text"].to_pylist(), t["key"].to_pylist()
-            first: dict[bytes, int] = {}
-            for i, k in enumerate(keys):
-                first.setdefault(k, i)
-            at = list(first.values())
-            h, doc, times, _ = counted(*shingles([texts[i] for i in at]))
-            got: list[np.ndarray | None] = [None] * len(keys)
-            for i, b in zip(at, bands(h, doc, shared.value.of(h, times), len(at))):
-                got[i] = b
-            yield from pa.table({"doc_id": t["doc_id"], "key": t["key"], "buckets": pa.array(got, pa.list_(pa.int64()))}).to_batches()
-
     kind = rows.schema["doc_id"].dataType.simpleString()
-    members = materialize(rows.mapInArrow(run, f"doc_id {kind}, key binary, buckets array<long>"), "members")
-    keys = members.filter("buckets IS NOT NULL").select("key", "buckets").groupBy("key").agg(F.first("buckets").alias("buckets"))
-    tested = links(rows.select("key", "text"), materialize(keys, "keys"), own, threshold)
+    # Stored, so that a block is the same rows each time.
+    blocked = stored(rows.mapInArrow(_numbered, f"doc_id {kind}, text string, key binary, block long"), "blocks")
+    total, size = blocked.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    own = Weights(np.empty(0, np.uint64), np.empty(0), total)
+    heavy = stored(frequencies(blocked, max(RANGES, -(-size // RANGE_BYTES))), "frequencies")
+
+    def run(t: pa.Table, found: pa.Table) -> pa.Table:
+        known = _unpacked(found, total)
+        texts, keys = t["text"].to_pylist(), t["key"].to_pylist()
+        first: dict[bytes, int] = {}
+        for i, k in enumerate(keys):
+            first.setdefault(k, i)
+        at = list(first.values())
+        h, doc, times, _ = counted(*shingles([texts[i] for i in at]))
+        df = known.df_of(h)
+        ends = np.searchsorted(doc, np.arange(len(at) + 1))
+        got: list[np.ndarray | None] = [None] * len(keys)
+        dfs: list[bytes | None] = [None] * len(keys)
+        for x, (i, b) in enumerate(zip(at, bands(h, doc, known.weigh(df, times), len(at)))):
+            got[i], dfs[i] = b, None if b is None else df[ends[x]:ends[x + 1]].tobytes()
+        return pa.table({"doc_id": t["doc_id"], "key": t["key"], "buckets": pa.array(got, pa.list_(pa.int64())), "dfs": pa.array(dfs, pa.binary())})
+
+    members = blocked.groupBy("block").cogroup(heavy.groupBy("block")).applyInArrow(run, f"doc_id {kind}, key binary, buckets array<long>, dfs binary")
+    members = stored(members, "members")
+    keys = members.filter("buckets IS NOT NULL").select("key", "buckets", "dfs").groupBy("key").agg(F.first("buckets").alias("buckets"), F.first("dfs").alias("dfs"))
+    tested = links(blocked.select("key", "text"), stored(keys, "keys"), own, threshold)
     texts = members.groupBy("key").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
     if tested is None:
         classes = texts.select("key", F.col("least").alias("class_id"), F.col("key").alias("class_key"), F.col("copies").alias("class_size"), F.lit(0).cast("long").alias("links"))
     else:
-        near = materialize(tested, "links")
+        near = stored(tested, "links")
         roots = components(near, "a", "b")
         degree = near.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
         texts = texts.join(roots, F.col("key") == F.col("node"), "left").drop("node")
         texts = texts.join(degree, F.col("key") == F.col("node"), "left").drop("node")
-        texts = materialize(texts.withColumn("root", F.coalesce("root", "key")), "texts")
+        texts = stored(texts.withColumn("root", F.coalesce("root", "key")), "texts")
         first = F.min(F.struct(F.col("least").isNull(), "least", "key"))
         named = texts.groupBy("root").agg(first["least"].alias("class_id"), first["key"].alias("class_key"), F.sum("copies").alias("class_size"))
         classes = texts.join(named, "root").select("key", "class_id", "class_key", "class_size", F.coalesce("links", F.lit(0)).cast("long").alias("links"))
@@ -451,7 +534,7 @@ def drop_near(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_
     """
     classes = near_duplicates(docs, threshold, id_col, text_col)
     stays = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("key") == F.col("class_key"))
-    gone = materialize(classes.filter(~stays).select(
+    gone = stored(classes.filter(~stays).select(
         F.col("key").alias("gone_key"), F.col("doc_id").alias("gone_id")).distinct(), "near-copies")
     key = F.unhex(F.md5(F.coalesce(quoted(text_col), F.lit("")).cast("binary")))
     return docs.join(gone.hint("merge"), (key == F.col("gone_key")) & quoted(id_col).eqNullSafe(F.col("gone_id")), "left_anti")

@@ -91,6 +91,21 @@ def test_near_classes(table, family, hubs, request, monkeypatch):
     assert {r["doc_id"] for r in kept.collect()} == {c for c in named.values()}
 
 
+def test_passages_weigh_by_their_exact_frequency(spark):
+    """Texts that share only a passage of 0.9 % of the documents are apart by exact idf, which flat weights would join."""
+    passage = " ".join(f"p{i}" for i in range(94))
+    texts = [passage + f" own{k} a{k} b{k} c{k} d{k} e{k} f{k} g{k} h{k} i{k}" for k in range(9)]
+    texts += [f"single{k} text{k} of{k} its{k} own{k}" for k in range(991)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    shingles = [Counter(zip(*[t.split()[i:] for i in range(5)])) for t in texts]
+    frequency = Counter(x for s in shingles for x in s)
+    idf = {x: np.log(1001 / (n + 1)) + 1 for x, n in frequency.items()}
+    shared = sum(idf[x] for x in shingles[0] if x in shingles[1])
+    similarity = shared / (sum(idf[x] for x in shingles[0]) + sum(idf[x] for x in shingles[1]) - shared)
+    assert similarity < 0.79 and len(shingles[0] & shingles[1]) / len(shingles[0] | shingles[1]) > 0.8
+    assert {r["class_size"] for r in neardup.near_duplicates(df).collect()} == {1}
+
+
 def test_one_of_a_class_without_ids_stays(spark):
     """Near texts without any id, or with one and the same id, leave one document."""
     base = " ".join(f"w{i}" for i in range(100))
