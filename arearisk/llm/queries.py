@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arearisk.llm import bpe, exactdup, neardup, packing, quality, secrets, shards, tokencount, toxicity, warc
+from arearisk.llm import bpe, exactdup, neardup, packing, quality, secrets, shards, spelling, tokencount, toxicity, warc, whitening
 from workload.base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +127,13 @@ FROM d WINDOW g AS (PARTITION BY t)""")
 def op10_tree_merge(spark: SparkSession, sf: str) -> DataFrame:
     done = exactdup.exact_groups(table(spark, sf, "documents"))
     return done.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query()
+def op12_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf, "documents"))
+
+
+@query()
+def op13_exact_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf, "embeddings")).withColumn("deviation", F.col("deviation").cast("long"))
