@@ -56,9 +56,9 @@ def offsets_of(lengths) -> np.ndarray:
     return out
 
 
-def is_held_out(doc_id: Column, folds: int = 5) -> Column:
-    """True where crc32 of the id as text is divisible by `folds`; a NULL id counts as empty text."""
-    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds == 0
+def is_held_out(doc_id: Column, folds: int = 5, fold: int = 0) -> Column:
+    """True where crc32 of the id as text leaves `fold` divided by `folds`; a NULL id counts as empty text."""
+    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds == fold
 
 
 _kept: dict[Hashable, object] = {}

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arearisk.llm import bpe, exactdup, neardup, packing, quality, secrets, shards, spelling, tokencount, toxicity, warc, whitening
+from arearisk.llm import (
+    bpe, exactdup, language, neardup, packing, quality, secrets, shards, spelling, tokencount, toxicity, warc, whitening)
 from workload.base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,6 +130,11 @@ def op10_tree_merge(spark: SparkSession, sf: str) -> DataFrame:
     return done.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+@query()
+def op11_language_families(spark: SparkSession, sf: str) -> DataFrame:
+    return language.identify(table(spark, sf, "documents"))
+
+
 @query()
 def op12_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
     return spelling.spelling_variants(table(spark, sf, "documents"))
