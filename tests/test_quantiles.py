@@ -1,35 +1,69 @@
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from arearisk.operators import profile as P
-from arearisk.operators.quantiles import exact_quantiles, medians, quantile_columns
+from arearisk.operators.quantiles import exact_quantiles, medians, quantile_columns, ratio_bin
 from tests.conftest import rows
 
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
 
 
-@pytest.mark.parametrize("small_group", [0, 20_000])
-@pytest.mark.parametrize("shape", ["normal", "ties", "cauchy"])
-def test_quantiles_equal_the_sorted_rule(spark, shape, small_group):
-    """With small_group=0 and a coarse sketch the brackets do the work."""
+SHAPES = {
+    "normal": lambda rng, n: rng.normal(size=n), "ties": lambda rng, n: np.round(rng.normal(size=n)),
+    "cauchy": lambda rng, n: rng.standard_cauchy(n), "close": lambda rng, n: 1000 + rng.random(n) / 1e6,
+    "wide": lambda rng, n: np.exp(rng.uniform(-700, 700, n)) * rng.choice([-1, 1], n),
+    "tiny": lambda rng, n: rng.integers(-3, 4, n) * 5e-324,
+}
+
+
+@pytest.mark.parametrize("few_rows,cuts", [(1, 4), (50, 16), (10_000, 1024)])
+@pytest.mark.parametrize("shape", SHAPES)
+def test_quantiles_equal_the_sorted_rule(spark, shape, few_rows, cuts):
+    """With few rows to a value and few cuts, many rounds narrow the bins."""
     rng = np.random.default_rng(3)
-    data = {}
-    for g, n in (("a", 5000), ("b", 37), ("c", 1), ("d", 2)):
-        data[g] = {"normal": rng.normal(size=n), "ties": np.round(rng.normal(size=n)), "cauchy": rng.standard_cauchy(n)}[shape]
+    data = {g: SHAPES[shape](rng, n) for g, n in (("a", 3000), ("b", 37), ("c", 1), ("d", 2), (None, 500))}
     df = spark.createDataFrame([(g, float(v)) for g, vs in data.items() for v in vs], "g string, x double")
-    # The bracket needs ranks to both sides; tiny groups are always taken whole.
-    small = max(small_group, 400)
-    got = {(r["g"], r["prob"]): r["quantile"] for r in exact_quantiles(df, "x", PROBS, ["g"], accuracy=200, small_group=small).collect()}
+    got = {(r["g"], r["prob"]): r["quantile"] for r in exact_quantiles(df, "x", PROBS, ["g"], few_rows=few_rows, cuts=cuts).collect()}
+    assert len(got) == len(PROBS) * len(data)
     for g, vs in data.items():
         for p in PROBS:
-            assert got[g, p] == pytest.approx(float(np.quantile(vs, p)), rel=1e-9, abs=1e-9), (g, p)
+            assert got[g, p] == pytest.approx(float(np.quantile(vs, p)), rel=1e-9, abs=1e-9 if shape != "wide" else 0), (g, p)
+
+
+@given(st.floats(allow_nan=False, allow_infinity=False), st.floats(allow_nan=False, allow_infinity=False))
+@settings(max_examples=25, deadline=None)
+def test_ratio_bins_keep_the_order(spark, a, b):
+    r = spark.createDataFrame([(min(a, b), max(a, b))], "a double, b double").select(ratio_bin(F.col("a")), ratio_bin(F.col("b"))).first()
+    assert r[0] <= r[1]
+
+
+def test_hot_groups_are_neither_repeated_nor_windowed(spark):
+    """Weights are summed, not unfolded, and windows run over bins, not over rows."""
+    df = spark.range(200_000).select((F.col("id") % 3 == 0).alias("g"), F.rand(1).alias("x"), F.lit(1_000_000_000).alias("w"))
+    out = exact_quantiles(df, "x", [0.5], ["g"], weight="w", few_rows=100)
+    assert "Generate explode(sequence" not in out._jdf.queryExecution().toString()
+    got = {r["g"]: r["quantile"] for r in out.collect()}
+    held = df.toPandas()
+    for g, part in held.groupby("g"):
+        # Ranks fall inside one repeated value or between two neighbours.
+        x = np.sort(part["x"].to_numpy())
+        assert got[g] == pytest.approx(x[len(x) // 2] if len(x) % 2 else (x[len(x) // 2 - 1] + x[len(x) // 2]) / 2, rel=1e-12)
+
+
+def test_no_values_no_rows(spark):
+    df = spark.createDataFrame([("a", None, 1), ("b", 2.0, 0), ("c", float("nan"), 3)], "g string, x double, w int")
+    assert exact_quantiles(df, "x", [0.5], ["g"], weight="w").count() == 0
+    assert exact_quantiles(df, "x", [0.5], weight="w").count() == 0
 
 
 def test_weights_repeat_rows(spark):
     rng = np.random.default_rng(4)
     x, w = rng.normal(size=3000), rng.integers(0, 9, 3000)
     df = spark.createDataFrame([(float(a), int(b)) for a, b in zip(x, w)], "x double, w int")
-    got = {r["prob"]: r["quantile"] for r in exact_quantiles(df, "x", [0.1, 0.5], weight="w", accuracy=500, small_group=100).collect()}
+    got = {r["prob"]: r["quantile"] for r in exact_quantiles(df, "x", [0.1, 0.5], weight="w", few_rows=100).collect()}
     fan = np.repeat(x, w)
     assert got[0.5] == pytest.approx(np.quantile(fan, 0.5)) and got[0.1] == pytest.approx(np.quantile(fan, 0.1))
 

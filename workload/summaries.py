@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from arearisk.operators import inequality as I
 from arearisk.operators import profile as P
+from arearisk.operators.quantiles import quantile_columns
 from workload.base import big, rnd, sql_rnd, table
 
 QUERIES, SQL = {}, {}
@@ -141,3 +142,29 @@ def profile_spread_mean(spark, sf):
 @query(f"""WITH {_PRICE_SQL} SELECT r_name, {sql_rnd('sum(x)', 1)} AS total FROM p GROUP BY r_name""")
 def totals_by_group(spark, sf):
     return P.totals(_prices(spark, sf), "x", ["r_name"]).select("r_name", rnd("total", 1).alias("total"))
+
+
+_TAILS = (0.05, 0.5, 0.95)
+
+
+def _weighted_sql() -> str:
+    picks = []
+    for p in _TAILS:
+        for side, f in (("lo", "floor"), ("hi", "ceil")):
+            picks.append(f"min(x) FILTER (up > {f}((n - 1) * CAST({p} AS DOUBLE))) AS {side}{round(p * 100)}")
+    out = []
+    for p in _TAILS:
+        k, r = round(p * 100), f"((n - 1) * CAST({p} AS DOUBLE))"
+        out.append(sql_rnd(f"lo{k} + ({r} - floor({r})) * (hi{k} - lo{k})", 4) + f" AS p{k}")
+    return f"""WITH c AS (SELECT l_returnflag, CAST(l_extendedprice AS DOUBLE) AS x, CAST(sum(l_quantity) AS BIGINT) AS w FROM lineitem GROUP BY 1, 2),
+r AS (SELECT l_returnflag, x, sum(w) OVER (PARTITION BY l_returnflag ORDER BY x) AS up, sum(w) OVER (PARTITION BY l_returnflag) AS n FROM c),
+v AS (SELECT l_returnflag, n, {", ".join(picks)} FROM r GROUP BY l_returnflag, n)
+SELECT l_returnflag, {", ".join(out)} FROM v"""
+
+
+@query(_weighted_sql())
+def quantiles_bracketed(spark, sf):
+    """Price per line, each line counted as often as its quantity says."""
+    out = quantile_columns(table(spark, sf, "lineitem"), "l_extendedprice", {f"p{round(p * 100)}": p for p in _TAILS},
+                           ["l_returnflag"], weight="l_quantity")
+    return out.select("l_returnflag", *[rnd(f"p{round(p * 100)}", 4).alias(f"p{round(p * 100)}") for p in _TAILS])
