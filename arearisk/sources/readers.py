@@ -30,67 +30,198 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType) -
 
 def read_sheets(spark: SparkSession, path: str | list[str], columns: Mapping[str, tuple[str, T.DataType]],
                 skip: int = 0, separator: str = ",", tag: str = "file") -> DataFrame:
-    """Worksheets staged as one CSV file each, with `skip` title rows above the header.
-
-    `columns` maps header texts to (name, type). Adds `sheet`, the name of the
-    file without its ending (or of its folder, with `tag="folder"`), and
-    `row_no`, the row order a worksheet has. One file is one row of text
-    first: a worksheet ends at 1,048,576 rows, so that is bounded; sheets are
-    read in parallel, however many there are. Columns are found by the header
-    of each sheet, so their order may differ; a sheet without one of them is an
-    error. `row_no` counts records below the header, blank ones included.
+    """Worksheets staged as CSV files, with `skip` title rows above the header; large files are read by many tasks.
+
+    `columns` maps header texts to (name, type). Adds `sheet`, the name of the file without its ending (or of its
+    folder, with `tag="folder"`), and `row_no`, the row order a worksheet has: records of a file below its header,
+    blank ones included. Columns are found by the header of each file, so their order may differ; a file without one
+    of them is an error. Quoted cells may hold line ends, also across splits.
+
+    A first pass scans every split for both ways it may begin, inside a quoted cell or not, and gives how it ends and
+    how many records end in it. Put together in the order of the splits this says how each begins and its first record
+    number: one small row per split reaches the driver and goes out with the second pass, in which every split parses
+    its own records. Records that cross splits are put together from their fragments.
     """
     name = {"file": F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", ""),
             "folder": F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1)}[tag]
-    files = spark.read.text(path, wholetext=True).select(name.alias("sheet"), F.regexp_replace("value", "^\ufeff", "").alias("text"))
     wanted = list(columns)
-    heads = files.mapInArrow(_sheet_heads(skip, separator, wanted), "missing string").distinct().limit(len(wanted) + 2).collect()
-    if not heads or any(r["missing"] is None for r in heads):
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        name.alias("sheet"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value")
+    splits = lines.mapInArrow(_scan_splits(skip, separator), _SPLIT).collect()
+    heads = {r["path"]: r["header"] for r in splits if r["start"] == 0}
+    if not heads or any(h is None for h in heads.values()):
         raise ValueError(f"no header row after {skip} title rows in {path}")
-    if missing := sorted(r["missing"] for r in heads if r["missing"]):
+    if missing := sorted({c for h in heads.values() for c in wanted if c not in h}):
         raise ValueError(f"columns not in the sheet header: {missing}")
-    rows = files.mapInArrow(_sheet_rows(skip, separator, wanted), "sheet string, row_no long, cells array<string>")
+    places = {p: [h.index(c) for c in wanted] for p, h in heads.items()}
+    begins, crossed = _beginnings(splits)
+    rows = lines.mapInArrow(_split_records(skip, separator, places, begins),
+                            "sheet string, path string, number long, start long, cells array<string>, fragment string")
+    records = rows.filter("fragment IS NULL").select("sheet", "number", "cells")
+    if crossed:
+        # Rare, so reading once more for the fragments costs less than storing all records would.
+        parts = F.transform(F.array_sort(F.collect_list(F.struct("start", "fragment"))), lambda p: p["fragment"])
+        crossing = rows.filter("fragment IS NOT NULL").groupBy("sheet", "path", "number").agg(F.array_join(parts, "\n").alias("value"))
+        records = records.unionByName(crossing.mapInArrow(
+            _joined_records(separator, places), "sheet string, number long, cells array<string>"))
 
     def cell(place: int, name: str, kind: T.DataType):
         raw = F.nullif(F.get("cells", F.lit(place)), F.lit(""))
         raw = F.when(raw != NA, raw)
         return (raw if isinstance(kind, T.StringType) else raw.try_cast(kind)).alias(name)
 
-    return rows.select("sheet", "row_no", *[cell(i, n, t) for i, (n, t) in enumerate(columns.values())])
+    # The header is the first record.
+    return records.select("sheet", (F.col("number") - 1).alias("row_no"), *[cell(i, n, t) for i, (n, t) in enumerate(columns.values())])
+
+
+_SPLIT = "path string, start long, header array<string>, outside_open boolean, outside_records long, inside_open boolean, inside_records long"
+
+
+def _ends_open(line: str, inside: bool, separator: str) -> bool:
+    """Whether a line ends inside a quoted cell. A quote opens a cell only where the cell begins; two are one of its text."""
+    if '"' not in line:
+        return inside
+    at = 0
+    while True:
+        if not inside:
+            if line.startswith('"', at):
+                at += 1
+            else:
+                at = line.find(separator, at) + 1
+                if not at:
+                    return False
+                continue
+        at = line.find('"', at)
+        if at < 0:
+            return True
+        inside = line.startswith('""', at)
+        if inside:
+            at += 2
+        else:
+            at = line.find(separator, at) + 1
+            if not at:
+                return False
+
+
+def _split_lines(batches: Iterator[pa.RecordBatch], skip: int) -> Iterator[tuple[str, str, int, str | None]]:
+    """(sheet, path, start of the split, line), the line None for a title row and without a mark of byte order."""
+    last, left = None, 0
+    for batch in batches:
+        for sheet, path, start, line in zip(*(batch.column(c).to_pylist() for c in ("sheet", "path", "start", "value"))):
+            if (path, start) != last:
+                if left:
+                    raise ValueError(f"the {skip} title rows of {last[0]} go beyond the first split")
+                last, left = (path, start), skip if start == 0 else 0
+                if start == 0:
+                    line = line.removeprefix("\ufeff")
+            yield sheet, path, start, None if left else line
+            left -= left > 0
+
+
+def _scan_splits(skip: int, separator: str):
+    """One row per split: its header if a file begins there, and its end for both ways it may begin."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[tuple[str, int], list] = {}
+        for _, path, start, line in _split_lines(batches, skip):
+            own = found.get((path, start))
+            if own is None:
+                # Header so far, whether it is whole, then state and records for a start outside and inside.
+                own = found[path, start] = [[], start != 0, False, 0, True, 0]
+            if line is None:
+                continue
+            for k in (2, 4):
+                own[k] = _ends_open(line, own[k], separator)
+                own[k + 1] += not own[k]
+            if not own[1]:
+                own[0].append(line)
+                own[1] = not own[2]
+        columns = list(zip(*[
+            (path, start, _parsed("\n".join(own[0]), separator) if own[0] and own[1] else None, *own[2:])
+            for (path, start), own in found.items()])) or [()] * 7
+        kinds = (pa.string(), pa.int64(), pa.list_(pa.string()), pa.bool_(), pa.int64(), pa.bool_(), pa.int64())
+        names = [part.split()[0] for part in _SPLIT.split(", ")]
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds)], names)
+    return run
+
+
+def _beginnings(splits: list) -> tuple[dict[tuple[str, int], tuple[bool, int]], bool]:
+    """How each split begins: inside a quoted cell or not, and the number of records that end before it.
+
+    Also whether any split ends inside a quoted cell.
+    """
+    out: dict[tuple[str, int], tuple[bool, int]] = {}
+    path, inside, before, crossed = None, False, 0, False
+    for r in sorted(splits, key=lambda r: (r["path"], r["start"])):
+        if r["path"] != path:
+            path, inside, before = r["path"], False, 0
+        out[path, r["start"]] = (inside, before)
+        way = "inside" if inside else "outside"
+        inside, before = r[f"{way}_open"], before + r[f"{way}_records"]
+        crossed |= inside
+    return out, crossed
+
+
+def _parsed(record: str, separator: str) -> list[str]:
+    return next(csv.reader([record.removesuffix("\r")], delimiter=separator), [])
+
 
+def _cells(record: str, separator: str, places: list[int]) -> list[str | None] | None:
+    """Wanted cells of a record; None for a blank one."""
+    cells = _parsed(record, separator)
+    if not any(c.strip() for c in cells):
+        return None
+    return [cells[p] if p < len(cells) else None for p in places]
 
-def _opened(text: str, skip: int, separator: str):
-    """Header of a sheet (None without one) and its records; quoted fields may hold line ends."""
-    lines = iter(text.splitlines(keepends=True))
-    for _ in range(skip):
-        next(lines, None)
-    table = csv.reader(lines, delimiter=separator)
-    return next(table, None), table
 
+def _split_records(skip: int, separator: str, places: dict[str, list[int]], begins: dict[tuple[str, int], tuple[bool, int]]):
+    """Records that lie within a split, and the fragments of those that do not, with their numbers in the file."""
+    kinds = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.string())
+    names = ["sheet", "path", "number", "start", "cells", "fragment"]
 
-def _sheet_heads(skip: int, separator: str, wanted: list[str]):
-    """What sheets lack: a wanted column's text each, NULL for a header row, empty for nothing."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: set[str | None] = set()
-            for text in batch.column("text").to_pylist():
-                header, _ = _opened(text, skip, separator)
-                out |= {c for c in wanted if c not in header} or {""} if header else {None}
-            yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.string())], ["missing"])
+        out: list[tuple] = []
+        at, held, whole, inside, number = None, [], True, False, 0
+        for sheet, path, start, line in _split_lines(batches, skip):
+            if at != (sheet, path, start):
+                if held:
+                    out.append((*at[:2], number, at[2], None, "\n".join(held)))
+                if (path, start) not in begins:
+                    raise RuntimeError(f"{path} is split in another way than when it was scanned; keep spark.sql.files.* as it was")
+                at, held = (sheet, path, start), []
+                inside, number = begins[path, start]
+                whole, number = not inside, number + 1
+            if line is None:
+                continue
+            held.append(line)
+            inside = _ends_open(line, inside, separator)
+            if inside:
+                continue
+            text, held = "\n".join(held), []
+            if not whole:
+                out.append((sheet, path, number, start, None, text))
+            elif number > 1 and (cells := _cells(text, separator, places[path])) is not None:
+                out.append((sheet, path, number, start, cells, None))
+            whole, number = True, number + 1
+            if len(out) >= 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out), kinds)], names)
+                out = []
+        if held:
+            out.append((*at[:2], number, at[2], None, "\n".join(held)))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out), kinds)], names)
     return run
 
 
-def _sheet_rows(skip: int, separator: str, wanted: list[str]):
-    """Cells of the wanted columns, found by the header of each sheet."""
+def _joined_records(separator: str, places: dict[str, list[int]]):
+    """Records put together from fragments."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for sheet, text in zip(batch.column("sheet").to_pylist(), batch.column("text").to_pylist()):
-                header, table = _opened(text, skip, separator)
-                places = [header.index(c) for c in wanted]
-                kept = [(i, [r[p] if p < len(r) else None for p in places]) for i, r in enumerate(table, 1) if any(x.strip() for x in r)]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([sheet] * len(kept), pa.string()), pa.array([i for i, _ in kept], pa.int64()),
-                    pa.array([cells for _, cells in kept], pa.list_(pa.string()))], ["sheet", "row_no", "cells"])
+        for b in batches:
+            rows = [(sheet, number, _cells(value, separator, places[path])) for sheet, path, number, value in
+                    zip(*(b.column(c).to_pylist() for c in ("sheet", "path", "number", "value"))) if number > 1]
+            rows = [r for r in rows if r[2] is not None]
+            columns = list(zip(*rows)) or [(), (), ()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(c), t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.list_(pa.string())))], ["sheet", "number", "cells"])
     return run
 
 

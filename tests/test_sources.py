@@ -1,6 +1,11 @@
+import csv
+import io
 import json
+import random
 
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import types as T
 
 from arearisk.config import Catalogue
@@ -33,6 +38,60 @@ def test_sheets_skip_titles_keep_order_and_take_columns_by_header(spark, tmp_pat
         R.read_sheets(spark, str(tmp_path), {"Nope": ("n", T.StringType())}, skip=2)
 
 
+def plain_sheet(text, skip, separator=","):
+    """(row number, cells) of a file read as a whole."""
+    lines = io.StringIO(text.removeprefix("\ufeff"), newline="\n").readlines()[skip:]
+    table = list(csv.reader(lines, delimiter=separator))
+    return table[0], [(i, r) for i, r in enumerate(table[1:], 1) if any(c.strip() for c in r)]
+
+
+@pytest.mark.parametrize("split", [64, 300, 1 << 20])
+def test_a_sheet_is_read_by_many_tasks(spark, tmp_path, split):
+    """Line ends, quotes and separators in cells across splits, stray quotes, an open cell at the end."""
+    rng = random.Random(7)
+    cells = ["", "plain", "a, b", 'two "" quotes', "line\nend", "crlf\r\nend", '5" pipe', "x" * 90, "é\n\n" * 30, " ", '"', "\n"]
+    for name, order in (("a", [0, 1, 2]), ("b", [2, 0, 1])):
+        out = ["Title", ""]
+        out.append(",".join(['"Area, Code"', "Notes", "HLE"][i] for i in order))
+        for i in range(150):
+            row = [f"E{i}", rng.choice(cells), str(i / 4)]
+            row = ['"' + c.replace('"', '""') + '"' if any(x in c for x in ',\n"') and c != '5" pipe' else c for c in row]
+            out.append("" if i % 17 == 3 else ",".join(row[j] for j in order))
+        text = ("\ufeff" if name == "a" else "") + "\n".join(out) + ('\nE9,"open, to the\nend' if name == "a" else "\n")
+        (tmp_path / f"{name}.csv").write_bytes(text.encode())
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        df = R.read_sheets(spark, str(tmp_path), {"Area, Code": ("code", T.StringType()), "Notes": ("notes", T.StringType()),
+                                                  "HLE": ("hle", T.DoubleType())}, skip=2)
+        assert split > 1000 or df.rdd.getNumPartitions() > 30
+        got = sorted((r["sheet"], r["row_no"], r["code"], r["notes"], r["hle"]) for r in df.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    want = []
+    for name in "ab":
+        head, table = plain_sheet((tmp_path / f"{name}.csv").read_bytes().decode(), 2)
+        at = [head.index(c) for c in ("Area, Code", "Notes", "HLE")]
+        for i, r in table:
+            code, notes, hle = (r[p] if p < len(r) and r[p] else None for p in at)
+            want.append((name, i, code, notes, float(hle) if hle else None))
+    assert got == sorted(want)
+
+
+@given(st.lists(st.sampled_from(['"', ",", "a", "\r"]), max_size=12), st.booleans())
+def test_cells_open_and_close_as_the_parser_says(line, inside):
+    """An open cell takes the next line into its record."""
+    text = ('"' if inside else "") + "".join(line).replace("\r", "x") + "\n"
+    ends = len(list(csv.reader([text, "z\n"]))) == 1
+    assert R._ends_open("".join(line).replace("\r", "x"), inside, ",") == ends
+
+
+def test_a_sheet_without_header_is_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Title\n\n")
+    with pytest.raises(ValueError, match="no header row"):
+        R.read_sheets(spark, str(tmp_path), {"HLE": ("hle", T.DoubleType())}, skip=2)
+
+
 def test_filled_sheets_to_life_expectancy(spark, tmp_path):
     (tmp_path / "m.csv").write_text("code,HLE\nE06000001,60\nE06000002,\nE10000001,64\n,\n1 note,\n")
     (tmp_path / "f.csv").write_text("code,HLE\nE06000001,62\nE10000001,66\n")

@@ -49,6 +49,26 @@ def sheet_scan(spark, sf):
     return rows.select(F.regexp_replace("sheet", "sheet=", "").cast("long").alias("sheet"), "row_no", "code", rnd("hle").alias("hle"))
 
 
+@query(f"""SELECT o_orderstatus AS sheet, count(*) AS n, count(DISTINCT o_orderkey) AS keys, sum(o_orderkey) AS key_sum, sum(length(p)) AS letters,
+       {sql_rnd('sum(CASE WHEN o_orderkey % 5 <> 0 THEN o_totalprice END)', 1)} AS price
+FROM (SELECT *, o_orderstatus || chr(10) || '"' || CAST(o_orderkey AS VARCHAR) || '", x' || chr(10) AS p FROM orders) GROUP BY 1""")
+def sheets_mixed_headers(spark, sf):
+    """Order sheets per status whose columns come in different orders, with quotes, separators and line ends in cells."""
+    o = table(spark, sf, "orders").select(
+        F.col("o_orderkey").cast("string").alias("Order"), F.when(F.col("o_orderkey") % 5 != 0, F.col("o_totalprice")).alias("Price, total"),
+        F.concat("o_orderstatus", F.lit('\n"'), F.col("o_orderkey").cast("string"), F.lit('", x\n')).alias("Notes"), "o_orderstatus")
+    path = scratch_path(spark, "mixed")
+    for status, order in (("F", ["Order", "Price, total", "Notes"]), ("O", ["Notes", "Order", "Price, total"]), ("P", ["Price, total", "Notes", "Order"])):
+        o.filter(F.col("o_orderstatus") == status).select(*order).write.option("header", True).options(
+            escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(f"{path}/{status}")
+    rows = R.read_sheets(spark, f"{path}/*", {"Notes": ("notes", T.StringType()), "Order": ("key", T.LongType()), "Price, total": ("price", T.DoubleType())},
+                         tag="folder")
+    whole = F.concat("sheet", F.lit('\n"'), F.col("key").cast("string"), F.lit('", x\n'))
+    return rows.groupBy("sheet").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("key").alias("keys"), F.sum("key").alias("key_sum"),
+        big(F.sum(F.when(F.col("notes") == whole, F.length("notes")))).alias("letters"), rnd(F.sum("price"), 1).alias("price"))
+
+
 @query(DIGITAL_SQL)
 def xml_placemarks(spark, sf):
     """Digital ratings through one XML file set per metric."""
