@@ -14,6 +14,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,6 +59,8 @@ def natural_breaks(df: DataFrame, value: str, k: int = 5, by: Sequence[str] = ()
         F.count(F.lit(1)).alias("n"), F.avg("x").alias("centre"), F.min("x").alias("lo"), F.max("x").alias("hi"),
         F.stddev_pop("x").alias("sd"),
     )
+    if (ranges.agg(F.max("n")).first()[0] or 0) <= exact_rows:
+        return _breaks_of_values(rows, keys, k).select(*by, "n_classes", "lowers", "uppers")
     # First bins are even on a scale that is linear near the mean and logarithmic far from it,
     # so long tails do not push everything into a few bins. log1p keeps the order of its inputs.
     unit = F.greatest(F.col("sd") / 16, (F.col("hi") - F.col("lo")) / F.lit(1e9), F.lit(TINY))
@@ -126,6 +129,27 @@ def natural_breaks(df: DataFrame, value: str, k: int = 5, by: Sequence[str] = ()
     )
 
 
+def _breaks_of_values(rows: DataFrame, keys: Sequence[str], k: int) -> DataFrame:
+    """Limits of groups small enough to be solved by their values, in one plan without stored tables."""
+    def limits(t: pa.Table) -> pa.Table:
+        t = t.sort_by("x")
+        x, n = t["x"].to_numpy(), t["n"].to_numpy().astype(float)
+        off = x - (x * n).sum() / n.sum()
+        cls, _ = solve(n, n * off, n * off * off, x, x, k, np.zeros(len(x), bool))
+        first = np.flatnonzero(np.concatenate([[True], cls[1:] != cls[:-1]]))
+        ends = np.append(first[1:], len(x)) - 1
+        out = t.select(list(keys)).slice(0, 1)
+        for name, column in (("n_classes", pa.array([len(first)], pa.int32())), ("lowers", pa.array([x[first].tolist()], pa.list_(pa.float64()))),
+                             ("uppers", pa.array([x[ends].tolist()], pa.list_(pa.float64())))):
+            out = out.append_column(name, column)
+        return out
+
+    schema = T.StructType([rows.schema[c] for c in keys] + [
+        T.StructField("n_classes", T.IntegerType()), T.StructField("lowers", T.ArrayType(T.DoubleType())),
+        T.StructField("uppers", T.ArrayType(T.DoubleType()))])
+    return rows.groupBy(*keys, "x").agg(F.count(F.lit(1)).alias("n")).groupBy(*keys).applyInArrow(limits, schema)
+
+
 def quantile_breaks(df: DataFrame, value: str, k: int = 5, by: Sequence[str] = (), **kw) -> DataFrame:
     """Class limits at the k-quantiles; equal limits merge."""
     by = list(by)

@@ -117,15 +117,13 @@ def _by_country(specs: Sequence[NationSpec], pick: Callable[[NationSpec], Column
     return out
 
 
-def _classes(df: DataFrame, source: DataFrame, values: Mapping[str, str], wanted: Sequence[tuple[str, str]],
-             k: int, finder: Callable[..., DataFrame] = natural_breaks) -> DataFrame:
-    """Add `<indicator>_q` to `df` from class limits found on `source` (country, indicator, value)."""
-    pairs = F.concat_ws("|", "country", "indicator").isin([f"{c}|{i}" for c, i in wanted])
-    limits = finder(source.filter(pairs), "value", k, ["country", "indicator"])
-    out = attach(df, pivot_limits(limits, "indicator", list(values), ["country"]), "country")
-    for name, col in values.items():
-        out = out.withColumn(f"{name}_q", class_of(F.col(col).cast("double"), F.col(f"{name}__n"), F.col(f"{name}__u"), k))
-    return out.drop(*[f"{n}__{s}" for n in values for s in ("n", "u")])
+def _classes(df: DataFrame, limits: DataFrame, values: Mapping[str, tuple[str, str]], k: int) -> DataFrame:
+    """Add `<name>_q` to `df`; `values` maps names to the indicator in `limits` and the column that is classified."""
+    indicators = [i for i, _ in values.values()]
+    out = attach(df, pivot_limits(limits.filter(F.col("indicator").isin(indicators)), "indicator", indicators, ["country"]), "country")
+    for name, (i, col) in values.items():
+        out = out.withColumn(f"{name}_q", class_of(F.col(col).cast("double"), F.col(f"{i}__n"), F.col(f"{i}__u"), k))
+    return out.drop(*[f"{i}__{s}" for i in indicators for s in ("n", "u")])
 
 
 def _long(tables: Mapping[str, tuple[DataFrame, str, str]]) -> DataFrame:
@@ -182,18 +180,38 @@ class Inputs:
     specs: Sequence[NationSpec] = field(default=NATIONS)
 
 
-def small_area_risks(inp: Inputs, k: int = 5) -> DataFrame:
+def class_limits(inp: Inputs, k: int = 5, finder: Callable[..., DataFrame] = natural_breaks) -> DataFrame:
+    """Class limits per (country, indicator) of all levels, found by one search and stored.
+
+    No level's limits depend on another's results. The fire classes of service areas are `service_fires`.
+    """
+    specs = inp.specs
+    tables = {
+        "fires": (inp.fires, "area_code", "dens_fires"), "floods": (inp.floods, "area_code", "n_people_flood"),
+        "lonely": (inp.loneliness, "area_code", "loneills_2018"), "alone": (inp.alone, "area_code", "prop_alone"),
+        "displacement": (inp.displacement, "lad19cd", "sec95"), "hle_birth": (inp.life, "lad_code", "hle_birth"),
+        "digital": (inp.digital, "lad_code", "digital_total_mult"),
+    }
+    wanted = {(s.country, i) for s in specs for i in s.small if i in SMALL_VALUES}
+    wanted |= {(s.country, i) for s in specs for i in s.lad
+               if i in LAD_VALUES and not (i == "displacement" and s.two_class_displacement)}
+    if inp.service_fires is not None:
+        tables["service_fires"] = (inp.service_fires, "service_code", "dens_fires")
+        wanted |= {(s.country, "service_fires") for s in specs if s.service}
+    pairs = F.concat_ws("|", "country", "indicator").isin(sorted(f"{c}|{i}" for c, i in wanted))
+    return materialize(finder(_long(tables).filter(pairs), "value", k, ["country", "indicator"]), "class-limits")
+
+
+def small_area_risks(inp: Inputs, k: int = 5, limits: DataFrame | None = None) -> DataFrame:
     """Indicators, classes (sentinel where missing) and combined label per neighbourhood."""
     specs = inp.specs
-    tables = {"fires": inp.fires, "floods": inp.floods, "lonely": inp.loneliness, "alone": inp.alone}
-    long = _long({n: (t, "area_code", SMALL_VALUES[n]) for n, t in tables.items()})
+    limits = class_limits(inp, k) if limits is None else limits
     wide = star(
         inp.areas.select("area_code").withColumn("country", country_of("area_code")),
         (inp.fires, "area_code"), (inp.floods, "area_code"), (inp.loneliness, "area_code"),
         (inp.alone, "area_code"), (deciles_by_area(inp.deciles, inp.lookup), "area_code"),
     )
-    wanted = [(s.country, i) for s in specs for i in s.small if i in SMALL_VALUES]
-    out = _classes(wide, long, SMALL_VALUES, wanted, k)
+    out = _classes(wide, limits, {i: (i, c) for i, c in SMALL_VALUES.items()}, k)
     # An indicator a nation lacks stays missing; one it has gets the nation's sentinel.
     out = out.withColumns({
         f"{i}_q": _by_country(specs, lambda s, i=i: F.coalesce(F.col(f"{i}_q"), F.lit(s.sentinel)) if i in s.small
@@ -208,7 +226,7 @@ def _lad_class(i: str) -> str:
     return f"worst_{i}_q" if i in ROLLED else f"{i}_q"
 
 
-def lad_risks(small: DataFrame, inp: Inputs, k: int = 5, weight: str = "children") -> DataFrame:
+def lad_risks(small: DataFrame, inp: Inputs, k: int = 5, weight: str = "children", limits: DataFrame | None = None) -> DataFrame:
     """Worst neighbourhoods per local authority with the authority-level indicators and label."""
     specs = inp.specs
     rolled = roll_up_worst(small, inp.lookup, "area_code", "lad_code", MEASURES, weight, keep=["country"])
@@ -218,14 +236,8 @@ def lad_risks(small: DataFrame, inp: Inputs, k: int = 5, weight: str = "children
         "destitution_q": reverse_half("destitution_all", k), "migrant_dest_q": reverse_half("destitution_migrant", k)})
     wide = star(joined, (inp.displacement, {"join19": "lad19cd"}), (inp.digital, "lad_code"), (inp.life, "lad_code"),
                 (reversed_, "lad_code"))
-    long = _long({
-        "displacement": (inp.displacement, "lad19cd", "sec95"),
-        "hle_birth": (inp.life, "lad_code", "hle_birth"),
-        "digital": (inp.digital, "lad_code", "digital_total_mult"),
-    })
-    wanted = [(s.country, i) for s in specs for i in s.lad
-              if i in LAD_VALUES and not (i == "displacement" and s.two_class_displacement)]
-    out = _classes(wide, long, LAD_VALUES, wanted, k)
+    limits = class_limits(inp, k) if limits is None else limits
+    out = _classes(wide, limits, {i: (i, c) for i, c in LAD_VALUES.items()}, k)
     out = out.withColumn("displacement_q", _by_country(
         specs, lambda s: two_class("sec95") if s.two_class_displacement else F.col("displacement_q")))
     label = _by_country(specs, lambda s: combined_label([(_lad_class(i), LABELS[i]) for i in s.lad]))
@@ -236,7 +248,7 @@ def lad_risks(small: DataFrame, inp: Inputs, k: int = 5, weight: str = "children
     return out.drop("join19")
 
 
-def service_risks(lads: DataFrame, inp: Inputs, k: int = 5) -> DataFrame:
+def service_risks(lads: DataFrame, inp: Inputs, k: int = 5, limits: DataFrame | None = None) -> DataFrame:
     """Worst local authority classes per fire service area, with the service's own fire class."""
     specs = [s for s in inp.specs if s.service]
     own = [i for i in specs[0].service if i != "fires"]
@@ -245,8 +257,8 @@ def service_risks(lads: DataFrame, inp: Inputs, k: int = 5) -> DataFrame:
                     inp.service_lookup.select("lad_code", "service_code"), "lad_code")
     rolled = worst_of(joined, ["country", "service_code"], measures, with_medians=False)
     wide = attach(rolled, inp.service_fires.select("service_code", "dens_fires"), "service_code")
-    long = _long({"fires": (inp.service_fires, "service_code", "dens_fires")})
-    out = _classes(wide, long, {"fires": "dens_fires"}, [(s.country, "fires") for s in specs], k)
+    limits = class_limits(inp, k) if limits is None else limits
+    out = _classes(wide, limits, {"fires": ("service_fires", "dens_fires")}, k)
     label = _by_country(specs, lambda s: combined_label(
         [("fires_q" if i == "fires" else f"worst_{i}_q", LABELS[i]) for i in s.service]))
     out = out.withColumn("combined_risk", label)
@@ -263,9 +275,10 @@ def nation_report(lads: DataFrame, spec: NationSpec, skip_zero: bool = False) ->
 
 def run_nations(inp: Inputs, k: int = 5, weight: str = "children") -> dict[str, DataFrame]:
     """All levels with the sentinel cleared: `small`, `lad` and, where given, `service`."""
-    small = materialize(small_area_risks(inp, k), "small-area-risks")
-    lad = materialize(lad_risks(small, inp, k, weight), "lad-risks")
+    limits = class_limits(inp, k)
+    small = materialize(small_area_risks(inp, k, limits), "small-area-risks")
+    lad = materialize(lad_risks(small, inp, k, weight, limits), "lad-risks")
     out = {"small": clear_sentinel(small), "lad": clear_sentinel(lad)}
     if inp.service_lookup is not None and inp.service_fires is not None:
-        out["service"] = clear_sentinel(service_risks(lad, inp, k))
+        out["service"] = clear_sentinel(service_risks(lad, inp, k, limits))
     return out
