@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from arearisk.config import Catalogue
 from arearisk.operators.joins import successors, union_filled, without_successor
+from arearisk.operators.spatial import polygon_flags
 from arearisk.plans import analysis as A
 from arearisk.plans import datasets as D
 from arearisk.plans import nations as NP
@@ -57,6 +58,11 @@ class Staged:
         return R.read_records(self.spark, self.cat.raw(path), schema).select(
             *[F.col(old).alias(new) for old, (new, _) in columns.items()])
 
+    def has(self, path: str) -> bool:
+        """Whether a staged file is there."""
+        at = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.cat.raw(path))
+        return bool(at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(at))
+
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.cat.processed(name))
 
@@ -162,6 +168,21 @@ def area_lookup(s: Staged) -> DataFrame:
     return union_filled(gb.filter(~F.col("area_code").startswith("S")), sco, ni)
 
 
+# The staged point layers behind the presence flags.
+PRESENCE_LAYERS = {"presence_services": "services", "presence_shops": "shops", "presence_props": "props"}
+
+
+def presence(s: Staged) -> DataFrame | None:
+    """Yes/No per local authority of 2019 and kind of place, from its boundary and the staged points; None if not staged."""
+    if not s.has("presence/boundaries.geojson"):
+        return None
+    lads = R.read_polygons(s.spark, s.cat.raw("presence", "boundaries.geojson"), R.typed_schema(["lad19cd"], TEXT))
+    points = {
+        flag: (R.read_points(s.spark, s.cat.raw("presence", f"{name}.geojson"), R.typed_schema(["id"], TEXT)), "id", "x", "y")
+        for flag, name in PRESENCE_LAYERS.items()}
+    return polygon_flags(lads, "lad19cd", "rings", points)
+
+
 def combine(spark: SparkSession, cat: Catalogue, k: int = 5, weight: str = "children") -> dict[str, DataFrame]:
     """Combined risks of all nations, written as tables, CSV and the report."""
     s = Staged(spark, cat)
@@ -181,6 +202,7 @@ def combine(spark: SparkSession, cat: Catalogue, k: int = 5, weight: str = "chil
         digital=s.table("digital").select(F.col("la_code").alias("lad_code"), "digital_total_mult"),
         life=s.table("life_expectancy").filter("area_kind = 'local authority'").select(F.col("code").alias("lad_code"), "hle_birth"),
         destitution=s.table("destitution").select(F.col("lad17cd").alias("lad_code"), "destitution_all", "destitution_migrant"),
+        presence=presence(s),
         service_lookup=s.lookup("lad_service", lad_code="LAD17CD", service_code="FRA17CD", service_name="FRA17NM"),
         service_fires=s.table("fires_wales_service").select(F.col("fra19cd").alias("service_code"), "dens_fires"),
     )

@@ -65,6 +65,16 @@ def cat(tmp_path_factory):
 
     put("floods/england.geojson", zone({"zone_id": "1", "layer": "Flood Zone 3"}, 0, 6) + zone({"zone_id": "2", "layer": "Flood Zone 2"}, 6, 10))
     put("floods/wales.geojson", zone({"zone_id": "1", "type": "coast"}, 4, 9))
+    lads19 = ["E900" if d == "E060" else d for d in both]
+
+    def place(i, x, y):
+        return json.dumps({"type": "Feature", "properties": {"id": str(i)}, "geometry": {"type": "Point", "coordinates": [x, y]}})
+
+    put("presence/boundaries.geojson", "".join(json.dumps({"type": "Feature", "properties": {"lad19cd": d}, "geometry": {"type": "Polygon", "coordinates": [
+        [[i, 50], [i + 1, 50], [i + 1, 51], [i, 51], [i, 50]]]}}) + "\n" for i, d in enumerate(lads19)))
+    put("presence/services.geojson", "\n".join(place(i, i + 0.5, 50.5) for i in range(0, len(lads19), 2)))
+    put("presence/shops.geojson", "\n".join(place(i, i + 0.25, 50.75) for i in range(0, len(lads19), 3)) + "\n" + place(99, 0.5, 52.0))
+    put("presence/props.geojson", place(0, 100.5, 50.5))
     put("population/oa/east.csv", sheet(4, "OA11CD,LSOA11CD,All Ages", [f"{s}x,{s},{30 + 11 * i % 70}" for i, (s, *_) in enumerate(gb)]))
     put("floods/northern_ireland.csv", sheet(0, "SA2011,SOA2011", [f"N{i}0,{s}" for i, (s, _) in enumerate(soas)]))
     put("population/northern_ireland.csv", sheet(0, "Year,Area_Code,MYE", [f"{y},N{i}0,{20 + 9 * i}" for y in (2017, 2018) for i in range(6)]))
@@ -103,6 +113,13 @@ def test_staged_files_to_analysis(spark, cat):
     assert small.filter("country = 'England' and fires_q = 1").count() > 0
     assert lad.filter("combined_risk like '%Digital exclusion%'").count() > 0
 
+    flags = ("presence_services", "presence_shops", "presence_props")
+    got = {r["lad_code"]: tuple(r[f] for f in flags) for r in lad.collect()}
+    order = [f"{l}06{j}" for l in LETTERS for j in range(N_LADS)] + [f"N09{j}" for j in range(3)]
+    assert got == {d: ("No" if i % 2 else "Yes", "No" if i % 3 else "Yes", "No") for i, d in enumerate(order)}
+    shown = spark.read.option("header", True).csv(cat.output("report"))
+    assert {"Services present?", "Shops present?", "Properties present?"} <= set(shown.columns)
+
     done = jobs.analyse(spark, cat, outcomes=["life"])
     assert {"inequality_summary", "life_comparison", "life_deprivation_band"} <= set(done)
     band = spark.read.option("header", True).csv(cat.output("analysis", "life_deprivation_band"))

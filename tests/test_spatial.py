@@ -2,8 +2,9 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from arearisk.operators.spatial import points_in_polygons, polygon_flags
+from arearisk.operators.spatial import points_in_polygons, polygon_boxes, polygon_cover, polygon_edges, polygon_flags
 from tests.conftest import rows
 
 LAYER = "id string, rings array<array<array<double>>>"
@@ -52,6 +53,26 @@ def test_agrees_with_a_scalar_ray_cast_at_all_sizes(spark, scale):
     assert got == sorted((p, s) for p, x, y in pts for s, rings in shapes if inside(x, y, rings))
 
 
+def test_cells_without_edges_are_wholly_inside_or_outside(spark):
+    """Most points of large polygons need no edge, and none is lost for it: star, comb, hole and two parts, many edges."""
+    rng = random.Random(11)
+    star = [[10 * (1 + 0.5 * (j % 2)) * math.cos(2 * math.pi * j / 400), 10 * (1 + 0.5 * (j % 2)) * math.sin(2 * math.pi * j / 400)] for j in range(400)]
+    comb = [[0.0, 0.0]] + [p for j in range(60) for p in ([j / 2, 9.0 + (j % 3)], [j / 2 + 0.2, 0.5])] + [[30.0, 0.0]]
+    ring = [[8 * math.cos(j / 40), 8 * math.sin(j / 40)] for j in range(252)]
+    hole = [[5 * math.cos(j / 40), 5 * math.sin(j / 40)] for j in range(252)]
+    far = [[20 + x / 9, 30 + y / 9] for x, y in ring]
+    shift = [[1e6 + x * 1e-3, 1e6 + y * 1e-3] for x, y in ring]
+    shapes = [("star", [star]), ("comb", [comb]), ("rings", [ring, hole, far]), ("shifted", [shift])]
+    layer = spark.createDataFrame(shapes, LAYER)
+    pts = [(j, rng.uniform(-16, 32), rng.uniform(-16, 32)) for j in range(1500)] + [(j, 1e6 + rng.uniform(-0.01, 0.01), 1e6 + rng.uniform(-0.01, 0.01)) for j in range(1500, 1700)]
+    got = rows(points_in_polygons(spark.createDataFrame(pts, "p int, x double, y double"), "p", "x", "y", layer, "id", "rings"), "p", "id")
+    assert got == sorted((p, s) for p, x, y in pts for s, rings in shapes if inside(x, y, rings))
+    edges = polygon_edges(layer, "id", "rings")
+    cover, _ = polygon_cover(edges, polygon_boxes(edges))
+    share = {r["feature"]: r["s"] for r in cover.groupBy("feature").agg(F.avg(F.col("inner").cast("int")).alias("s")).collect()}
+    assert share["star"] > 0.3 and share["rings"] > 0.2 and share["shifted"] == 0
+
+
 def test_no_polygons(spark):
     pts = spark.createDataFrame([(1, 2.0, 2.0)], "p int, x double, y double")
     out = points_in_polygons(pts, "p", "x", "y", spark.createDataFrame([], LAYER), "id", "rings")

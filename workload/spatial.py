@@ -65,13 +65,22 @@ def point_in_polygon(spark, sf):
     return points_in_polygons(points(spark, sf), "vec_id", "x", "y", layer(spark, sf), "label", "rings")
 
 
-@query(f"""WITH {_PIP_SQL} SELECT label, CASE WHEN label IN (SELECT label FROM inside JOIN embeddings e USING (vec_id) WHERE e.label = 3) THEN 'Yes' ELSE 'No' END AS has_threes,
-       CASE WHEN label IN (SELECT label FROM inside WHERE vec_id % 100 = 7) THEN 'Yes' ELSE 'No' END AS has_sevens FROM (SELECT DISTINCT label FROM embeddings)
-""".replace("SELECT label FROM inside JOIN embeddings e USING (vec_id) WHERE e.label = 3", "SELECT i.label FROM inside i JOIN embeddings e ON e.vec_id = i.vec_id WHERE e.label = 3"))
+# Three point sets, each of all vectors: their first two entries, and two others further and further off.
+_SETS = {"has_near": (0, 0.4), "has_off": (4, 0.45), "has_far": (8, 0.5)}
+
+
+def _set_sql(name: str, at: int, shift: float) -> str:
+    return f"""{name} AS (SELECT DISTINCT label FROM (SELECT label, vec_id FROM (
+  SELECT vec_id, CAST(embedding[{at + 1}] AS DOUBLE) + {shift} AS x, CAST(embedding[{at + 2}] AS DOUBLE) + {shift} AS y FROM embeddings), edge
+  WHERE (y1 > y) <> (y2 > y) AND x < (x2 - x1) * (y - y1) / (y2 - y1) + x1 GROUP BY label, vec_id HAVING count(*) % 2 = 1))"""
+
+
+@query(f"""WITH {_PIP_SQL}, {", ".join(_set_sql(n, *v) for n, v in _SETS.items())}
+SELECT label, {", ".join(f"CASE WHEN label IN (SELECT label FROM {n}) THEN 'Yes' ELSE 'No' END AS {n}" for n in _SETS)} FROM (SELECT DISTINCT label FROM embeddings)""")
 def polygon_has_point(spark, sf):
-    """Two named point sets: members of one label, and every hundredth vector."""
-    p = points(spark, sf)
-    threes = p.join(table(spark, sf, "embeddings").filter("label = 3").select("vec_id"), "vec_id")
-    sevens = p.filter("vec_id % 100 = 7")
-    return polygon_flags(layer(spark, sf), "label", "rings",
-                         {"has_threes": (threes, "vec_id", "x", "y"), "has_sevens": (sevens, "vec_id", "x", "y")})
+    """Three named point sets in one pass."""
+    e = table(spark, sf, "embeddings")
+    sets = {name: (e.select("vec_id", (F.col("embedding")[at].cast("double") + shift).alias("x"),
+                            (F.col("embedding")[at + 1].cast("double") + shift).alias("y")), "vec_id", "x", "y")
+            for name, (at, shift) in _SETS.items()}
+    return polygon_flags(layer(spark, sf), "label", "rings", sets)
