@@ -167,41 +167,61 @@ def _arrow_sums(rows: DataFrame, cols: list[str], length: int, per_batch: Callab
     return out
 
 
-def _moments(rows: DataFrame, cols: list[str], means: list[float]) -> np.ndarray:
-    """Matrix of summed cross-products around the given means.
+@dataclass(frozen=True)
+class Gram:
+    """Number of rows, means and summed cross-products around the means, of the outcome (first) and named terms."""
 
-    Few columns are summed in generated code. With many, the generated method
-    would be too long to be compiled, so batches are multiplied with numpy.
-    """
-    p, pairs = len(cols), [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    if len(pairs) > MAX_SUMS:
-        shift = np.array(means)
+    names: tuple[str, ...]
+    n: int
+    means: np.ndarray
+    cross: np.ndarray
 
-        def gram(x: np.ndarray) -> np.ndarray:
-            d = x - shift
-            return (d.T @ d).ravel()
+    def pick(self, names: Sequence[str]) -> Gram:
+        """The same for some of the terms: every model of a set is solved from one matrix."""
+        at = [0, *(1 + self.names.index(t) for t in names)]
+        return Gram(tuple(names), self.n, self.means[at], self.cross[np.ix_(at, at)])
 
-        return _arrow_sums(rows, cols, p * p, gram).reshape(p, p)
-    off = [F.col(c) - F.lit(float(m)) for c, m in zip(cols, means)]
-    out = np.zeros((p, p))
-    for (i, j), v in zip(pairs, rows.agg(*[F.sum(off[i] * off[j]) for i, j in pairs]).first()):
-        out[i, j] = out[j, i] = float(v)
-    return out
 
+def gram(df: DataFrame, y: str, terms: Terms) -> Gram:
+    """One scan over the rows complete in the outcome and all terms.
 
-def fit_linear(df: DataFrame, y: str, terms: Terms, prior_sd: float | None = None) -> LinearFit:
+    Sums are taken around the means of the first thousand rows and moved to the means of all at the end, so that
+    large values with little spread lose no digits.
+    """
+    rows, cols = _complete(df, y, terms)
+    cols, p = ["y", *cols], len(terms) + 1
+    near = rows.limit(1000).agg(*[F.avg(c) for c in cols]).first()
+    shift = np.array([float(v or 0.0) for v in near])
+    pairs = [(i, j) for i in range(p) for j in range(i, p)]
+    if 1 + p + len(pairs) > MAX_SUMS:
+        # With many sums the generated method would be too long to be compiled, so batches are multiplied with numpy.
+        def products(x: np.ndarray) -> np.ndarray:
+            d = x - shift
+            return np.concatenate(([len(x)], d.sum(axis=0), (d.T @ d).ravel()))
+
+        r = _arrow_sums(rows, cols, 1 + p + p * p, products)
+        n, off, cross = int(r[0]), r[1:1 + p], r[1 + p:].reshape(p, p)
+    else:
+        d = [F.col(c) - F.lit(float(m)) for c, m in zip(cols, shift)]
+        r = rows.agg(F.count(F.lit(1)), *[F.sum(x) for x in d], *[F.sum(d[i] * d[j]) for i, j in pairs]).first()
+        n, off, cross = int(r[0]), np.array([float(v or 0.0) for v in r[1:1 + p]]), np.zeros((p, p))
+        for (i, j), v in zip(pairs, r[1 + p:]):
+            cross[i, j] = cross[j, i] = float(v or 0.0)
+    if not n:
+        return Gram(tuple(terms), 0, shift, cross)
+    return Gram(tuple(terms), n, shift + off / n, cross - np.outer(off, off) / n)
+
+
+def solve_linear(sums: Gram, prior_sd: float | None = None) -> LinearFit:
     """Least squares, or with `prior_sd` the normal posterior under normal(0, prior_sd) priors.
 
     Priors are on the slopes and on the level at the means; sigma is the
     least-squares estimate.
     """
-    rows, cols = _complete(df, y, terms)
-    p = len(cols)
-    head = rows.agg(F.count(F.lit(1)), F.avg("y"), *[F.avg(c) for c in cols]).first()
-    n, y_mean, means = int(head[0]), head[1], np.array([float(v) for v in head[2:]] if head[0] else [])
+    n, p = sums.n, len(sums.names)
     if n <= p + 1:
         raise ValueError(f"{n} complete rows cannot identify {p + 1} coefficients")
-    cross = _moments(rows, ["y", *cols], [y_mean, *means])
+    y_mean, means, cross = float(sums.means[0]), sums.means[1:], sums.cross
     tss, sxy, sxx = float(cross[0, 0]), cross[0, 1:], cross[1:, 1:]
     inv = np.linalg.pinv(sxx, hermitian=True) if p else np.zeros((0, 0))
     rank = int(np.linalg.matrix_rank(sxx, hermitian=True)) if p else 0
@@ -209,7 +229,7 @@ def fit_linear(df: DataFrame, y: str, terms: Terms, prior_sd: float | None = Non
     rss = max(float(tss - sxy @ beta), 0.0)
     dof = float(n - rank - 1)
     s2 = rss / dof
-    level, level_var, cov = float(y_mean), s2 / n, s2 * inv
+    level, level_var, cov = y_mean, s2 / n, s2 * inv
     if prior_sd is not None:
         tau = 1.0 / prior_sd**2
         noise = max(s2, 1e-300)
@@ -218,10 +238,28 @@ def fit_linear(df: DataFrame, y: str, terms: Terms, prior_sd: float | None = Non
         level_var = 1.0 / (n / noise + tau)
         level = level_var * n * y_mean / noise
         rss = float(tss - 2 * beta @ sxy + beta @ sxx @ beta + n * (y_mean - level) ** 2)
-    return LinearFit(tuple(terms), means, level, float(level_var), beta, cov, inv, n, rss, tss, dof,
+    return LinearFit(sums.names, means, level, float(level_var), beta, cov, inv, n, rss, tss, dof,
                      math.sqrt(s2), prior_sd is not None)
 
 
+def fit_linear(df: DataFrame, y: str, terms: Terms, prior_sd: float | None = None) -> LinearFit:
+    """`solve_linear` on the rows complete in the outcome and the terms."""
+    return solve_linear(gram(df, y, terms), prior_sd)
+
+
+def fit_models(df: DataFrame, y: str, models: dict[str, Terms], prior_sd: float | None = None) -> dict[str, LinearFit]:
+    """Several models from one scan, all on the rows that are complete in the terms of every one of them.
+
+    Terms of the same name must be the same.
+    """
+    sums = gram(df, y, _all_terms(models))
+    return {name: solve_linear(sums.pick(list(terms)), prior_sd) for name, terms in models.items()}
+
+
+def _all_terms(models: dict[str, Terms]) -> Terms:
+    return {t: c for terms in models.values() for t, c in terms.items()}
+
+
 def _plus(parts: list[Column]) -> Column:
     return reduce(lambda a, b: a + b, parts) if parts else F.lit(0.0)
 
@@ -281,27 +319,51 @@ def predict_band(fit: LinearFit, grid: DataFrame, terms: Terms, level: float = 0
     }).drop("__var", *_hidden(len(cols)))
 
 
+#: A row whose leverage comes this close to 1 fixes a coefficient alone: without it the model says nothing about it.
+FREE = 1e-9
+
+
+def press_of_models(df: DataFrame, y: str, models: dict[str, Terms], fits: dict[str, LinearFit]) -> dict[str, tuple[float, int, int]]:
+    """Leave-one-out squared errors of several models in one scan, without refitting: residuals over one minus leverage.
+
+    Per model: the sum, the rows in it and the rows that have leverage 1 there. All sums are over the same rows: those
+    complete in every term that have leverage below 1 in every model.
+    """
+    union = _all_terms(models)
+    rows, cols = _complete(df, y, union)
+    places = {name: [list(union).index(t) + 1 for t in terms] for name, terms in models.items()}
+
+    def errors(x: np.ndarray) -> np.ndarray:
+        lost, share = [], []
+        for name, fit in fits.items():
+            d = x[:, places[name]] - fit.means
+            share.append(1.0 - 1.0 / fit.n - np.einsum("ij,jk,ik->i", d, fit.sxx_inv, d))
+            lost.append(x[:, 0] - fit.level - d @ fit.beta)
+        free = np.all([s > FREE for s in share], axis=0)
+        return np.concatenate(([free.sum()], *[
+            [np.sum((e[free] / s[free]) ** 2), np.sum(s <= FREE)] for e, s in zip(lost, share)]))
+
+    r = _arrow_sums(rows, ["y", *cols], 1 + 2 * len(fits), errors)
+    return {name: (float(r[1 + 2 * i]), int(r[0]), int(r[2 + 2 * i])) for i, name in enumerate(fits)}
+
+
 def press(df: DataFrame, y: str, terms: Terms, fit: LinearFit) -> DataFrame:
-    """Leave-one-out squared error, without refitting: residuals over one minus leverage."""
-    rows, cols = _complete(df, y, terms)
-    cols = [F.col(c) for c in cols]
-    lever = F.lit(1.0 / fit.n) + _quadratic(_around_means(fit, cols), fit.sxx_inv)
-    error = F.try_divide(F.col("y") - _linear(fit.intercept, cols, fit.beta), F.lit(1.0) - lever)
-    return rows.select(error.alias("e")).agg(F.sum(F.col("e") * F.col("e")).alias("press"), F.count("e").alias("n"))
+    """Leave-one-out squared error of one model: press, n and the rows of leverage 1, which are not in it."""
+    return df.sparkSession.createDataFrame(
+        [press_of_models(df, y, {"": terms}, {"": fit})[""]], "press double, n long, leverage_one long")
 
 
 def compare_loo(df: DataFrame, y: str, models: dict[str, Terms]) -> DataFrame:
-    """Models ranked by leave-one-out error: model, press, n, difference to the best."""
-    spark = df.sparkSession
-    rows = []
-    for name, terms in models.items():
-        r = press(df, y, terms, fit_linear(df, y, terms)).first()
-        rows.append((name, float(r["press"]), int(r["n"])))
-    best = min(r[1] for r in rows)
-    rows.sort(key=lambda r: r[1])
-    return spark.createDataFrame(
-        [(i + 1, m, v, n, v - best) for i, (m, v, n) in enumerate(rows)],
-        "place int, model string, press double, n long, press_diff double")
+    """Models ranked by leave-one-out error: place, model, press, n, difference to the best, rows of leverage 1.
+
+    Two scans whatever the number of models, and the same rows for all of them.
+    """
+    found = press_of_models(df, y, models, fit_models(df, y, models))
+    best = min(v for v, _, _ in found.values())
+    rows = sorted(((m, *v) for m, v in found.items()), key=lambda r: r[1])
+    return df.sparkSession.createDataFrame(
+        [(i + 1, m, v, n, v - best, fixed) for i, (m, v, n, fixed) in enumerate(rows)],
+        "place int, model string, press double, n long, press_diff double, leverage_one long")
 
 
 def lines_by_group(df: DataFrame, y: str, x: str, by: Sequence[str]) -> DataFrame:
@@ -319,6 +381,10 @@ def _exp(v: float) -> float | None:
     return math.exp(v) if v < 700 else None
 
 
+class NotConverged(RuntimeError):
+    """A fit did not settle within its steps."""
+
+
 @dataclass(frozen=True)
 class CountFit:
     names: tuple[str, ...]  # the intercept first
@@ -327,6 +393,8 @@ class CountFit:
     theta: float | None  # None for Poisson
     n: int
     iterations: int = 0
+    converged: bool = True
+    log_likelihood: float | None = None
 
     def coefficients(self, spark: SparkSession, level: float = 0.95) -> DataFrame:
         """term, estimate, std_error and interval on the log scale, and as rate ratios."""
@@ -351,23 +419,34 @@ def fit_poisson(df: DataFrame, y: str, terms: Terms) -> CountFit:
     return CountFit(("(Intercept)", *terms), coef, np.diag(se**2), None, int(model.summary.numInstances))
 
 
-def fit_negative_binomial(df: DataFrame, y: str, terms: Terms, max_iter: int = 50, tol: float = 1e-9) -> CountFit:
-    """Negative-binomial counts with log link.
+def fit_negative_binomial(df: DataFrame, y: str, terms: Terms, max_iter: int = 50, tol: float = 1e-9,
+                          dispersion: str = "likelihood", on_failure: str = "raise") -> CountFit:
+    """Negative-binomial counts with log link, by reweighted least squares; each step is one aggregation.
 
-    Reweighted least squares; each step is one aggregation that also gives the
-    moment estimate of the dispersion for the next step.
+    `likelihood`: the dispersion maximises the profile likelihood. What depends on the counts alone comes from their
+    histogram; steps that lower the likelihood are halved. `moment`: its moment estimate, as in quasi-likelihood.
+    A fit that does not settle raises `NotConverged`, or with `on_failure="return"` comes back with `converged` false.
     """
     rows, cols = _complete(df, y, terms)
     rows = materialize(rows, "count-model")
-    xs = [F.lit(1.0), *[F.col(c) for c in cols]]
-    p = len(xs)
     n, mean = (float(v or 0) for v in rows.agg(F.count(F.lit(1)), F.avg("y")).first())
-    if n <= p or mean <= 0:
+    if n <= len(cols) + 1 or mean <= 0:
         raise ValueError("not enough rows, or no positive counts")
+    solver = {"likelihood": _by_likelihood, "moment": _by_moments}[dispersion]
+    coef, cov, theta, done, converged, likelihood = solver(rows, cols, n, mean, max_iter, tol)
+    if not converged and on_failure == "raise":
+        raise NotConverged(f"no convergence in {max_iter} steps")
+    return CountFit(("(Intercept)", *terms), coef, cov, theta, int(n), done, converged, likelihood)
+
+
+def _by_moments(rows: DataFrame, cols: list[str], n: float, mean: float, max_iter: int, tol: float):
+    xs = [F.lit(1.0), *[F.col(c) for c in cols]]
+    p = len(xs)
     coef = np.zeros(p)
     coef[0] = math.log(mean)
     inv_theta, cov, done = 0.0, np.eye(p), 0
     pairs = [(i, j) for i in range(p) for j in range(i, p)]
+    moved = math.inf
     for done in range(1, max_iter + 1):
         if len(pairs) > MAX_SUMS:
             b, it = coef, inv_theta
@@ -398,7 +477,90 @@ def fit_negative_binomial(df: DataFrame, y: str, terms: Terms, max_iter: int = 5
         coef, inv_theta = new, new_inv
         if moved < tol:
             break
-    return CountFit(("(Intercept)", *terms), coef, cov, 1.0 / inv_theta, int(n), done)
+    return coef, cov, 1.0 / inv_theta, done, moved < tol, None
+
+
+#: Counts up to this one are tallied on the driver; beyond it a tally is one number for each count that occurs.
+MAX_TALLY = 1 << 20
+#: A dispersion parameter beyond this is that of Poisson counts.
+POISSON_THETA = 1e8
+
+
+class Tally:
+    """Histogram of whole counts, for the parts of the likelihood that depend on them alone.
+
+    The log of gamma(y + t) / gamma(t) is the sum of log(t + j) over j below y; so with the numbers of rows above each
+    j it and its derivatives are plain sums.
+    """
+
+    def __init__(self, rows: DataFrame):
+        found = rows.groupBy("y").agg(F.count(F.lit(1)).alias("n"))
+        top = found.agg(F.max("y"), F.min("y"), F.max(F.col("y") - F.floor("y"))).first()
+        if top[1] < 0 or top[2] > 0 or top[0] > MAX_TALLY:
+            raise ValueError(f"counts must be whole numbers from 0 to {MAX_TALLY}")
+        n = np.zeros(int(top[0]) + 1)
+        for r in found.collect():  # at most MAX_TALLY numbers
+            n[int(r["y"])] = r["n"]
+        # Rows with a count above j, for j = 0, 1, ...
+        self.above = n[::-1].cumsum()[::-1][1:]
+        self.j = np.arange(len(self.above))
+        self.constant = float(self.above @ np.log(self.j + 1.0)) if len(self.j) else 0.0
+
+    def sums(self, theta: float) -> tuple[float, float, float]:
+        """Value, first and second derivative by theta."""
+        t = theta + self.j
+        return float(self.above @ np.log(t)), float(self.above @ (1 / t)), -float(self.above @ (1 / t ** 2))
+
+
+def _by_likelihood(rows: DataFrame, cols: list[str], n: float, mean: float, max_iter: int, tol: float):
+    tally, p = Tally(rows), len(cols) + 1
+
+    def sums_at(b: np.ndarray, theta: float) -> np.ndarray:
+        def step_sums(data: np.ndarray) -> np.ndarray:
+            y_, x = data[:, 0], np.column_stack([np.ones(len(data)), data[:, 1:]])
+            eta = x @ b
+            mu = np.exp(np.clip(eta, -300, 300))
+            xw = x * (mu / (1.0 + mu / theta))[:, None]
+            plus, both = theta + mu, theta + y_
+            # log(theta / (theta + mu)) without cancellation for large theta.
+            ratio = -np.log1p(mu / theta)
+            return np.concatenate((
+                [np.sum(y_ * (eta - np.log(plus))), np.sum(ratio), np.sum(both / plus), np.sum(1 / plus), np.sum(both / plus ** 2)],
+                xw.T @ (eta + (y_ - mu) / mu), (xw.T @ x).ravel()))
+
+        return _arrow_sums(rows, ["y", *cols], 5 + p + p * p, step_sums)
+
+    coef = np.zeros(p)
+    coef[0] = math.log(mean)
+    variance = rows.agg(F.var_samp("y")).first()[0] or 0.0
+    log_theta = math.log(min(max(mean * mean / max(variance - mean, 1e-6 * mean), 1e-3), POISSON_THETA))
+    best, step, cov, converged, done = None, None, np.eye(p), False, 0
+    for done in range(1, max_iter + 1):
+        theta = math.exp(log_theta)
+        r = sums_at(coef, theta)
+        value, first, second = tally.sums(theta)
+        likelihood = value - tally.constant + r[0] + theta * r[1]
+        if best is not None and likelihood < best[0] - 1e-10 * abs(best[0]):
+            # Too far: half way back.
+            step = (step[0] / 2, step[1] / 2)
+            coef, log_theta = best[1] + step[0], best[2] + step[1]
+            continue
+        best = (likelihood, coef, log_theta)
+        cov = np.linalg.pinv(r[5 + p:].reshape(p, p), hermitian=True)  # dependent terms share their effect
+        new = cov @ r[5:5 + p]
+        # Newton's step for log(theta).
+        slope = theta * (first + r[1] + n - r[2])
+        curve = slope + theta ** 2 * (second + n / theta - 2 * r[3] + r[4])
+        move = -slope / curve if curve < 0 else math.copysign(1.0, slope)
+        move = max(-2.0, min(2.0, move))
+        if log_theta + move > math.log(POISSON_THETA):
+            move = math.log(POISSON_THETA) - log_theta
+        step = (new - coef, move)
+        coef, log_theta = new, log_theta + move
+        if max(float(np.max(np.abs(step[0]))), abs(move)) < max(tol, 1e-9):
+            converged = True
+            break
+    return coef, cov, math.exp(log_theta), done, converged, best[0]
 
 
 def count_band(fit: CountFit, grid: DataFrame, terms: Terms, level: float = 0.95) -> DataFrame:

@@ -73,21 +73,26 @@ def _crossed(df: DataFrame, *numeric: str) -> M.Terms:
 def linear_models(df: DataFrame, y: str, both: bool = False) -> dict[str, DataFrame]:
     """Country means, share x country models with priors, their bands, and with `both` the joint model."""
     spark, df = df.sparkSession, materialize(df, "model-rows")
-    out = {"by_country": M.fit_linear(df, y, M.factor_terms("country", M.levels_of(df, "country"))).coefficients(spark)}
+    models = {"by_country": M.factor_terms("country", M.levels_of(df, "country")),
+              "deprivation": _crossed(df, "prop_top2deciles"), "settlement": _crossed(df, "prop_urban")}
+    if both:
+        models["both"] = _crossed(df, "prop_top2deciles", "prop_urban")
+    # One scan for all models; outcome frames are complete, so all have the same rows anyhow.
+    sums = M.gram(df, y, {t: c for terms in models.values() for t, c in terms.items()})
+    plain = {name: M.solve_linear(sums.pick(list(terms))) for name, terms in models.items()}
+    out = {"by_country": plain["by_country"].coefficients(spark)}
     for name, x in (("deprivation", "prop_top2deciles"), ("settlement", "prop_urban")):
-        terms = _crossed(df, x)
-        plain, fit = M.fit_linear(df, y, terms), M.fit_linear(df, y, terms, PRIOR_SD)
-        out[f"{name}_least_squares"] = plain.coefficients(spark)
-        out[f"{name}_fit"] = plain.glance(spark)
+        fit = M.solve_linear(sums.pick(list(models[name])), PRIOR_SD)
+        out[f"{name}_least_squares"] = plain[name].coefficients(spark)
+        out[f"{name}_fit"] = plain[name].glance(spark)
         out[f"{name}_posterior"] = fit.coefficients(spark)
-        out[f"{name}_band"] = M.predict_band(fit, grid(df.select("country"), x), terms)
+        out[f"{name}_band"] = M.predict_band(fit, grid(df.select("country"), x), models[name])
     if both:
-        terms = _crossed(df, "prop_top2deciles", "prop_urban")
         corners = grid(grid(df.select("country"), "prop_urban", 1), "prop_top2deciles", 1)
-        out["both_band"] = M.predict_band(M.fit_linear(df, y, terms, PRIOR_SD), corners, terms).withColumn(
+        fit = M.solve_linear(sums.pick(list(models["both"])), PRIOR_SD)
+        out["both_band"] = M.predict_band(fit, corners, models["both"]).withColumn(
             "label", corner_label("prop_top2deciles", "prop_urban"))
-        out["comparison"] = M.compare_loo(df, y, {
-            "deprivation": _crossed(df, "prop_top2deciles"), "settlement": _crossed(df, "prop_urban"), "both": terms})
+        out["comparison"] = M.compare_loo(df, y, {name: models[name] for name in ("deprivation", "settlement", "both")})
     return out
 
 

@@ -119,7 +119,7 @@ def test_negative_binomial_matches_reweighted_least_squares(spark, frame, data):
         z = X @ b + (k - mu) / mu
         b = np.linalg.solve(X.T @ (X * w[:, None]), X.T @ (w * z))
         it = max((((k - mu) ** 2 - mu).sum()) / (mu**2).sum(), 1e-8)
-    fit = M.fit_negative_binomial(frame, "k", M.numeric_term("x"))
+    fit = M.fit_negative_binomial(frame, "k", M.numeric_term("x"), dispersion="moment")
     assert list(fit.coef) == pytest.approx(list(b), abs=1e-6) and 1 / fit.theta == pytest.approx(it, abs=1e-6)
     z = M.zero_share(frame, "k", M.numeric_term("x"), fit).first()
     mu = np.exp(X @ b)
@@ -129,6 +129,80 @@ def test_negative_binomial_matches_reweighted_least_squares(spark, frame, data):
     assert band["lower"] < band["predicted"] < band["upper"]
 
 
+def log_likelihood(b, theta, X, k):
+    mu = np.exp(X @ b)
+    return sum(math.lgamma(y + theta) - math.lgamma(theta) - math.lgamma(y + 1) + theta * math.log(theta / (theta + m)) + y * math.log(m / (theta + m))
+               for y, m in zip(k, mu))
+
+
+@pytest.mark.parametrize("wide", [False, True])
+def test_dispersion_maximises_the_likelihood(spark, wide):
+    """Against a plain search by coordinates, also with so many terms that sums come from batches."""
+    rng = np.random.default_rng(8)
+    n = 800
+    x = rng.normal(size=(n, 6 if wide else 1))
+    k = rng.poisson(np.exp(0.4 + 0.3 * x[:, 0]) * rng.gamma(1.5, 1 / 1.5, n))
+    df = spark.createDataFrame([(*map(float, r), int(c)) for r, c in zip(x, k)], ", ".join(f"x{i} double" for i in range(x.shape[1])) + ", k int")
+    fit = M.fit_negative_binomial(df, "k", {f"x{i}": F.col(f"x{i}") for i in range(x.shape[1])})
+    X = np.column_stack([np.ones(n), x])
+    at = log_likelihood(fit.coef, fit.theta, X, k)
+    assert fit.converged and fit.log_likelihood == pytest.approx(at, rel=1e-9)
+    for i in range(len(fit.coef)):
+        for d in (-1e-3, 1e-3):
+            moved = fit.coef.copy()
+            moved[i] += d
+            assert log_likelihood(moved, fit.theta, X, k) < at
+    for f in (0.999, 1.001):
+        assert log_likelihood(fit.coef, fit.theta * f, X, k) < at
+
+
+def test_counts_without_overdispersion_end_at_poisson(spark):
+    df = spark.createDataFrame([(float(i % 2), 1 + i % 2) for i in range(100)], "x double, k int")
+    fit = M.fit_negative_binomial(df, "k", M.numeric_term("x"))
+    assert fit.converged and fit.theta == pytest.approx(M.POISSON_THETA) and math.exp(fit.coef[0]) == pytest.approx(1, rel=1e-6)
+
+
+def test_a_fit_that_does_not_settle_is_an_error(spark, frame):
+    for dispersion in ("likelihood", "moment"):
+        with pytest.raises(M.NotConverged):
+            M.fit_negative_binomial(frame, "k", M.numeric_term("x"), max_iter=1, dispersion=dispersion)
+        fit = M.fit_negative_binomial(frame, "k", M.numeric_term("x"), max_iter=1, dispersion=dispersion, on_failure="return")
+        assert not fit.converged and fit.iterations == 1
+
+
+def test_models_are_compared_on_the_same_rows(spark):
+    """Rows that lack a term of any model, or fix a coefficient of any model alone, are in no sum."""
+    rng = np.random.default_rng(2)
+    rows = [(float(x), None if i % 10 == 0 else float(z), "a" if i else "lone", float(1e9 + 3 * x + z)) for i, (x, z) in enumerate(rng.normal(size=(60, 2)))]
+    rows.append((0.5, 0.25, "lone", 1e9 + 7.0))
+    df = spark.createDataFrame(rows, "x double, z double, g string, y double")
+    models = {"x": M.numeric_term("x"), "xz": {**M.numeric_term("x"), **M.numeric_term("z")},
+              "group": {**M.numeric_term("x"), **M.factor_terms("g", ["a", "lone"])}}
+    used = [r for r in rows if r[1] is not None]
+    own = [r for r in used if r[2] != "lone"]
+    want = {}
+    for name, cols in (("x", lambda r: [1, r[0]]), ("xz", lambda r: [1, r[0], r[1]]), ("group", lambda r: [1, r[0], float(r[2] == "lone")])):
+        X, y = np.array([cols(r) for r in used]), np.array([r[3] - 1e9 for r in used])
+        total = 0.0
+        for i, r in enumerate(used):
+            if r in own:
+                keep = np.arange(len(used)) != i
+                total += (y[i] - X[i] @ np.linalg.lstsq(X[keep], y[keep], rcond=None)[0]) ** 2
+        want[name] = total
+    got = {r["model"]: r for r in M.compare_loo(df, "y", models).collect()}
+    for name, total in want.items():
+        assert got[name]["press"] == pytest.approx(total, rel=1e-5) and got[name]["n"] == len(own)
+    assert {m: r["leverage_one"] for m, r in got.items()} == {"x": 0, "xz": 0, "group": 1}
+
+
+def test_one_matrix_solves_every_model(frame):
+    models = {"x": M.numeric_term("x"), "full": terms(frame)}
+    fits = M.fit_models(frame, "y", models)
+    for name, t in models.items():
+        alone = M.fit_linear(frame.filter("x is not null"), "y", t)
+        assert list(fits[name].beta) == pytest.approx(list(alone.beta)) and fits[name].rss == pytest.approx(alone.rss)
+
+
 def test_dependent_terms_do_not_break_the_count_model(spark, frame, data):
     k = data[4]
     twice = {"a": F.when(F.col("x").isNotNull(), 1.0), "x": F.col("x"), "again": F.col("x")}

@@ -6,10 +6,28 @@ local authority = nation, country = first letter of the code (from the region).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def registry() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str], Callable]:
+    """Queries and their SQL by name, and the decorator that enters them."""
+    queries: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+    texts: dict[str, str] = {}
+
+    def query(sql: str | None = None):
+        def add(fn):
+            queries[fn.__name__] = fn
+            if sql is not None:
+                texts[fn.__name__] = sql
+            return fn
+        return add
+
+    return queries, texts, query
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 

@@ -6,18 +6,9 @@ from pyspark.sql import functions as F
 
 from arearisk.operators import models as M
 from arearisk.operators.joins import grid
-from workload.base import big, rnd, sql_rnd, table
+from workload.base import big, registry, rnd, sql_rnd, table
 
-QUERIES, SQL = {}, {}
-
-
-def query(sql: str | None = None):
-    def add(fn):
-        QUERIES[fn.__name__] = fn
-        if sql is not None:
-            SQL[fn.__name__] = sql
-        return fn
-    return add
+QUERIES, SQL, query = registry()
 
 
 FLAGS = ["A", "N", "R"]
@@ -178,16 +169,55 @@ SELECT '(Intercept)' AS term, {sql_rnd('ln(r.m)', 5)} AS estimate, {sql_rnd('sqr
 UNION ALL SELECT 'c_mktsegment[' || w.seg || ']', {sql_rnd('ln(w.m / r.m)', 5)}, {sql_rnd('sqrt(1 / r.w + 1 / w.w)', 5)}, {sql_rnd('w.m / r.m', 5)} FROM w, r WHERE w.seg <> r.seg""")
 def negative_binomial_model(spark, sf):
     df = _counts(spark, sf)
-    fit = M.fit_negative_binomial(df, "k", _count_terms(df))
+    fit = M.fit_negative_binomial(df, "k", _count_terms(df), dispersion="moment")
     return fit.coefficients(spark).select("term", *[rnd(c, 5).alias(c) for c in ("estimate", "std_error", "rate_ratio")])
 
 
+def _bisected(rounds: int) -> str:
+    """Dispersion where the score is 0, by bisection on its logarithm; each round follows from the one before.
+
+    The score needs the rows above each count, from the histogram, and the group means.
+    """
+    out = ["b0 AS (SELECT CAST(-8 AS DOUBLE) AS lo, CAST(16 AS DOUBLE) AS hi)"]
+    for i in range(rounds):
+        out.append(f"""m{i} AS (SELECT lo, hi, (lo + hi) / 2 AS mid FROM b{i}),
+s{i} AS (SELECT lo, hi, mid, (SELECT sum(above / (exp(mid) + j)) FROM h, m{i}) + (SELECT sum(n * (ln(exp(mid) / (exp(mid) + m)) + 1) - (n * exp(mid) + t) / (exp(mid) + m)) FROM g, m{i}) AS s FROM m{i}),
+b{i + 1} AS MATERIALIZED (SELECT CASE WHEN s > 0 THEN mid ELSE lo END AS lo, CASE WHEN s > 0 THEN hi ELSE mid END AS hi FROM s{i})""")
+    return ", ".join(out) + f", th AS (SELECT exp((lo + hi) / 2) AS theta FROM b{rounds})"
+
+
+_LINE_COUNT_SQL = _COUNT_SQL.replace(
+    "SELECT o_custkey, count(*) AS n FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1",
+    "SELECT o_custkey, count(*) AS n FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1")
+
+
+def _line_counts(spark, sf):
+    """Order lines per customer with the customer's segment; lines come in orders, so their counts are overdispersed."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey").join(
+        table(spark, sf, "lineitem").select("l_orderkey"), F.col("o_orderkey") == F.col("l_orderkey"))
+    per = o.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("k"))
+    c = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    return c.join(per, F.col("c_custkey") == F.col("o_custkey"), "left").select("c_mktsegment", F.coalesce("k", F.lit(0)).alias("k"))
+
+
+@query(f"""WITH {_LINE_COUNT_SQL}, top AS (SELECT max(k) AS t FROM k),
+h AS (SELECT j, (SELECT count(*) FROM k WHERE k.k > j) AS above FROM (SELECT unnest(range(0, t)) AS j FROM top)), {_bisected(44)},
+w AS (SELECT seg, m, n * m / (1 + m / theta) AS w, theta FROM g, th), r AS (SELECT * FROM w WHERE seg = 'AUTOMOBILE')
+SELECT '(Intercept)' AS term, {sql_rnd('ln(r.m)', 5)} AS estimate, {sql_rnd('sqrt(1 / r.w)', 5)} AS std_error, {sql_rnd('theta', 4)} AS theta FROM r
+UNION ALL SELECT 'c_mktsegment[' || w.seg || ']', {sql_rnd('ln(w.m / r.m)', 5)}, {sql_rnd('sqrt(1 / r.w + 1 / w.w)', 5)}, {sql_rnd('w.theta', 4)} FROM w, r WHERE w.seg <> r.seg""")
+def negative_binomial_profile(spark, sf):
+    """Dispersion by profile likelihood."""
+    df = _line_counts(spark, sf)
+    fit = M.fit_negative_binomial(df, "k", _count_terms(df))
+    return fit.coefficients(spark).select("term", *[rnd(c, 5).alias(c) for c in ("estimate", "std_error")], rnd(F.lit(fit.theta), 4).alias("theta"))
+
+
 @query(f"""WITH {_COUNT_SQL}, th AS (SELECT greatest(sum((k - m) * (k - m) - m) / sum(m * m), 1e-8) AS it FROM k JOIN g USING (seg))
 SELECT {sql_rnd('avg(CASE WHEN k = 0 THEN 1.0 ELSE 0.0 END)', 5)} AS observed, {sql_rnd('avg(pow((1 / it) / (1 / it + m), 1 / it))', 5)} AS expected FROM k JOIN g USING (seg), th""")
 def zero_share_check(spark, sf):
     df = _counts(spark, sf)
     terms = _count_terms(df)
-    out = M.zero_share(df, "k", terms, M.fit_negative_binomial(df, "k", terms))
+    out = M.zero_share(df, "k", terms, M.fit_negative_binomial(df, "k", terms, dispersion="moment"))
     return out.select(rnd("observed", 5).alias("observed"), rnd("expected", 5).alias("expected"))
 
 
@@ -197,5 +227,5 @@ SELECT seg AS c_mktsegment, {sql_rnd('m', 5)} AS predicted, {sql_rnd(f'm * exp(-
 def count_prediction(spark, sf):
     df = _counts(spark, sf)
     terms = _count_terms(df)
-    out = M.count_band(M.fit_negative_binomial(df, "k", terms), df.select("c_mktsegment").distinct(), terms)
+    out = M.count_band(M.fit_negative_binomial(df, "k", terms, dispersion="moment"), df.select("c_mktsegment").distinct(), terms)
     return out.select("c_mktsegment", *[rnd(c, 5).alias(c) for c in ("predicted", "lower", "upper")])
