@@ -212,6 +212,12 @@ def classify(df: DataFrame, value: str, out: str | None = None, k: int = 5, by:
     return wide.drop("__classes", "__uppers", "__labels")
 
 
+def class_intervals(df: DataFrame, out: str, by: Sequence[str] = ()) -> DataFrame:
+    """Sorted list of the classes that occur with their interval texts, per group; for tables from `classify`."""
+    cols = [*by, f"{out}_q", f"{out}_q_name"]
+    return df.filter(F.col(f"{out}_q").isNotNull()).select(*cols).distinct().orderBy(*cols)
+
+
 def pivot_limits(limits: DataFrame, indicator: str, names: Sequence[str], by: Sequence[str]) -> DataFrame:
     """One row per group with `<name>__n` and `<name>__u` for every indicator, ready to be joined once."""
     aggs = []

@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arearisk.operators.joins import attach
-
 
 def extremes(df: DataFrame, country: str, domains: dict[str, str], indicators: dict[str, tuple[str, str]]) -> DataFrame:
     """Worst value per (country, domain, domain class, indicator).
@@ -46,12 +44,15 @@ def gap(long: DataFrame, domain: str, first: int, last: int) -> DataFrame:
 
 
 def summary(long: DataFrame, ends: Sequence[tuple[str, int, int]]) -> DataFrame:
-    """Ranges with the gap of each domain, given as (domain, first class, last class)."""
-    gaps = None
-    for domain, first, last in ends:
-        one = gap(long, domain, first, last)
-        gaps = one if gaps is None else gaps.unionByName(one)
-    return attach(ranges(long), gaps, ["country", "domain", "indicator"], null_safe=True)
+    """Ranges with the gap of each domain, given as (domain, first class, last class), in one aggregation."""
+    def mean_of(place: int):
+        wanted = F.coalesce(*[F.when(F.col("domain") == e[0], F.lit(e[place])) for e in ends])
+        return F.avg(F.when(F.col("domain_value") == wanted, F.col("indicator_value")))
+
+    return long.groupBy("country", "domain", "indicator").agg(
+        F.max("indicator_value").alias("max"), F.min("indicator_value").alias("min"),
+        F.abs(mean_of(1) - mean_of(2)).alias("mean_diff"),
+    ).select("country", "domain", "indicator", "max", "min", F.abs(F.col("max") - F.col("min")).alias("diff"), "mean_diff")
 
 
 def indicator_list(long: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ from arearisk.operators.hierarchy import event_rate, roll_up_rate
 from arearisk.operators.joins import attach, compose, distinct_pairs, latest, star, union_filled
 from arearisk.operators.reshape import crosstab, fill_down, pivot_sum, share, sum_all
 from arearisk.operators.spatial import points_in_polygons
+from arearisk.scratch import materialize
 
 # What counts as a dwelling fire in the incident data.
 DWELLING_FIRES = [
@@ -74,8 +75,9 @@ def fires_england(incidents: DataFrame, population: DataFrame, lookup: DataFrame
     """
     kept = incidents.filter((F.col("financial_year") == year) & F.col("incident_type").isin(DWELLING_FIRES))
     coded = kept.select(repair_code("lsoa_description", "lsoa_code").alias("lsoa11cd"))
-    small = event_rate(coded, population.filter(F.col("lsoa11cd").isNotNull()), "lsoa11cd",
-                       "n_fires", "n_people", "dens_fires", denominator)
+    # Stored, so that the incidents are read once for both levels.
+    small = materialize(event_rate(coded, population.filter(F.col("lsoa11cd").isNotNull()), "lsoa11cd",
+                                   "n_fires", "n_people", "dens_fires", denominator), "fires-england")
     return small, roll_up_rate(small, lookup, "lsoa11cd", "msoa11cd", "n_fires", "n_people", "dens_fires")
 
 
@@ -114,8 +116,9 @@ def fires_scotland(incidents: DataFrame, dwellings: DataFrame, lookup: DataFrame
         .agg(F.count(F.lit(1)).alias("n_fires"), strict_sum("accidental").alias("n_accidental"),
              strict_sum("fatalities").alias("n_fatalities"), strict_sum("casualties").alias("n_casualties"))
     )
-    small = attach(small, dwellings.dropna("any").select("dz", "n_dwellings"), "dz").withColumn(
-        "dens_fires", ratio("n_fires", "n_dwellings"))
+    small = attach(small, dwellings.dropna("any").select("dz", "n_dwellings"), "dz")
+    # Stored, so that the incidents are read once for all three levels.
+    small = materialize(small.withColumn("dens_fires", ratio("n_fires", "n_dwellings")), "fires-scotland")
     up = [roll_up_rate(small, lookup, "dz", p, "n_fires", "n_dwellings", "dens_fires") for p in ("iz", "council")]
     return small, up[0], up[1]
 
@@ -140,7 +143,8 @@ def people_in_flood_zones(centroids: DataFrame, zones_england: DataFrame, zones_
     )
     inside = points_in_polygons(centroids, "oa11cd", "x", "y", zones, "zone", "rings")
     # Once per layer, as each nation's layer is matched on its own and gives a point one polygon at most.
-    flooded = inside.select("oa11cd", F.substring("zone", 1, 1).alias("part")).distinct()
+    # Stored, so that points meet polygons once for both levels.
+    flooded = materialize(inside.select("oa11cd", F.substring("zone", 1, 1).alias("part")).distinct(), "flooded")
     gb = attach(flooded.select("oa11cd"), population.select("oa11cd", "lsoa11cd", "n"), "oa11cd")
     ni = attach(small_areas_ni.select("sa2011", "soa2011"), latest(population_ni, "year").select("sa2011", "n"), "sa2011")
     people = gb.unionByName(ni.select(F.col("sa2011").alias("oa11cd"), F.col("soa2011").alias("lsoa11cd"), "n"))
@@ -211,13 +215,6 @@ def living_alone(england_wales: DataFrame, scotland: DataFrame, northern_ireland
     return union_filled(*parts)
 
 
-def uk_lookup(great_britain: DataFrame, scotland: DataFrame, northern_ireland: DataFrame, child: str,
-              parent: str) -> DataFrame:
-    """National child-parent lookups stacked; each is made distinct on its own."""
-    return union_filled(*[distinct_pairs(d, child, parent) for d in (great_britain, scotland, northern_ireland)
-                          if parent in d.columns])
-
-
 def deprivation_summary(deciles: DataFrame, lookup: DataFrame, child: str, parent: str, classes: int = 10,
                         promote_ni: bool = False, complete_only: bool = False,
                         countries: Sequence[str] | None = None, **kw) -> DataFrame:
@@ -287,5 +284,5 @@ def indicator_table(parts: Sequence[DataFrame], code: str, indicators: Sequence[
 
 
 def service_lookup(lsoa_to_lad: DataFrame, lad_to_service: DataFrame) -> DataFrame:
-    """Small area to fire service area."""
+    """Small area (lsoa11cd) to fire service area (fra17cd) through local authorities (lad17cd)."""
     return compose(lsoa_to_lad, lad_to_service, "lsoa11cd", "lad17cd", "fra17cd")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arearisk.config import Catalogue
+from arearisk.operators.classify import class_intervals
 from arearisk.operators.joins import successors, union_filled, without_successor
 from arearisk.operators.spatial import polygon_flags
 from arearisk.plans import analysis as A
@@ -224,17 +225,23 @@ def analyse(spark: SparkSession, cat: Catalogue, outcomes: list[str] | None = No
         s.sheet("rural-urban/scotland.csv", {"DZ_CODE": ("lsoa11cd", TEXT), "UR2FOLD": ("ur2fold", LONG)}),
         s.sheet("rural-urban/northern_ireland.csv", {"SOA Code": ("lsoa11cd", TEXT), "Urban": ("urban", TEXT),
                                                      "mixed urban/rural": ("mixed", TEXT), "Rural": ("rural", TEXT)}))
-    tables = {}
+    tables, settlements = {}, {}
     for level, code, indicators in (
         ("lad", "lad_code", [c for c, _ in A.INDICATORS.values()]),
         ("small", "area_code", ["n_fires", "n_people_flood", "loneills_2018", "prop_alone"]),
     ):
         pairs = look.select("lsoa11cd", code).distinct()
         dep = D.deprivation_summary(deciles, pairs, "lsoa11cd", code, label=False, complete_only=level == "small")
-        setl = D.settlement_summary(ruc, pairs, "lsoa11cd", code, label=False)
+        setl = D.settlement_summary(ruc, pairs, "lsoa11cd", code)
+        settlements[level] = class_intervals(setl, "settlement", ["country"])
         risks = spark.read.parquet(cat.output(f"risks_{level}")).drop("country")
         tables[level] = D.indicator_table([risks], code, indicators, dep, setl)
     out = A.nation_analysis(tables["lad"], tables["small"], outcomes)
+    out["settlement_classes"] = settlements["lad"]
+    # Fire indicators of service areas exist for Wales only.
+    services = D.service_lookup(look.select("lsoa11cd", F.col("lad_code").alias("lad17cd")),
+                                s.lookup("lad_service", lad17cd="LAD17CD", fra17cd="FRA17CD"))
+    out["deprivation_services"] = D.deprivation_summary(deciles, services, "lsoa11cd", "fra17cd", countries=["Wales"])
     for name, df in out.items():
         W.write_csv(df, cat.output("analysis", name))
     return sorted(out)

@@ -122,5 +122,11 @@ def test_staged_files_to_analysis(spark, cat):
 
     done = jobs.analyse(spark, cat, outcomes=["life"])
     assert {"inequality_summary", "life_comparison", "life_deprivation_band"} <= set(done)
+    services = spark.read.option("header", True).csv(cat.output("analysis", "deprivation_services"))
+    assert sorted((r["fra17cd"], int(r["top"]) + int(r["other"]), r["country"]) for r in services.collect()) == [
+        ("W250", 3 * N_AREAS // 2, "Wales"), ("W251", 3 * N_AREAS // 2, "Wales")]
+    classes = spark.read.option("header", True).csv(cat.output("analysis", "settlement_classes"))
+    assert {r["country"] for r in classes.collect()} == {"England", "Wales", "Scotland", "Northern Ireland"}
+    assert classes.filter("settlement_q_name rlike '^[(\\\\[].*, .*\\\\]$'").count() == classes.count()
     band = spark.read.option("header", True).csv(cat.output("analysis", "life_deprivation_band"))
     assert band.count() == 4 * 101

@@ -12,18 +12,9 @@ from arearisk.operators import joins as J
 from arearisk.operators import reshape as R
 from arearisk.operators.quantiles import exact_quantiles
 from arearisk.sources.readers import rename_from_descriptions
-from workload.base import LADDER_SQL, LADS_SQL, big, country_sql, ladder, lads, rnd, sql_rnd, strict_sql, table
+from workload.base import LADDER_SQL, LADS_SQL, big, country_sql, ladder, lads, registry, rnd, sql_rnd, strict_sql, table
 
-QUERIES, SQL = {}, {}
-
-
-def query(sql: str | None = None):
-    def add(fn):
-        QUERIES[fn.__name__] = fn
-        if sql is not None:
-            SQL[fn.__name__] = sql
-        return fn
-    return add
+QUERIES, SQL, query = registry()
 
 
 # ---- rates and roll-ups ----------------------------------------------------
@@ -280,14 +271,16 @@ def distinct_sorted(spark, sf):
 # ---- joins -----------------------------------------------------------------
 
 _OLD_SQL = "old_codes AS (SELECT s_suppkey, 'Z' || lpad(CAST(s_suppkey AS VARCHAR), 6, '0') AS old_cd, s_name AS old_nm FROM supplier)"
-_NEW_SQL = """new_codes AS (SELECT 'Y' || lpad(CAST(s_suppkey AS VARCHAR), 6, '0') AS new_cd, s_name AS new_nm FROM supplier WHERE s_suppkey % 7 <> 3)"""
+_NEW_SQL = """new_codes AS (SELECT 'Y' || lpad(CAST(s_suppkey AS VARCHAR), 6, '0') AS new_cd, CASE WHEN s_suppkey % 7 = 3 THEN s_name || ' (new)' ELSE s_name END AS new_nm FROM supplier)"""
 
 
 def _code_lists(spark, sf):
     s = table(spark, sf, "supplier")
     key = F.lpad(F.col("s_suppkey").cast("string"), 6, "0")
     old = s.select("s_suppkey", F.concat(F.lit("Z"), key).alias("old_cd"), F.col("s_name").alias("old_nm"))
-    new = s.filter(F.col("s_suppkey") % 7 != 3).select(F.concat(F.lit("Y"), key).alias("new_cd"), F.col("s_name").alias("new_nm"))
+    # Some new codes have another name, so the old ones of that name have no successor.
+    named = F.when(F.col("s_suppkey") % 7 == 3, F.concat("s_name", F.lit(" (new)"))).otherwise(F.col("s_name"))
+    new = s.select(F.concat(F.lit("Y"), key).alias("new_cd"), named.alias("new_nm"))
     gone = J.without_successor(old, new, "old_nm", "new_nm")
     # Merged areas: every code without a namesake goes to a neighbour that is already the successor of another.
     merged = gone.select("old_cd", F.concat(F.lit("Y"), F.lpad((F.col("s_suppkey") - F.col("s_suppkey") % 7).cast("string"), 6, "0")).alias("new_cd"))
@@ -325,15 +318,16 @@ def code_audit(spark, sf):
 
 
 @query(f"""WITH {LADS_SQL},
-a AS (SELECT s_nationkey, count(*) AS n_sup FROM supplier WHERE s_acctbal > 6000 GROUP BY 1),
-b AS (SELECT c_nationkey, max(c_acctbal) AS top FROM customer WHERE c_nationkey % 3 <> 0 GROUP BY 1),
+a AS (SELECT CASE WHEN s_acctbal > 6000 THEN s_nationkey END AS s_nationkey, count(*) AS n_sup FROM supplier GROUP BY 1),
+b AS (SELECT CASE WHEN c_nationkey % 3 <> 0 THEN c_nationkey END AS c_nationkey, max(c_acctbal) AS top FROM customer GROUP BY 1),
 c AS (SELECT c_nationkey, min(c_acctbal) AS low FROM customer GROUP BY 1)
 SELECT lad_code, lad_name, n_sup, {sql_rnd('top')} AS top, {sql_rnd('low')} AS low
 FROM lads LEFT JOIN a ON n_nationkey = s_nationkey LEFT JOIN b ON n_nationkey = b.c_nationkey LEFT JOIN c ON n_nationkey = c.c_nationkey""")
 def star_left_join(spark, sf):
     s, c = table(spark, sf, "supplier"), table(spark, sf, "customer")
-    a = s.filter("s_acctbal > 6000").groupBy("s_nationkey").agg(F.count(F.lit(1)).alias("n_sup"))
-    b = c.filter("c_nationkey % 3 <> 0").groupBy("c_nationkey").agg(rnd(F.max("c_acctbal")).alias("top"))
+    # Rows without a key have no partner.
+    a = s.groupBy(F.when(F.col("s_acctbal") > 6000, F.col("s_nationkey")).alias("s_nationkey")).agg(F.count(F.lit(1)).alias("n_sup"))
+    b = c.groupBy(F.when(F.col("c_nationkey") % 3 != 0, F.col("c_nationkey")).alias("c_nationkey")).agg(rnd(F.max("c_acctbal")).alias("top"))
     d = c.groupBy("c_nationkey").agg(rnd(F.min("c_acctbal")).alias("low"))
     return J.star(lads(spark, sf), (a, {"n_nationkey": "s_nationkey"}), (b, {"n_nationkey": "c_nationkey"}),
                   (d, {"n_nationkey": "c_nationkey"})).select("lad_code", "lad_name", "n_sup", "top", "low")
@@ -354,8 +348,8 @@ def missing_keys_join(spark, sf):
 SELECT DISTINCT lsoa, CASE WHEN n_nationkey % 6 = 5 THEN NULL ELSE 'F' || CAST(n_nationkey % 6 AS VARCHAR) END AS fra FROM ladder""")
 def composed_lookup(spark, sf):
     lower = ladder(spark, sf).select("lsoa", "lad_code")
-    upper = lads(spark, sf).filter(F.col("n_nationkey") % 6 != 5).select(
-        "lad_code", F.concat(F.lit("F"), (F.col("n_nationkey") % 6).cast("string")).alias("fra"))
+    upper = lads(spark, sf).select(
+        "lad_code", F.when(F.col("n_nationkey") % 6 != 5, F.concat(F.lit("F"), (F.col("n_nationkey") % 6).cast("string"))).alias("fra"))
     return J.compose(lower, upper, "lsoa", "lad_code", "fra")
 
 

@@ -6,26 +6,39 @@ from pyspark.sql import functions as F
 
 from arearisk.functions import scalars as S
 from arearisk.operators import combine as K
-from arearisk.operators.classify import classify, natural_breaks
+from arearisk.operators.classify import class_intervals, classify, natural_breaks
 from arearisk.operators.hierarchy import roll_up_rate
 from arearisk.operators.reshape import crosstab, share
 from arearisk.plans import nations as NP
 from arearisk.scratch import materialize
 from workload.areas import AREA_EVENTS_SQL, area_events
 from workload.base import (
-    LADDER_SQL, LADS_SQL, big, breaks_sql, class_sql, country_sql, ladder, lads, rnd, sql_rnd, strict_sql, table,
+    LADDER_SQL, LADS_SQL, big, breaks_sql, class_sql, country_sql, ladder, lads, registry, rnd, sql_rnd, strict_sql, table,
 )
 
-QUERIES, SQL = {}, {}
+QUERIES, SQL, query = registry()
 
 
-def query(sql: str | None = None):
-    def add(fn):
-        QUERIES[fn.__name__] = fn
-        if sql is not None:
-            SQL[fn.__name__] = sql
-        return fn
-    return add
+# Fixed values, written down here once more so that the SQL does not follow the plan that it checks.
+_ROLLED = ("fires", "floods", "lonely", "health", "alone", "imd")
+_LABELS = {
+    "fires": "Fires", "floods": "Flooding", "displacement": "Displacement", "migrant_dest": "Migrant destitution", "lonely": "Loneliness",
+    "health": "Health deprivation", "hle_birth": "Healthy life expectancy", "digital": "Digital exclusion", "alone": "Living alone",
+    "imd": "IMD", "destitution": "All destitution"}
+_LAD_ORDER = {
+    "England": ("fires", "floods", "displacement", "migrant_dest", "lonely", "health", "hle_birth", "digital", "alone", "imd", "destitution"),
+    "Wales": ("floods", "displacement", "migrant_dest", "lonely", "health", "hle_birth", "digital", "alone", "imd", "destitution"),
+    "Scotland": ("fires", "displacement", "migrant_dest", "lonely", "health", "hle_birth", "digital", "alone", "imd", "destitution"),
+    "Northern Ireland": ("floods", "displacement", "health", "lonely", "hle_birth", "digital", "alone", "imd")}
+_SERVICE_ORDER = ("fires", "floods", "displacement", "migrant_dest", "lonely", "health", "hle_birth", "digital", "alone", "imd", "destitution")
+_TITLES = {
+    "fires": "Fire risk", "floods": "Flooding risk", "displacement": "Displacement risk", "migrant_dest": "Migrant destitution risk",
+    "lonely": "Loneliness risk", "health": "Health deprivation risk", "hle_birth": "Healthy life expectancy risk",
+    "digital": "Digital exclusion risk", "alone": "Living alone risk", "imd": "Multiple deprivation risk", "destitution": "All destitution risk"}
+
+
+def _lad_class(indicator: str) -> str:
+    return f"worst_{indicator}_q" if indicator in _ROLLED else f"{indicator}_q"
 
 
 def _per_class(df, value, by=()):
@@ -64,6 +77,17 @@ def natural_breaks_balances(spark, sf):
     return _per_class(classify(c, "c_acctbal", k=5, by=["c_nationkey"], label_pattern="%.2f"), "c_acctbal", ["c_nationkey"])
 
 
+@query(f"""WITH src AS (SELECT o_orderstatus AS grp, round(CAST(o_totalprice AS DOUBLE) / 2500) AS x FROM orders),
+{breaks_sql('src', 5)}
+SELECT grp AS o_orderstatus, t, kk AS n_classes, lo, hi FROM nb""")
+def natural_breaks_refined(spark, sf):
+    """Few bins and few values at a time, so that nearly all breaks come from the refining rounds."""
+    o = table(spark, sf, "orders").select("o_orderstatus", F.round(F.col("o_totalprice").cast("double") / 2500).alias("x"))
+    out = natural_breaks(o, "x", 5, ["o_orderstatus"], bins=64, exact_rows=100)
+    each = out.select("o_orderstatus", "n_classes", F.posexplode(F.arrays_zip("lowers", "uppers")).alias("at", "c"))
+    return each.select("o_orderstatus", (F.col("at") + 1).alias("t"), big("n_classes").alias("n_classes"), F.col("c.lowers").alias("lo"), F.col("c.uppers").alias("hi"))
+
+
 @query()
 def natural_breaks_prices(spark, sf):
     """Nearly every value distinct: the refining rounds run on any table above 50,000 rows per group."""
@@ -246,12 +270,12 @@ def nation_small_areas(spark, sf):
 
 
 def _lad_label(country: str, order: tuple[str, ...]) -> str:
-    texts = ", ".join(f"CASE WHEN {('worst_' if i in NP.ROLLED else '') + i}_q = 1 THEN '{NP.LABELS[i]}' END" for i in order)
+    texts = ", ".join(f"CASE WHEN {_lad_class(i)} = 1 THEN '{_LABELS[i]}' END" for i in order)
     return f"WHEN '{country}' THEN nullif(concat_ws(', ', {texts}), '')"
 
 
 _LAD_SQL = f"""fan AS (SELECT s.*, l.lad_code, l.lad_name FROM small_q s JOIN ladder l USING (area_code)),
-rolled AS (SELECT country, lad_code, min(lad_name) AS lad_name, {', '.join(f"{strict_sql('min', f'{i}_q')} AS worst_{i}_q" for i in NP.ROLLED)},
+rolled AS (SELECT country, lad_code, min(lad_name) AS lad_name, {', '.join(f"{strict_sql('min', f'{i}_q')} AS worst_{i}_q" for i in _ROLLED)},
   max(dens) AS worst_fires, max(n_people_flood) AS worst_floods, max(loneills) AS worst_lonely, min(worst_health) AS worst_health,
   (sum(n_one) + sum(n_lone)) * 1.0 / sum(n_people_total) AS worst_alone, min(worst_imd) AS worst_imd,
   quantile_cont(dens, 0.5) AS median_fires, quantile_cont(n_people_flood, 0.5) AS median_floods, quantile_cont(loneills, 0.5) AS median_lonely,
@@ -266,10 +290,10 @@ lad_q AS (SELECT *,
   CASE WHEN country = 'Northern Ireland' THEN CASE WHEN sec95 > 0 THEN 1 ELSE 5 END WHEN sec95 IS NOT NULL THEN {class_sql('nb', "'sec95' || country", 'sec95')} END AS displacement_q,
   CASE WHEN hle IS NOT NULL THEN {class_sql('nb', "'hle' || country", 'hle')} END AS hle_birth_q,
   CASE WHEN digital IS NOT NULL THEN {class_sql('nb', "'digital' || country", 'digital')} END AS digital_q FROM lad_j),
-lad_l AS (SELECT *, CASE country {' '.join(_lad_label(s.country, s.lad) for s in NP.NATIONS)} END AS combined_risk FROM lad_q)"""
+lad_l AS (SELECT *, CASE country {' '.join(_lad_label(c, order) for c, order in _LAD_ORDER.items())} END AS combined_risk FROM lad_q)"""
 
-_LAD_CLASSES = [f"worst_{i}_q" for i in NP.ROLLED] + ["displacement_q", "migrant_dest_q", "hle_birth_q", "digital_q", "destitution_q"]
-_LAD_VALUES = [f"worst_{i}" for i in NP.ROLLED] + [f"median_{i}" for i in NP.ROLLED]
+_LAD_CLASSES = [f"worst_{i}_q" for i in _ROLLED] + ["displacement_q", "migrant_dest_q", "hle_birth_q", "digital_q", "destitution_q"]
+_LAD_VALUES = [f"worst_{i}" for i in _ROLLED] + [f"median_{i}" for i in _ROLLED]
 
 
 @query(f"""WITH {_INPUT_SQL}, {_LAD_SQL}
@@ -281,18 +305,18 @@ def nation_local_authorities(spark, sf):
                       *[big(c).alias(c) for c in _LAD_CLASSES], *[rnd(c, 5).alias(c) for c in _LAD_VALUES])
 
 
-_SERVICE_OWN = [i for i in NP.NATIONS[1].service if i != "fires"]
+_SERVICE_OWN = [i for i in _SERVICE_ORDER if i != "fires"]
 
 
 @query(f"""WITH {_INPUT_SQL}, {_LAD_SQL},
 svc AS (SELECT 'W5' || CAST(n_nationkey % 2 AS VARCHAR) AS service_code, 'Service ' || CAST(n_nationkey % 2 AS VARCHAR) AS service_name,
-  {', '.join(f"{strict_sql('min', NP._lad_class(i))} AS worst_{i}_q" for i in _SERVICE_OWN)}
+  {', '.join(f"{strict_sql('min', _lad_class(i))} AS worst_{i}_q" for i in _SERVICE_OWN)}
   FROM lad_l WHERE country = 'Wales' GROUP BY 1, 2),
 svc_f AS (SELECT 'W5' || CAST(n_nationkey % 2 AS VARCHAR) AS service_code, sum(f.n_fires) * 1.0 / sum(p.n_people) AS dens
   FROM fires f JOIN ladder USING (c_custkey) JOIN people p USING (c_custkey) WHERE n_regionkey = 1 GROUP BY 1),
 svc_q AS (SELECT svc.*, {class_sql('nb', "'service'", 'svc_f.dens')} AS fires_q FROM svc LEFT JOIN svc_f USING (service_code))
 SELECT service_code, service_name, {', '.join(_clean(f'worst_{i}_q') for i in _SERVICE_OWN)}, CAST(fires_q AS BIGINT) AS fires_q,
-  nullif(concat_ws(', ', {', '.join(f"CASE WHEN {'fires_q' if i == 'fires' else f'worst_{i}_q'} = 1 THEN '{NP.LABELS[i]}' END" for i in NP.NATIONS[1].service)}), '') AS combined_risk
+  nullif(concat_ws(', ', {', '.join(f"CASE WHEN {'fires_q' if i == 'fires' else f'worst_{i}_q'} = 1 THEN '{_LABELS[i]}' END" for i in _SERVICE_ORDER)}), '') AS combined_risk
 FROM svc_q""")
 def nation_service_areas(spark, sf):
     out = NP.run_nations(nation_inputs(spark, sf))["service"]
@@ -301,9 +325,8 @@ def nation_service_areas(spark, sf):
 
 
 def _report_sql() -> str:
-    spec = NP.NATIONS[0]
-    cols = [NP._lad_class(i) for i in spec.lad]
-    shown = ", ".join(f'q{n} AS "{NP.TITLES[i]}"' for n, i in enumerate(spec.lad))
+    cols = [_lad_class(i) for i in _LAD_ORDER["England"]]
+    shown = ", ".join(f'q{n} AS "{_TITLES[i]}"' for n, i in enumerate(_LAD_ORDER["England"]))
     clean = ", ".join(f"CAST(CASE WHEN {c} = 99 THEN 0 ELSE {c} END AS BIGINT) AS q{n}" for n, c in enumerate(cols))
     score = " * ".join(f"coalesce(CAST(q{n} AS DOUBLE), 1)" for n in range(len(cols)))
     ones = " + ".join(f"CASE WHEN q{n} = 1 THEN 1 ELSE 0 END" for n in range(len(cols)))
@@ -315,7 +338,7 @@ SELECT lad_code AS "Local Authority code", lad_name AS "Local Authority", {shown
 @query(_report_sql())
 def nation_report(spark, sf):
     out = NP.nation_report(NP.run_nations(nation_inputs(spark, sf))["lad"], NP.NATIONS[0])
-    return out.withColumns({c: F.col(f"`{c}`").cast("long") for c in [*NP.TITLES.values(), "No. 1s"]})
+    return out.withColumns({c: F.col(f"`{c}`").cast("long") for c in [*_TITLES.values(), "No. 1s"]})
 
 
 # ---- deprivation and settlement summaries ----------------------------------
@@ -376,3 +399,37 @@ def settlement_summary(spark, sf):
     out = build(settlements(spark, sf), lookup, "lsoa11cd", "lad_code", label=False)
     return out.select("lad_code", "country", *[big(c).alias(c) for c in ("urban", "mixed", "rural")],
                       rnd("prop_urban").alias("prop_urban"), big("settlement_q").alias("settlement_q"))
+
+
+@query(f"""WITH {_SET_SQL}
+SELECT grp AS country, CAST(kk - t + 1 AS BIGINT) AS settlement_q, CASE WHEN t = 1 THEN '[' || printf('%.3f', lo) ELSE '(' || printf('%.3f', lag(hi) OVER (PARTITION BY grp ORDER BY t)) END
+       || ', ' || printf('%.3f', hi) || ']' AS settlement_q_name FROM rb""")
+def settlement_classes(spark, sf):
+    """The list of class intervals per country."""
+    from arearisk.plans.datasets import settlement_summary as build
+
+    lookup = ladder(spark, sf).select(F.col("lsoa").alias("lsoa11cd"), "lad_code")
+    out = class_intervals(build(settlements(spark, sf), lookup, "lsoa11cd", "lad_code", label_pattern="%.3f"), "settlement", ["country"])
+    return out.select("country", big("settlement_q").alias("settlement_q"), "settlement_q_name")
+
+
+_SERVICE_DEP_SQL = _DEP_SQL.replace("CASE WHEN lsoa LIKE '9%' THEN lad_code ELSE area_code END AS area_code",
+                                    "CASE WHEN n_nationkey % 7 <> 6 THEN substr(lad_code, 1, 1) || '5' || CAST(n_nationkey % 3 AS VARCHAR) || substr(c_mktsegment, 1, 1) END AS area_code")
+
+
+@query(f"""WITH {_SERVICE_DEP_SQL}
+SELECT area_code AS fra17cd, country, top, other, {sql_rnd('prop')} AS prop_top2deciles, CAST(CASE WHEN prop IS NOT NULL THEN {class_sql('db', 'country', 'prop')} END AS BIGINT) AS deprivation_q
+FROM dep_p WHERE country IN ('Wales', 'Scotland')""")
+def deprivation_services(spark, sf):
+    """Small areas to fire service areas through local authorities; some authorities have no service."""
+    from arearisk.plans.datasets import deprivation_summary as build
+    from arearisk.plans.datasets import service_lookup
+
+    l = ladder(spark, sf)
+    deciles = l.select(F.col("lsoa").alias("lsoa11cd"), F.when(F.col("c_custkey") % 31 != 7, F.floor((F.col("c_acctbal") + 1000) / 1100.1) + 1).alias("imd_decile"))
+    # Neighbourhoods stand for authorities, so that there are enough of them for ten classes.
+    lad_to_service = l.select(F.col("area_code").alias("lad17cd"), F.when(F.col("n_nationkey") % 7 != 6, F.concat(
+        F.substring("lad_code", 1, 1), F.lit("5"), (F.col("n_nationkey") % 3).cast("string"), F.substring("c_mktsegment", 1, 1))).alias("fra17cd"))
+    look = service_lookup(l.select(F.col("lsoa").alias("lsoa11cd"), F.col("area_code").alias("lad17cd")), lad_to_service.distinct())
+    out = build(deciles, look, "lsoa11cd", "fra17cd", label=False, countries=["Wales", "Scotland"])
+    return out.select("fra17cd", "country", "top", "other", rnd("prop_top2deciles").alias("prop_top2deciles"), big("deprivation_q").alias("deprivation_q"))

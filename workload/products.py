@@ -6,31 +6,24 @@ from pyspark.sql import functions as F
 
 from arearisk.functions import scalars as S
 from arearisk.plans import datasets as D
-from workload.base import LADDER_SQL, LADS_SQL, big, country_sql, ladder, lads, rnd, sql_rnd, strict_sql, table
+from workload.base import LADDER_SQL, LADS_SQL, big, country_sql, ladder, lads, registry, rnd, sql_rnd, strict_sql, table
 from workload.classes import _DEP_SQL, _SET_SQL, QUERIES as CLASS_QUERIES
 from workload.spatial import _PIP_SQL, layer, points
 
-QUERIES, SQL = {}, {}
-
-
-def query(sql: str | None = None):
-    def add(fn):
-        QUERIES[fn.__name__] = fn
-        if sql is not None:
-            SQL[fn.__name__] = sql
-        return fn
-    return add
+QUERIES, SQL, query = registry()
 
 
 # ---- destitution, digital exclusion, displacement --------------------------
 
-@query(f"""WITH {LADS_SQL}, d AS (SELECT n_name AS name, count(*) % 10 + 1 AS a, count(*) FILTER (WHERE s_acctbal > 0) % 10 + 1 AS m,
-  count(*) FILTER (WHERE s_acctbal > 5000) % 10 + 1 AS c, sum(s_suppkey) % 10 + 1 AS u FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_nationkey % 6 <> 2 GROUP BY 1)
+@query(f"""WITH {LADS_SQL}, d AS (SELECT CASE WHEN n_nationkey % 6 = 2 THEN n_name || ' (former)' ELSE n_name END AS name, count(*) % 10 + 1 AS a, count(*) FILTER (WHERE s_acctbal > 0) % 10 + 1 AS m,
+  count(*) FILTER (WHERE s_acctbal > 5000) % 10 + 1 AS c, sum(s_suppkey) % 10 + 1 AS u FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY 1)
 SELECT lad_code AS lad17cd, a AS destitution_all, m AS destitution_migrant, c AS destitution_complex, CAST(u AS BIGINT) AS destitution_uk_other
 FROM lads LEFT JOIN d ON lad_name = name WHERE lad_code NOT LIKE 'N%'""")
 def destitution(spark, sf):
-    s = table(spark, sf, "supplier").join(table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).filter("n_nationkey % 6 <> 2")
-    deciles = s.groupBy(F.col("n_name").alias("name")).agg(
+    s = table(spark, sf, "supplier").join(table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    # Some names have no partner.
+    name = F.when(F.col("n_nationkey") % 6 == 2, F.concat("n_name", F.lit(" (former)"))).otherwise(F.col("n_name"))
+    deciles = s.groupBy(name.alias("name")).agg(
         (F.count(F.lit(1)) % 10 + 1).alias("all_destitute"), (F.count(F.when(F.col("s_acctbal") > 0, 1)) % 10 + 1).alias("migrant"),
         (F.count(F.when(F.col("s_acctbal") > 5000, 1)) % 10 + 1).alias("complex_needs"), (F.sum("s_suppkey") % 10 + 1).alias("uk_other"))
     names = lads(spark, sf).select(F.col("lad_code").alias("lad17cd"), F.col("lad_name").alias("lad17nm"))
@@ -57,27 +50,35 @@ def digital_exclusion(spark, sf):
     return out.select("la_code", *[big(c).alias(c) for c in out.columns[1:]])
 
 
-@query(f"""WITH {LADS_SQL}, e AS (SELECT strftime(ts, '%Y-%m-%d') AS day, user_id % 25 AS nk, event_type, event_id % 5 AS people FROM events WHERE event_type IN ('view', 'click') AND user_id % 25 <> 4),
+@query(f"""WITH {LADS_SQL}, e AS (SELECT strftime(ts, '%Y-%m-%d') AS day, CASE WHEN user_id % 25 <> 4 THEN user_id % 25 END AS nk, event_type, event_id % 5 AS people FROM events),
 l AS (SELECT * FROM e WHERE day = (SELECT max(day) FROM e)),
 w AS (SELECT nk, coalesce(sum(people) FILTER (WHERE event_type = 'view'), 0) AS d, coalesce(sum(people) FILTER (WHERE event_type = 'click'), 0) AS s FROM l GROUP BY 1)
 SELECT lad_code AS lad19cd, CAST(d AS BIGINT) AS dispersed_accommodation, CAST(s AS BIGINT) AS subsistence_only, CAST(coalesce(d + s, 0) AS BIGINT) AS sec95
 FROM lads LEFT JOIN w ON nk = n_nationkey""")
 def displacement(spark, sf):
-    e = table(spark, sf, "events").filter(F.col("event_type").isin("view", "click") & (F.col("user_id") % 25 != 4))
+    e = table(spark, sf, "events")
     lad = lads(spark, sf)
     support = e.join(lad, F.col("user_id") % 25 == F.col("n_nationkey")).select(
-        F.date_format("ts", "dd MMM yyyy").alias("date_text"), F.col("lad_code").alias("lad19cd"),
-        F.when(F.col("event_type") == "view", "Dispersed Accommodation").otherwise("Subsistence Only").alias("support"),
+        F.date_format("ts", "dd MMM yyyy").alias("date_text"),
+        # One authority goes by a code that the list does not have.
+        F.when(F.col("n_nationkey") != 4, F.col("lad_code")).otherwise("X004").alias("lad19cd"),
+        F.when(F.col("event_type") == "view", "Dispersed Accommodation").when(F.col("event_type") == "click", "Subsistence Only")
+        .otherwise(F.col("event_type")).alias("support"),
         (F.col("event_id") % 5).alias("people"))
     return D.displacement(support, lad.select(F.col("lad_code").alias("lad19cd")))
 
 
 # ---- fires -----------------------------------------------------------------
 
+def _english():
+    """Every customer is an English small area here."""
+    return F.concat(F.lit("E"), F.lpad(F.col("c_custkey").cast("string"), 9, "0"))
+
+
 def incidents(spark, sf):
     """Finished orders as incidents; for some the code sits in the description, some have none."""
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
-    l = ladder(spark, sf).filter("n_regionkey = 0").select("c_custkey", "lsoa")
+    l = ladder(spark, sf).select("c_custkey", _english().alias("lsoa"))
     kinds = F.element_at(F.array(*[F.lit(x) for x in D.DWELLING_FIRES]), (F.col("o_orderkey") % 4 + 1).cast("int"))
     j = o.join(l, F.col("o_custkey") == F.col("c_custkey"))
     moved = F.col("o_orderkey") % 5 == 0
@@ -88,39 +89,40 @@ def incidents(spark, sf):
         F.when(moved, F.col("lsoa")).when(F.col("o_orderkey") % 7 == 1, F.lit(None)).otherwise("near the church").alias("lsoa_description"))
 
 
-_FIRE_ENG_SQL = f"""{LADDER_SQL},
-inc AS (SELECT CASE WHEN o_orderkey % 5 = 0 THEN lsoa WHEN o_orderkey % 7 = 1 THEN NULL ELSE lsoa END AS code FROM orders JOIN ladder ON c_custkey = o_custkey
-  WHERE n_regionkey = 0 AND o_orderstatus = 'F' AND o_orderpriority <> '5-LOW'),
+_FIRE_ENG_SQL = f"""{LADDER_SQL}, eng AS (SELECT *, 'E' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS small FROM ladder),
+inc AS (SELECT CASE WHEN o_orderkey % 5 = 0 THEN small WHEN o_orderkey % 7 = 1 THEN NULL ELSE small END AS code FROM orders JOIN eng ON c_custkey = o_custkey
+  WHERE o_orderstatus = 'F' AND o_orderpriority <> '5-LOW'),
 cnt AS (SELECT code, count(*) AS n_fires FROM inc GROUP BY 1),
-pop AS (SELECT lsoa, area_code, CASE WHEN c_custkey % 23 = 5 THEN NULL ELSE c_custkey % 90 + 10 END AS n_people FROM ladder WHERE n_regionkey = 0 AND c_custkey % 17 <> 6)"""
+pop AS (SELECT small, area_code, CASE WHEN c_custkey % 997 = 5 OR c_custkey % 1009 = 6 THEN NULL ELSE c_custkey % 90 + 10 END AS n_people FROM eng)"""
 
 
 def _population(spark, sf):
-    l = ladder(spark, sf).filter("n_regionkey = 0 AND c_custkey % 17 <> 6")
-    return l.select(F.col("lsoa").alias("lsoa11cd"), F.when(F.col("c_custkey") % 23 != 5, F.col("c_custkey") % 90 + 10).alias("n_people"))
+    """Gaps: some areas without a number, some whose code has no partner."""
+    code = F.when(F.col("c_custkey") % 1009 != 6, _english()).otherwise(F.concat(F.lit("X"), F.col("c_custkey").cast("string")))
+    return ladder(spark, sf).select(code.alias("lsoa11cd"), F.when(F.col("c_custkey") % 997 != 5, F.col("c_custkey") % 90 + 10).alias("n_people"))
 
 
 def _fires_england(spark, sf):
-    lookup = ladder(spark, sf).select(F.col("lsoa").alias("lsoa11cd"), F.col("area_code").alias("msoa11cd"))
+    lookup = ladder(spark, sf).select(_english().alias("lsoa11cd"), F.col("area_code").alias("msoa11cd"))
     return D.fires_england(incidents(spark, sf), _population(spark, sf), lookup, "2018/19")
 
 
-@query(f"""WITH {_FIRE_ENG_SQL} SELECT code AS lsoa11cd, n_fires, n_people, {sql_rnd('n_fires * 1.0 / nullif(n_people, 0)')} AS dens_fires FROM cnt LEFT JOIN pop ON code = lsoa""")
+@query(f"""WITH {_FIRE_ENG_SQL} SELECT code AS lsoa11cd, n_fires, n_people, {sql_rnd('n_fires * 1.0 / nullif(n_people, 0)')} AS dens_fires FROM cnt LEFT JOIN pop ON code = small""")
 def fires_england_small(spark, sf):
     return _fires_england(spark, sf)[0].withColumn("dens_fires", rnd("dens_fires"))
 
 
-@query(f"""WITH {_FIRE_ENG_SQL}, j AS (SELECT l.area_code, n_fires, n_people FROM cnt LEFT JOIN pop ON code = lsoa LEFT JOIN ladder l ON l.lsoa = code),
+@query(f"""WITH {_FIRE_ENG_SQL}, j AS (SELECT l.area_code, n_fires, n_people FROM cnt LEFT JOIN pop ON code = pop.small LEFT JOIN eng l ON l.small = code),
 g AS (SELECT area_code, {strict_sql('sum', 'n_fires')} AS f, {strict_sql('sum', 'n_people')} AS p FROM j GROUP BY 1)
 SELECT area_code AS msoa11cd, CAST(f AS BIGINT) AS n_fires, CAST(p AS BIGINT) AS n_people, {sql_rnd('f * 1.0 / nullif(p, 0)')} AS dens_fires FROM g""")
 def fires_england_area(spark, sf):
     return _fires_england(spark, sf)[1].withColumn("dens_fires", rnd("dens_fires"))
 
 
-@query(f"""WITH rec AS (SELECT 'Service ' || CAST(n_regionkey AS VARCHAR) AS nm, CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE 1.0 END AS d FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey
+@query(f"""WITH rec AS (SELECT 'Service ' || CAST(n_regionkey AS VARCHAR) AS nm, CASE WHEN o_orderkey % 50 = 0 AND n_regionkey = 2 THEN NULL ELSE 1.0 END AS d FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey
   WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' AND n_regionkey <> 4),
 f AS (SELECT nm, {strict_sql('sum', 'd')} AS n FROM rec GROUP BY 1),
-dw AS (SELECT n_regionkey, sum(w) AS n FROM (SELECT c_nationkey, count(*) AS w FROM customer WHERE c_nationkey % 7 <> 3 GROUP BY 1) JOIN nation ON n_nationkey = c_nationkey WHERE n_nationkey % 9 <> 8 GROUP BY 1)
+dw AS (SELECT CASE WHEN n_nationkey % 9 <> 8 THEN n_regionkey END AS n_regionkey, sum(w) AS n FROM (SELECT c_nationkey, nullif(count(*) FILTER (c_nationkey % 7 <> 3), 0) AS w FROM customer GROUP BY 1) JOIN nation ON n_nationkey = c_nationkey GROUP BY 1)
 SELECT 'W2' || CAST(r_regionkey AS VARCHAR) AS fra19cd, {sql_rnd('f.n', 2)} AS n_fires, {sql_rnd('dw.n', 2)} AS n_dwellings, {sql_rnd('f.n / nullif(dw.n, 0)')} AS dens_fires
 FROM f JOIN region ON nm = 'Service ' || CAST(r_regionkey AS VARCHAR) LEFT JOIN dw ON n_regionkey = r_regionkey""")
 def fires_wales(spark, sf):
@@ -131,7 +133,7 @@ def fires_wales(spark, sf):
         F.concat(F.lit("Service "), F.col("n_regionkey").cast("string")).alias("area_name"),
         F.lit("Dwellings").alias("location"), F.when(F.col("o_orderstatus") == "F", "2018-19").otherwise("2017-18").alias("year_code"),
         F.lit("Fires").alias("count_name"), F.when(F.col("o_orderpriority") == "1-URGENT", "All motives").otherwise("Accidental").alias("motive"),
-        F.when(F.col("o_orderkey") % 50 != 0, F.lit(1.0)).alias("data"))
+        F.when((F.col("o_orderkey") % 50 != 0) | (F.col("n_regionkey") != 2), F.lit(1.0)).alias("data"))
     stock = c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).groupBy("n_name").agg(
         F.count(F.when(F.col("c_nationkey") % 7 != 3, 1)).alias("w"), F.count(F.lit(1)).alias("all"))
     years = F.explode(F.array(F.lit("2016-17"), F.lit("2018-19")))
@@ -140,7 +142,7 @@ def fires_wales(spark, sf):
     services = table(spark, sf, "region").select(
         F.concat(F.lit("W2"), F.col("r_regionkey").cast("string")).alias("fra19cd"),
         F.concat(F.lit("Service "), F.col("r_regionkey").cast("string")).alias("fra19nm"))
-    lad_fra = n.filter("n_nationkey % 9 <> 8").select(F.col("n_name").alias("lad19nm"), F.concat(F.lit("W2"), F.col("n_regionkey").cast("string")).alias("fra19cd"))
+    lad_fra = n.select(F.col("n_name").alias("lad19nm"), F.when(F.col("n_nationkey") % 9 != 8, F.concat(F.lit("W2"), F.col("n_regionkey").cast("string"))).alias("fra19cd"))
     out = D.fires_wales(records, dwellings, services, lad_fra, "2018-19")
     return out.select("fra19cd", rnd("n_fires", 2).alias("n_fires"), rnd("n_dwellings", 2).alias("n_dwellings"), rnd("dens_fires").alias("dens_fires"))
 
@@ -148,7 +150,7 @@ def fires_wales(spark, sf):
 _FIRE_SCO_SQL = f"""{LADDER_SQL},
 inc AS (SELECT o_custkey, count(*) AS n_fires, {strict_sql('sum', 'acc')} AS n_accidental, sum(fat) AS n_fatalities FROM (
   SELECT o_custkey, CASE WHEN o_orderkey % 77 = 0 THEN NULL ELSE o_orderkey % 2 END AS acc, o_orderkey % 3 AS fat FROM orders WHERE year(o_orderdate) = 1998) GROUP BY 1),
-small AS (SELECT lsoa, area_code, lad_code, n_fires, n_accidental, n_fatalities, CASE WHEN c_custkey % 29 = 4 THEN NULL ELSE c_custkey % 50 END AS n_dwellings FROM inc JOIN ladder ON c_custkey = o_custkey)"""
+small AS (SELECT lsoa, area_code, lad_code, n_fires, n_accidental, n_fatalities, CASE WHEN c_custkey % 4999 = 4 THEN NULL ELSE c_custkey % 50 END AS n_dwellings FROM inc JOIN ladder ON c_custkey = o_custkey)"""
 
 
 def _fires_scotland(spark, sf):
@@ -157,7 +159,7 @@ def _fires_scotland(spark, sf):
     inc = o.join(l, F.col("o_custkey") == F.col("c_custkey")).select(
         "calendar_year", F.col("lsoa").alias("dz"), F.when(F.col("o_orderkey") % 77 != 0, F.col("o_orderkey") % 2).alias("accidental"),
         (F.col("o_orderkey") % 3).alias("fatalities"), F.lit(0).alias("casualties"))
-    dwellings = l.select(F.col("lsoa").alias("dz"), F.when(F.col("c_custkey") % 29 != 4, F.col("c_custkey") % 50).alias("n_dwellings"))
+    dwellings = l.select(F.col("lsoa").alias("dz"), F.when(F.col("c_custkey") % 4999 != 4, F.col("c_custkey") % 50).alias("n_dwellings"))
     lookup = l.select(F.col("lsoa").alias("dz"), F.col("area_code").alias("iz"), F.col("lad_code").alias("council"))
     return D.fires_scotland(inc, dwellings, lookup, 1998)
 
@@ -182,9 +184,9 @@ def _flood(spark, sf):
     eng = zones.filter("label < 6").select(F.col("label").alias("zone_id"), "rings", F.when(F.col("label") != 2, "Flood Zone 3").otherwise("Flood Zone 2").alias("layer"))
     wal = zones.filter("label >= 6").select(F.col("label").alias("zone_id"), "rings", F.when(F.col("label") != 8, "coast").alias("type"))
     lsoa = F.concat(F.lit("E"), (F.col("vec_id") % 40).cast("string"))
-    pop = pts.select("oa11cd", lsoa.alias("lsoa11cd"), F.when(F.col("vec_id") % 61 != 3, F.col("vec_id") % 300).alias("n"))
+    pop = pts.select("oa11cd", lsoa.alias("lsoa11cd"), F.when(F.col("vec_id") % 487 != 3, F.col("vec_id") % 300).alias("n"))
     c = table(spark, sf, "customer").select("c_custkey")
-    small = c.filter("c_custkey % 10 = 0").select(F.concat(F.lit("N"), F.col("c_custkey").cast("string")).alias("sa2011"),
+    small = c.select(F.concat(F.lit("N"), F.col("c_custkey").cast("string")).alias("sa2011"),
                                                   F.concat(F.lit("95"), (F.col("c_custkey") % 7).cast("string")).alias("soa2011"))
     pop_ni = c.select(F.explode(F.array(F.lit(2017), F.lit(2018))).alias("year"), F.concat(F.lit("N"), F.col("c_custkey").cast("string")).alias("sa2011"),
                       (F.col("c_custkey") % 90).alias("n"))
@@ -194,8 +196,8 @@ def _flood(spark, sf):
 
 _FLOOD_SQL = f"""{_PIP_SQL},
 oa AS (SELECT DISTINCT vec_id, CASE WHEN label < 6 THEN 'e' ELSE 'w' END AS part FROM inside WHERE label NOT IN (2, 8)),
-gb AS (SELECT vec_id, 'E' || CAST(vec_id % 40 AS VARCHAR) AS lsoa, 'E0' || CAST(vec_id % 8 AS VARCHAR) AS msoa, CASE WHEN vec_id % 61 = 3 THEN NULL ELSE vec_id % 300 END AS n FROM oa),
-ni AS (SELECT '95' || CAST(c_custkey % 7 AS VARCHAR) AS lsoa, c_custkey % 90 AS n FROM customer WHERE c_custkey % 10 = 0),
+gb AS (SELECT vec_id, 'E' || CAST(vec_id % 40 AS VARCHAR) AS lsoa, 'E0' || CAST(vec_id % 8 AS VARCHAR) AS msoa, CASE WHEN vec_id % 487 = 3 THEN NULL ELSE vec_id % 300 END AS n FROM oa),
+ni AS (SELECT '95' || CAST(c_custkey % 7 AS VARCHAR) AS lsoa, c_custkey % 90 AS n FROM customer),
 by_lsoa AS (SELECT lsoa, {strict_sql('sum', 'n')} AS n FROM (SELECT lsoa, n FROM gb UNION ALL SELECT lsoa, n FROM ni) GROUP BY 1)"""
 
 
