@@ -18,32 +18,48 @@ import heapq
 import json
 import re
 import unicodedata
-from collections.abc import Iterator
-from itertools import filterfalse
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 
 from arearisk.llm.common import blocks, id_and_text, kept, offsets_of
 
-#: How the two supported vocabularies cut normalised text into words.
-WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: How the two supported vocabularies cut normalised text into words. L, N and S stand for letters,
+#: numbers and white space.
+WORD_LAYOUT = "'s|'t|'re|'ve|'m|'ll|'d|[L]+|[N]|[^SLN]+"
+BYTE_LAYOUT = "'s|'t|'re|'ve|'m|'ll|'d| ?[L]+| ?[N]+| ?[^SLN]+|[S]+(?![^S])|[S]+"
 
-#: Distinct pieces of text that a worker remembers.
-REMEMBERED = 700_000
+#: Distinct words after which a worker forgets those that it has not met since it last forgot some.
+REMEMBERED = 400_000
 
 #: Bytes of texts whose new words are encoded together.
-BLOCK = 4 << 20
+BLOCK = 8 << 20
 
-#: Beyond this code point Unicode versions differ in what a letter is; the library's own splitter decides there.
-_RARE = re.compile("[^\u0000-ԯ]")
-_ODD_SPACE = re.compile("[\x1c-\x1f]")
-_TWO_SPACES = re.compile(r"\s\s")
-_FIRST = "\uffff\uffff"
-_LONE_SPACE = re.compile(r"(?<!\s) (?=\S)")
+#: Outside these code points Unicode versions may differ in what a letter is; the library's own splitter decides there.
+_COMMON = (range(0x530), range(0x2000, 0x20d0))
+_RARE = re.compile("[^" + "".join(f"{chr(r[0])}-{chr(r[-1])}" for r in _COMMON) + "]")
+
+
+def _members(belongs: Callable[[str], bool]) -> str:
+    """The common characters of a class, as ranges of a regular expression."""
+    out: list[list[int]] = []
+    for c in (c for r in _COMMON for c in r if belongs(chr(c))):
+        if out and out[-1][1] == c - 1:
+            out[-1][1] = c
+        else:
+            out.append([c, c])
+    return "".join(f"{re.escape(chr(a))}-{re.escape(chr(b))}" for a, b in out)
+
+
+def _splitter(layout: str) -> Callable[[str], list[str]]:
+    """Cuts text of common characters into words. Plain ranges are twice as fast as classes of properties."""
+    kinds = {"L": lambda c: unicodedata.category(c)[0] == "L", "N": lambda c: unicodedata.category(c)[0] == "N",
+             # Information separators are no white space to Unicode.
+             "S": lambda c: c.isspace() and not "\x1c" <= c <= "\x1f"}
+    # Quoted endings such as 's are in small letters, so only the stand-ins are replaced.
+    return re.compile(re.sub("[LNS]", lambda m: _members(kinds[m[0]]), layout)).findall
 
 
 def byte_symbols() -> list[str]:
@@ -144,7 +160,7 @@ class Encoder:
         if model["type"] != "BPE" or splitter not in ("Sequence", "ByteLevel"):
             raise ValueError(f"{path}: only the word-end and the byte-level BPE layouts are supported")
         self.lower = splitter == "Sequence"
-        self.pattern = regex.compile(WORD_PATTERN if self.lower else BYTE_PATTERN)
+        self.cut = _splitter(WORD_LAYOUT if self.lower else BYTE_LAYOUT)
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.rules = PairIndex(model["vocab"], merges, model.get("end_of_word_suffix") or "")
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
@@ -156,82 +172,65 @@ class Encoder:
         self.byte_of = {s: b for b, s in enumerate(byte_symbols())}
         self.raw = [bytes(self.byte_of[c] for c in x) if all(c in self.byte_of for c in x) else x.encode() for x in self.names]
         self.known: dict[str, bytes] = {}
-
-    def pieces(self, text: str) -> list[str]:
-        """Parts of a text that can be encoded one by one. Byte-level ones but the first stand for a space and the part."""
+        self.forget()
+
+    def forget(self) -> None:
+        """Words known now must be met again to stay known. The ids of special tokens, which are never words, stay."""
+        self.older, self.known = self.known, {t: i.to_bytes(4, "little") for t, i in self.special.items()}
+
+    def words(self, text: str) -> list[str]:
+        """Words of a text and special tokens, in their order."""
+        if self.special_pattern.search(text):
+            out = []
+            for part in self.special_pattern.split(text):
+                out += [part] if part in self.special else self._plain_words(part)
+            return out
+        return self._plain_words(text)
+
+    def _plain_words(self, text: str) -> list[str]:
+        if _RARE.search(text):
+            norm = self.library.normalizer.normalize_str(text) if self.lower else text
+            return [bytes(self.byte_of[c] for c in w).decode() for w, _ in self.library.pre_tokenizer.pre_tokenize_str(norm)]
         if self.lower:
-            return text.split() if not _ODD_SPACE.search(text) else [p for p in regex.split(r"\s+", text) if p]
-        if _FIRST in text:
-            return [_FIRST + text]
-        if _TWO_SPACES.search(text) or text[:1] == " " or text[-1:] == " ":
-            parts = _LONE_SPACE.split(text)
-        else:
-            parts = text.split(" ")
-        if parts[0]:
-            # The first part has no space before it; U+FFFF twice marks that.
-            parts[0] = _FIRST + parts[0]
-        else:
-            parts = parts[1:] and [_FIRST + " " + parts[1], *parts[2:]]
-        return parts
-
-    def words(self, piece: str) -> list[bytes | int]:
-        """Words of one piece in bytes; special tokens as their id."""
-        if not self.lower:
-            piece = piece[len(_FIRST):] if piece.startswith(_FIRST) else " " + piece
-        out: list[bytes | int] = []
-        for part in self.special_pattern.split(piece):
-            if part in self.special:
-                out.append(self.special[part])
-            elif part and _RARE.search(part):
-                norm = self.library.normalizer.normalize_str(part) if self.lower else part
-                cut = self.library.pre_tokenizer.pre_tokenize_str(norm)
-                out += [bytes(self.byte_of[c] for c in w) for w, _ in cut]
-            elif part:
-                if self.lower:
-                    # Character by character, so that a capital sigma never becomes a final one.
-                    part = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
-                out += [w.encode() for w in self.pattern.findall(part)]
-        return out
+            # Character by character, so that a capital sigma never becomes a final one.
+            text = text.lower() if text.isascii() else unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        return self.cut(text)
 
     def learn(self, fresh: list[str]) -> None:
-        """Encode pieces, all together."""
-        lower, known = self.lower, self.known
-        words: list[bytes] = []
-        ends = []
-        for piece in fresh:
-            if piece.isalpha() and piece.isascii():
-                words.append(piece.lower().encode() if lower else b" " + piece.encode())
-            else:
-                own = self.words(piece)
-                if int in map(type, own):
-                    known[piece] = self.mixed(own)
-                else:
-                    words += own
-            ends.append(len(words))
-        ids, bound = self.rules.encode(words)
-        flat, cuts = ids.tobytes(), (4 * bound[ends]).tolist()
-        for piece, start, end in zip(fresh, [0, *cuts], cuts):
-            if end > start:
-                known[piece] = flat[start:end]
-            else:
-                known.setdefault(piece, b"")
-
-    def mixed(self, words: list[bytes | int]) -> bytes:
-        """Ids of words among special tokens."""
-        return b"".join([w.to_bytes(4, "little") if isinstance(w, int) else self.rules.encode([w])[0].tobytes() for w in words])
+        """Encode distinct words, all together."""
+        ids, bound = self.rules.encode([w.encode() for w in fresh])
+        flat, cuts = ids.tobytes(), (4 * bound).tolist()
+        self.known.update((w, flat[a:b]) for w, a, b in zip(fresh, cuts, cuts[1:]))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit numbers."""
+        """Ids of each text as little-endian 32-bit numbers. Each text is cut once; new words of all are encoded together."""
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        fresh: set[str] = set()
+            self.forget()
+        known, older, get, fresh = self.known, self.older, self.known.get, {}
+        waiting, out = [], []
         for text in texts:
-            fresh.update(filterfalse(self.known.__contains__, self.pieces(text)))
+            words = self.words(text)
+            got = list(map(get, words))
+            if None in got:
+                for i, x in enumerate(got):
+                    if x is None:
+                        word = words[i]
+                        x = older.get(word)
+                        if x is None:
+                            # Until it is known, a new word stands for itself; equal ones are kept once.
+                            x = fresh.setdefault(word, word)
+                        else:
+                            known[word] = x
+                        got[i] = x
+                waiting.append(len(out))
+                out.append(got)
+            else:
+                out.append(b"".join(got))
         if fresh:
             self.learn(list(fresh))
-        # Cutting twice costs little; the pieces of a whole block would take ten times its bytes.
-        get = self.known.__getitem__
-        return [b"".join(map(get, self.pieces(text))) for text in texts]
+        for i in waiting:
+            out[i] = b"".join([x if x.__class__ is bytes else known[x] for x in out[i]])
+        return out
 
     def decode(self, ids: np.ndarray) -> str:
         """Text of the ids as the library's decode gives it, special tokens kept."""

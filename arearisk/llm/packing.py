@@ -32,7 +32,10 @@ POOL = 2048
 
 @dataclass(frozen=True)
 class Limits:
-    """What one sequence holds at most; a cut leaves at least `least` tokens where a bin has room for them."""
+    """What one sequence holds at most; a cut leaves at least `least` tokens where a bin has room for them.
+
+    As many segments as tokens is no limit of its own.
+    """
 
     tokens: int = 2048
     segments: int = 64
@@ -67,6 +70,16 @@ class Pool:
                 break
             score = size * (room_tokens / cap[0] ** 2) + loss * (room_loss / cap[2] ** 2) + room_segments / lim.segments ** 2
             best = int(np.argmax(np.where(fits, score, -1.0)))
+            alike = np.flatnonzero(fits & (size == size[best]) & (loss == loss[best]))
+            if len(alike) == np.count_nonzero(fits):
+                # Whatever else fits is the same: as many as there is room for go in at once.
+                n, bearing = int(size[best]), int(loss[best])
+                alike = alike[:min(room_segments, room_tokens // n if n else len(alike), room_loss // bearing if bearing else len(alike))]
+                out += map(tuple, self.items[alike].tolist())
+                waiting[alike] = False
+                room_segments -= len(alike)
+                room_tokens, room_loss = room_tokens - n * len(alike), room_loss - bearing * len(alike)
+                continue
             out.append(tuple(self.items[best].tolist()))
             waiting[best] = False
             room_tokens, room_segments, room_loss = room_tokens - int(size[best]), room_segments - 1, room_loss - int(loss[best])
@@ -165,7 +178,11 @@ def _packed(rows: Iterator[tuple[pa.Array, list[bytes], list[int]]], limits: Lim
 _SCHEMA = ("doc_id {id}, start long, length long, ids binary, doc_tokens long, loss_tokens long, sequence_id long, offset long")
 
 
-def pack_documents(docs: DataFrame, path: str, end_id: int = 1, limits: Limits = Limits(), id_col: str = "doc_id",
+#: Plain documents: any number of segments, so that short ones fill a sequence too.
+PLAIN = Limits(segments=2048)
+
+
+def pack_documents(docs: DataFrame, path: str, end_id: int = 1, limits: Limits = PLAIN, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
     """Encode every whole text, add `end_id` and pack all ids; documents may be cut anywhere.
 

@@ -118,6 +118,32 @@ def test_padding_is_little(docs):
     assert row["n"] > 0.98 * 2048 * row["s"]
 
 
+def test_empty_documents_fill_sequences(spark):
+    """No limit on segments leaves a sequence of short documents padded; mixed with longer ones they fill the gaps."""
+    empty = spark.range(5000).select(F.col("id").alias("doc_id"), F.lit(None).cast("string").alias("text")).coalesce(1)
+    found = packing.pack_documents(empty, BYTE).groupBy("sequence_id").count().collect()
+    assert sorted(r["count"] for r in found) == [5000 - 2 * 2048, 2048, 2048]
+    texts = F.when(F.col("doc_id") % 9 == 0, F.repeat(F.lit("some words "), F.col("doc_id").cast("int"))).alias("text")
+    found = packing.pack_documents(empty.select("doc_id", texts), BYTE).groupBy("sequence_id").agg(F.sum("length").alias("n")).collect()
+    assert sum(r["n"] for r in found) > 0.99 * 2048 * len(found)
+
+
+def test_words_are_encoded_once():
+    """Also where the memory of words was cleared in between; special tokens stay known."""
+    own, texts = bpe.Encoder(BYTE), ["Some words, some words. <|endoftext|>some “words”…\n", "", "Some other words\x1f x"]
+    asked = []
+    learn = own.learn
+    own.learn = lambda fresh: (asked.extend(fresh), learn(fresh))
+    want = [own.library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, np.int32).tolist() for x in own.encode(texts)] == want
+    assert len(asked) == len(set(asked)) and "<|endoftext|>" not in asked
+    own.encode(texts)
+    assert len(asked) == len(set(asked))
+    own.forget()
+    own.forget()
+    assert [np.frombuffer(x, np.int32).tolist() for x in own.encode(texts)] == want
+
+
 def test_all_three_limits_bind(spark):
     rows = [(i, [7] * n, loss) for i, (n, loss) in enumerate([(100, 90), (60, 5), (50, 50), (30, 0), (30, None), (1, 1), (90, 2), (0, 0)])]
     df = spark.createDataFrame(rows, "doc_id long, ids array<int>, loss_tokens long").coalesce(1)
