@@ -530,11 +530,14 @@ def drop_near(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_
     """The rows of `docs`, all columns as they are, but one document of each class: the one that names it.
 
     That is the smallest id, NULL only if there is no other, and of the texts with this id the one with the smallest key.
-    Rows that repeat both id and text of that document stay with it; `drop_copies` removes such repeats.
+    Rows that repeat both id and text of that document stay with it; `drop_copies` removes such repeats. NULL texts count
+    as empty; an empty table gives an empty one; a row's columns stay together inside, so their names cannot clash.
     """
     classes = near_duplicates(docs, threshold, id_col, text_col)
     stays = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("key") == F.col("class_key"))
     gone = stored(classes.filter(~stays).select(
         F.col("key").alias("gone_key"), F.col("doc_id").alias("gone_id")).distinct(), "near-copies")
-    key = F.unhex(F.md5(F.coalesce(quoted(text_col), F.lit("")).cast("binary")))
-    return docs.join(gone.hint("merge"), (key == F.col("gone_key")) & quoted(id_col).eqNullSafe(F.col("gone_id")), "left_anti")
+    rows = docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("row"))
+    own_id, own_text = F.col("row").getField(id_col), F.col("row").getField(text_col)
+    key = F.unhex(F.md5(F.coalesce(own_text, F.lit("")).cast("binary")))
+    return rows.join(gone.hint("merge"), (key == F.col("gone_key")) & own_id.eqNullSafe(F.col("gone_id")), "left_anti").select("row.*")

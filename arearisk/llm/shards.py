@@ -74,6 +74,15 @@ def shards(shuffled: DataFrame, n: int = 8) -> DataFrame:
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:
-    """Write the rows of every shard under `path`/shard=k, sorted by slot inside each file."""
-    (sharded.select("shard", "slot", "row.*").repartitionByRange("shard", "slot")
-     .sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path))
+    """Write the rows of every shard under `path`/shard=k, sorted by slot inside each file.
+
+    Where the rows have a column `shard` or `slot` themselves, ours get underscores at the end until no name clashes.
+    """
+    own = {c.lower() for c in sharded.schema["row"].dataType.names}
+    names = []
+    for name in ("shard", "slot"):
+        while name in own:
+            name += "_"
+        names.append(name)
+    out = sharded.select(F.col("shard").alias(names[0]), F.col("slot").alias(names[1]), "row.*")
+    out.repartitionByRange(*names).sortWithinPartitions(*names).write.partitionBy(names[0]).parquet(path)

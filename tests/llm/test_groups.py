@@ -179,3 +179,16 @@ def test_written_shards(docs, spark, tmp_path):
     shards.write_shards(done, str(tmp_path / "out"))
     back = spark.read.parquet(str(tmp_path / "out"))
     assert {c for c in back.columns} == {*docs.columns, "slot", "shard"} and back.count() == docs.count()
+
+
+def test_names_that_clash_with_our_own(spark, tmp_path):
+    """Rows with columns named like those that the operators add."""
+    text = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, text, "a", 7, 0, "x"), (2, text + " more", "b", 8, 1, "y"), (None, "alone in its class here", None, None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, gone_key string, gone_id long, shard int, slot string")
+    left = neardup.drop_near(df)
+    assert left.columns == df.columns and sorted(r["text"] for r in left.collect()) == sorted([text, rows[2][1]])
+    shards.write_shards(shards.shards(shards.external_shuffle(df), 2), str(tmp_path / "out"))
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert {"shard", "slot", "shard_", "slot_"} <= set(back.columns)
+    assert sorted(map(str, map(tuple, back.select(df.columns).collect()))) == sorted(map(str, rows))
