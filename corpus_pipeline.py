@@ -6,7 +6,8 @@ near_dedup    of each class of near-duplicates one document stays
 secrets       secrets in texts are replaced by their kind
 packing       texts become token sequences
 
-Every stage reads what its predecessor kept, as Parquet.
+Every stage reads what its predecessor kept, as Parquet. Each takes NULLs in any column, repeated rows, an empty table
+and columns named like its own; all but the last return the columns they were given.
 """
 
 from __future__ import annotations
@@ -18,23 +19,27 @@ from arearisk.scratch import materialize
 
 
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Learns from the labelled documents that are still there."""
+    """Learns from the labelled documents that are still there. Without labels, or for a NULL or empty text, see `toxicity.drop_toxic`."""
     return toxicity.drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def remove_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """NULL texts count as empty, so one row of all without text stays; of rows equal in all but the id the largest id."""
     return exactdup.drop_copies(docs)
 
 
 def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts of fewer than five words are near none and stay; classes without any id are named by their text."""
     return neardup.drop_near(docs)
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """No row goes; NULL stays NULL; `n_chars` follows the text."""
     return secrets.redact(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A NULL or empty text is its end id alone."""
     import public_tokenizers
 
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
