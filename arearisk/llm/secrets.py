@@ -261,10 +261,10 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id
     """
     rows = keyed(docs, id_col, text_col)
     held = materialize(candidates(materialize(postings(rows, rules), "postings"), rules), "candidates")
-    # Texts are shuffled by key at every size, so that a small set of candidates does not change the plan. All that
-    # follows groups by that key and stays where it is; a second hash tells texts with equal keys apart.
-    checked = rows.join(held.withColumnRenamed("key", "c_key").hint("merge"), F.col("key") == F.col("c_key"), "left") \
-        .withColumn("other", F.xxhash64(F.lit("other"), "text"))
+    # A second hash tells texts with equal keys apart.
+    rows = rows.withColumn("other", F.xxhash64(F.lit("other"), "text"))
+    # The candidates are stored, so the planner knows their size: while they are few, texts need not move to be searched.
+    checked = rows.join(held.withColumnRenamed("key", "c_key"), F.col("key") == F.col("c_key"), "left")
     able = []
     for rule in rules:
         may = F.col("text").rlike(rule.pattern)
@@ -273,7 +273,8 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id
         able.append(may.alias(f"able_{rule.kind}"))
     hits = checked.select("key", "other", "text", *able).filter(reduce(lambda a, b: a | b, [F.col(f"able_{r.kind}") for r in rules]))
     found = spans_of(hits.dropDuplicates(["key", "other"]), rules)
-    both = checked.join(found.withColumnRenamed("key", "f_key").hint("merge"), F.col("key") == F.col("f_key"), "left")
+    # Texts are shuffled by key at every size, so that a small set of matches does not change the plan.
+    both = rows.join(found.withColumnRenamed("key", "f_key").hint("merge"), F.col("key") == F.col("f_key"), "left")
     own = F.get(F.filter("found", lambda f: f["other"] == F.col("other")), F.lit(0))
     both = both.select("doc_id", "text", "missing", "rest", own.alias("own"))
     return both.select(
