@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import functions as F
 
 from arearisk.functions import scalars as S
@@ -162,7 +164,8 @@ def risk_report(spark, sf):
 def nation_inputs(spark, sf) -> NP.Inputs:
     """Indicators of all nations made from the driver tables."""
     lad, l = lads(spark, sf), ladder(spark, sf)
-    small = area_events(spark, sf)
+    # Two tables are made of the events; they are counted once.
+    small = materialize(area_events(spark, sf), "processed-events")
     fires = roll_up_rate(small, l, "lsoa", "area_code", "n_fires", "n_people", "dens_fires")
     orders = table(spark, sf, "orders").select("o_custkey", "o_orderpriority", "o_totalprice")
     sup = table(spark, sf, "supplier").join(lad, F.col("s_nationkey") == F.col("n_nationkey"))
@@ -182,9 +185,11 @@ def nation_inputs(spark, sf) -> NP.Inputs:
     per_lad = sup.groupBy("lad_code").agg(
         F.count(F.when(F.col("s_acctbal") > 4000, 1)).alias("sec95"), F.sum(F.col("s_suppkey") % 7).alias("digital_total_mult"),
         F.avg("s_acctbal").alias("hle_birth"), F.count(F.when(F.col("s_acctbal") < 0, 1)).alias("debts"))
-    # Processed tables are stored before the nation plan reads them, as they are in production.
+    # Processed tables are stored before the nation plan reads them, as they are in production. They do not depend on
+    # each other, so their jobs run side by side.
     def stored(**frames):
-        return {name: materialize(df, f"processed-{name}") for name, df in frames.items()}
+        with ThreadPoolExecutor(len(frames)) as pool:
+            return dict(zip(frames, pool.map(lambda f: materialize(f[1], f"processed-{f[0]}"), frames.items())))
 
     keep = stored(
         fires=fires, floods=floods, alone=alone, per_lad=per_lad, deciles=deciles,
