@@ -1,16 +1,17 @@
 """Near-duplicates by improved consistent weighted sampling over TF-IDF shingles.
 
 A document is the weighted set of its five-word shingles, weight = count x idf.
-Document frequencies are exact. Blocks of texts give out their distinct shingles, packed
-by ranges of the hash; a range is summed in one task, and each block gets back the shingles
-that more than one document has. A text carries the frequencies of its shingles from there on.
-
-`BANDS` x `ROWS` consistent samples, banded, give buckets, and texts that share
-buckets form families. The texts of a family meet once, in tasks of bounded size,
-where whole texts are compared pair by pair; only links that join classes leave
-a task, never all pairs of a group (see `links`). A link is a weighted Jaccard
-similarity of at least the threshold. Equal texts are one text throughout; their
-rows come back as members at the end.
+Document frequencies are exact. Blocks of texts give out their distinct shingles, packed,
+and exchange them in rounds of bounded fan-out until each range of the hash is summed in one
+task; the same way back, each block gets the shingles that more than one document has. A text
+carries the frequencies of its shingles from there on.
+
+`BANDS` x `ROWS` consistent samples, banded, give buckets. One rule holds at every size: two
+texts are linked if they share a bucket and their weighted Jaccard similarity, computed on whole
+texts, reaches the threshold; pairs that links already join are not compared again. How texts
+come together in tasks of bounded size depends on the number that hang together (see `links`).
+Only links that join classes leave a task, never all pairs of a group. Equal texts are one text
+throughout; their rows come back as members at the end.
 """
 
 from __future__ import annotations
@@ -33,14 +34,13 @@ BANDS = 14
 ROWS = 4
 SEED = 11
 
-#: Most texts, and bytes of text, that are compared with each other in one task; about how many hubs a larger family has per round.
+#: Most texts, and bytes of text, that meet in one task; about how many hubs a larger group has.
 FAMILY = 4096
 FAMILY_BYTES = 64 << 20
 HUBS = 64
 
-#: Ranges of shingle hashes that document frequencies are summed in: at least so many, and one for so many bytes of text.
-RANGES = 256
-RANGE_BYTES = 24 << 20
+#: Most pieces that a run of document frequencies is cut into in one round.
+RADIX = 256
 
 #: Texts of a block and shingles of a chunk; the second keeps the sampling arrays in the processor's cache.
 BLOCK = 4 << 20
@@ -225,36 +225,88 @@ def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from t.append_column("block", pa.array(np.full(len(t), (task << 32) + n))).to_batches()
 
 
-_PACKED = "part long, block long, hashes binary, df binary"
+_PIECE = "node long, origin long, hashes binary, df binary"
+_FOUND = "origin long, hashes binary, df binary"
 
 
-def frequencies(blocked: DataFrame, ranges: int) -> DataFrame:
-    """For each `block` of texts, packed, the `hashes` and `df` of its shingles that more than one row has."""
+def rounds_of(n: int) -> tuple[int, int]:
+    """Rounds and pieces per round for n runs: as few rounds as `RADIX` allows, then as few pieces."""
+    rounds = 1
+    while RADIX ** rounds < n:
+        rounds += 1
+    radix = 1
+    while radix ** rounds < n:
+        radix += 1
+    return rounds, radix
+
+
+def _packed(rows: list[tuple], names: list[str]) -> pa.Table:
+    columns = list(zip(*rows)) or [[]] * len(names)
+    return pa.table([pa.array(c, pa.binary() if n in ("hashes", "df") else pa.int64()) for n, c in zip(names, columns)], names=names)
+
+
+def _summed(t: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Distinct hashes of the pieces in ascending order, their sums, and where each piece's hashes lie among them."""
+    hashes = [np.frombuffer(x, np.uint64) for x in t["hashes"].to_pylist()]
+    names, inverse = np.unique(np.concatenate(hashes), return_inverse=True)
+    df = np.bincount(inverse, np.concatenate([np.frombuffer(x, np.uint32) for x in t["df"].to_pylist()]), len(names)).astype(np.uint32)
+    return names, df, np.split(inverse, offsets_of([len(x) for x in hashes])[1:-1])
+
+
+def frequencies(blocked: DataFrame, n: int) -> DataFrame:
+    """For each `block` of texts, packed, the `hashes` and `df` of its shingles that more than one row has; n is the number of blocks.
+
+    A node's number has a digit per round. In a round the nodes that differ in its digit alone exchange pieces, cut by
+    the same digit of the hash range, the highest first, and sum what they get; after the last round a node has all of
+    its range. The sums go back the way the pieces came. A round moves at most `RADIX` pieces per node, and the
+    number of rounds grows with the logarithm of n.
+    """
+    rounds, radix = rounds_of(n)
+    nodes = radix ** rounds
+
+    def cut(origin: int, node: int, h: np.ndarray, df: np.ndarray, place: int) -> list[tuple]:
+        step = radix ** place
+        digit = ((((h >> _U(32)) * _U(nodes)) >> _U(32)) // _U(step) % _U(radix)).astype(np.int64)
+        names, first = np.unique(digit, return_index=True)
+        bound, rest = [*first.tolist(), len(h)], node - node // step % radix * step
+        return [(rest + d * step, origin, h[x:y].tobytes(), df[x:y].tobytes()) for d, x, y in zip(names.tolist(), bound, bound[1:])]
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in blocks(batches, limit=BLOCK):
             for block in pc.unique(t["block"]).to_pylist():
-                h, df = _df_of_block(t.filter(pc.equal(t["block"], block))["text"].to_pylist())
-                part = ((h >> _U(32)) * _U(ranges)) >> _U(32)
-                names, first = np.unique(part, return_index=True)
-                cuts = [*first.tolist(), len(h)]
-                spans = list(zip(cuts, cuts[1:]))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(names.astype(np.int64)), pa.array(np.full(len(names), block, np.int64)),
-                    pa.array([h[x:y].tobytes() for x, y in spans], pa.binary()), pa.array([df[x:y].tobytes() for x, y in spans], pa.binary()),
-                ], ["part", "block", "hashes", "df"])
+                run = _df_of_block(t.filter(pc.equal(t["block"], block))["text"].to_pylist())
+                node = int(mix(np.array([block], np.uint64))[0]) % nodes
+                yield from _packed(cut(block, node, *run, rounds - 1), ["node", "origin", "hashes", "df"]).to_batches()
+
+    def onward(place: int):
+        def run(t: pa.Table) -> pa.Table:
+            names, df, _ = _summed(t)
+            node = t["node"][0].as_py()
+            return _packed(cut(node, node, names, df, place), ["node", "origin", "hashes", "df"])
+        return run
+
+    def given_back(origins: list[int], names: np.ndarray, df: np.ndarray, lies: list[np.ndarray]) -> pa.Table:
+        out = []
+        for origin, at in zip(origins, lies):
+            at = at[df[at] > 1]
+            out.append((origin, names[at].tobytes(), df[at].tobytes()))
+        return _packed(out, ["origin", "hashes", "df"])
 
     def add(t: pa.Table) -> pa.Table:
-        hashes = [np.frombuffer(x, np.uint64) for x in t["hashes"].to_pylist()]
-        names, inverse = np.unique(np.concatenate(hashes), return_inverse=True)
-        df = np.bincount(inverse, np.concatenate([np.frombuffer(x, np.uint32) for x in t["df"].to_pylist()]), len(names)).astype(np.uint32)
-        bound, found, counts = offsets_of([len(x) for x in hashes]), [], []
-        for h, low, high in zip(hashes, bound[:-1], bound[1:]):
-            own = df[inverse[low:high]]
-            found.append(h[own > 1].tobytes())
-            counts.append(own[own > 1].tobytes())
-        return pa.table({"part": t["part"], "block": t["block"], "hashes": pa.array(found, pa.binary()), "df": pa.array(counts, pa.binary())})
+        return given_back(t["origin"].to_pylist(), *_summed(t))
+
+    def back(t: pa.Table, found: pa.Table) -> pa.Table:
+        names, _, lies = _summed(t)
+        return given_back(t["origin"].to_pylist(), names, _unpacked(found, 1).df_of(names), lies)
 
-    return blocked.select("block", "text").mapInArrow(pack, _PACKED).groupBy("part").applyInArrow(add, _PACKED)
+    levels = [blocked.select("block", "text").mapInArrow(pack, _PIECE)]
+    for place in range(rounds - 2, -1, -1):
+        levels[-1] = stored(levels[-1], "runs")
+        levels.append(levels[-1].groupBy("node").applyInArrow(onward(place), _PIECE))
+    found = levels[-1].groupBy("node").applyInArrow(add, _FOUND)
+    for level in reversed(levels[:-1]):
+        found = level.groupBy("node").cogroup(found.groupBy("origin")).applyInArrow(back, _FOUND)
+    return found.withColumnRenamed("origin", "block")
 
 
 def _unpacked(t: pa.Table, total: int) -> Weights:
@@ -297,7 +349,10 @@ def spanning(texts: list[str], own: Weights, threshold: float = THRESHOLD, part:
     mine = np.zeros(len(names))
     size = ends - first
     for i, text in enumerate(here[:-1]):
-        others = np.array([j for j in range(i + 1, len(here)) if find(here[j]) != find(text)], np.int64)
+        # The smaller total weight is at least the similarity times the larger one.
+        able = np.flatnonzero((total[i + 1:] >= (threshold - 1e-6) * total[i]) & (total[i] >= (threshold - 1e-6) * total[i + 1:])) + i + 1
+        root = find(text)
+        others = np.array([j for j in able.tolist() if find(here[j]) != root], np.int64)
         if apart is not None and len(others):
             others = others[apart(text, np.array(here, np.int64)[others])]
         if not len(others):
@@ -326,131 +381,160 @@ def _bodies(column: pa.ChunkedArray) -> tuple[list[str], list[bytes] | None]:
     return texts, None if None in dfs else dfs
 
 
-_LINK = "a binary, b binary, similarity double, settled boolean"
+_LINK = "a binary, b binary, similarity double"
+
+
+def _buckets(t: pa.Table) -> np.ndarray:
+    return t["buckets"].combine_chunks().flatten().to_numpy().reshape(len(t), -1)
+
+
+def _as_links(keys: list[bytes], pairs: list[tuple[int, int, float]]) -> pa.Table:
+    return pa.table({"a": pa.array([keys[x] for x, _, _ in pairs], pa.binary()), "b": pa.array([keys[y] for _, y, _ in pairs], pa.binary()),
+                     "similarity": pa.array([similarity for _, _, similarity in pairs], pa.float64())})
 
 
 def _grouped(groups: DataFrame, by: list[str], shared, threshold: float) -> DataFrame:
-    """Spanning links of every bounded group of `key`, `text`, `hub`; rows without `b` say whether a key is `settled`.
+    """Spanning links between the texts of every bounded group that share a bucket."""
+    def run(t: pa.Table) -> pa.Table:
+        t = t.take(pc.sort_indices(t["key"]))
+        buckets, (texts, dfs) = _buckets(t), _bodies(t["text"])
 
-    A text is settled if it is a hub or is joined with one.
+        def apart(x: int, others: np.ndarray) -> np.ndarray:
+            return (buckets[others] == buckets[x]).any(axis=1)
+
+        return _as_links(t["key"].to_pylist(), spanning(texts, shared.value, threshold, apart=apart, dfs=dfs)[0])
+
+    return groups.select(*by, "key", "text", "buckets").groupBy(*by).applyInArrow(run, _LINK)
+
+
+def _sized(texts: DataFrame) -> DataFrame:
+    """`texts` with the `size` of their group `root`: what counts is the number of chunks, so long texts count as several."""
+    sized = texts.groupBy("root").agg(F.count("*").alias("n"), F.sum(F.octet_length("text.text")).alias("bytes"))
+    return texts.join(sized.select("root", F.greatest("n", F.ceil(F.col("bytes") * (FAMILY / FAMILY_BYTES))).cast("long").alias("size")), "root")
+
+
+def leading(texts: DataFrame, shared, threshold: float) -> DataFrame:
+    """`key` and `shingle`: the rarest shingles of each text, without which the rest weighs less than the threshold asks.
+
+    Two texts whose similarity reaches the threshold share one of them: let s be the rarest shingle that both have (ties by
+    hash). All they share weighs at most as much as s and what follows it in either text, and at least the threshold
+    times the text's weight, so s is among the leading ones of both. Shingles of one document alone are left out.
     """
-    def run(t: pa.Table) -> pa.Table:
-        order = pc.sort_indices(t["key"])
-        keys, hubs = (t[c].take(order).to_pylist() for c in ("key", "hub"))
-        texts, dfs = _bodies(t["text"].take(order))
-        found, part = spanning(texts, shared.value, threshold, dfs=dfs)
-        led = {part[i] for i, is_hub in enumerate(hubs) if is_hub}
-        a = [keys[x] for x, _, _ in found] + keys
-        b = [keys[y] for _, y, _ in found] + [None] * len(keys)
-        sims = [sim for _, _, sim in found] + [None] * len(keys)
-        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary()), "similarity": pa.array(sims, pa.float64()),
-                         "settled": pa.array([None] * len(found) + [p in led for p in part], pa.bool_())})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        for t in blocks(batches, limit=BLOCK):
+            h, doc, times, _ = counted(*shingles(t["text"].to_pylist()))
+            dfs = t["dfs"].to_pylist()
+            df = own.df_of(h) if None in dfs else np.frombuffer(b"".join(dfs), np.uint32)
+            order = np.lexsort((h, df, doc))
+            upto = np.concatenate([[0.0], np.cumsum(own.weigh(df, times)[order])])
+            bound = upto[np.searchsorted(doc, np.arange(len(t) + 1))]
+            # What a shingle and those after it weigh, against the whole text.
+            keep = bound[doc + 1] - upto[:-1] >= (threshold - 1e-6) * (bound[doc + 1] - bound[doc])
+            if None not in dfs:
+                keep &= df[order] > 1
+            yield pa.RecordBatch.from_arrays([t["key"].take(pa.array(doc[keep])).combine_chunks(), pa.array(h[order][keep].view(np.int64))], ["key", "shingle"])
+
+    return texts.select("key", "text.text", "text.dfs").mapInArrow(run, "key binary, shingle long")
 
-    return groups.select(*by, "key", "text", "hub").groupBy(*by).applyInArrow(run, _LINK)
+
+def _families(edges: DataFrame) -> DataFrame:
+    """`node` and `root` of all texts that are linked by `key` and `least`."""
+    family = components(edges, "key", "least")
+    return family.union(family.select(F.col("root").alias("node"), "root").distinct())
+
+
+def _stars(entries: DataFrame, by: str) -> DataFrame:
+    """Each `key` with the smallest one that it shares a value of `by` with."""
+    sizes = entries.groupBy(by).agg(F.count("*").alias("n"), F.min("key").alias("least")).filter("n > 1")
+    return entries.select(by, "key").join(sizes, by).filter("key <> least").select("key", "least").distinct()
 
 
 def links(rows: DataFrame, keys: DataFrame, own: Weights, threshold: float = THRESHOLD) -> DataFrame | None:
     """Links (`a`, `b`, `similarity`) that join near texts as classes; None if no two texts share a bucket.
 
     `rows`: `key` and `text` of all documents; `keys`: the distinct keys with their `buckets` and `dfs`, the document
-    frequencies of their distinct shingles, packed; where these are not given they are looked up in `own`. Texts that share
-    buckets, directly or through others, are a family. Within a family of up to `FAMILY` texts every pair is
-    compared. A larger one is dealt into random chunks that all hold the same hubs: pairs are compared within a
-    chunk, texts joined with a hub are settled, and the rest go to another round with other hubs, until they fit
-    one chunk. Then all pairs that share a bucket and still lie in different classes are compared, chunk by chunk.
+    frequencies of their distinct shingles, packed; where these are not given they are looked up in `own`. Pairs are near
+    if they share a bucket and reach the threshold. Texts that share buckets, directly or through others, are a family,
+    and a family of up to `FAMILY` texts meets in one task. A larger one, as of texts that share a passage, falls into
+    those that share `leading` shingles, which loses no near pair. What is still larger is dealt once into random chunks
+    that all hold the same hubs, which joins most of a group of near copies; then all pairs that share a bucket and
+    still lie in different classes are compared, chunk by chunk.
     """
     shared = rows.sparkSession.sparkContext.broadcast(own)
     entries = keys.select("key", F.explode("buckets").alias("bucket"))
-    sizes = entries.groupBy("bucket").agg(F.count("*").alias("n"), F.min("key").alias("least")).filter("n > 1")
-    entries = stored(entries.join(sizes, "bucket"), "buckets")
-    stars = entries.filter("key <> least").select("key", "least").distinct()
+    entries = stored(entries.join(entries.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"), "bucket"), "buckets")
+    stars = _stars(entries, "bucket")
     if stars.isEmpty():
         return None
-    family = components(stars, "key", "least")
-    family = family.union(family.select(F.col("root").alias("node"), "root").distinct())
     # The same plan at every size: the texts are shuffled once, by key. A text with copies comes once for each; any will do.
-    given = keys.select("key", "dfs" if "dfs" in keys.columns else F.lit(None).cast("binary").alias("dfs"))
-    family = family.join(given, F.col("key") == F.col("node")).drop("key")
-    texts = rows.join(family.hint("merge"), F.col("key") == F.col("node")).select("key", "root", F.struct("text", "dfs").alias("text"))
-    texts = stored(texts.dropDuplicates(["key"]), "member-texts")
-    sized = texts.groupBy("root").agg(F.count("*").alias("size"), F.sum(F.octet_length("text.text")).alias("bytes"))
-    # What counts is the number of chunks; a family of long texts gets as many as its bytes need.
-    sized = sized.select("root", F.greatest("size", F.ceil(F.col("bytes") * (FAMILY / FAMILY_BYTES))).cast("long").alias("size"))
-    texts = texts.join(sized, "root")
-    small = texts.filter(F.col("size") <= FAMILY).withColumn("hub", F.lit(False))
-    found = [stored(_grouped(small, ["root"], shared, threshold).filter("b IS NOT NULL"), "family-links")]
-    left, turn = texts.filter(F.col("size") > FAMILY).select("root", "key", "size", "text"), 0
-    if not left.isEmpty():
-        large = left.select("key", "root")
-        central = stored(entries.join(large, "key").groupBy("root", "key").agg(F.sum("n").alias("score")), "scores")
-        left = left.join(central.select("key", "score"), "key")
-        while True:
-            hubs = left.groupBy("root").agg(F.max(F.struct("score", "key")).alias("top"))
-            lot = F.pmod(F.xxhash64("key", F.lit(turn)), F.ceil(F.col("size") / HUBS))
-            named = stored(left.join(hubs, "root").filter((F.col("key") == F.col("top.key")) | (lot == 0))
-                                .select("root", "key", "text", "size"), "hubs")
-            chunks = F.greatest(F.lit(1), F.ceil(F.col("size") * 2 / FAMILY)).cast("long")
-            rest = left.join(named.select(F.col("key").alias("h")), F.col("key") == F.col("h"), "left_anti")
-            dealt = rest.select("root", "key", "text", F.pmod(F.xxhash64("key", F.lit(turn + 1)), chunks).alias("chunk"), F.lit(False).alias("hub"))
-            everywhere = named.select("root", "key", "text", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)).alias("chunk"), F.lit(True).alias("hub"))
-            done = stored(_grouped(dealt.union(everywhere), ["root", "chunk"], shared, threshold), "chunk-links")
-            found.append(done.filter("b IS NOT NULL").distinct())
-            # All members but the settled ones go on; what fitted one chunk was compared in full.
-            open_ = done.filter("b IS NULL AND NOT settled").select(F.col("a").alias("o"))
-            again = rest.filter(chunks > 1).join(open_, F.col("key") == F.col("o"), "left_semi")
-            counts = again.groupBy("root").agg(F.count("*").alias("size"))
-            left = stored(again.drop("size").join(counts, "root").select("root", "key", "size", "text", "score"), "unsettled")
-            turn += 2
-            if left.isEmpty():
-                break
-        found.append(_crossed(keys, entries, large, texts, found, shared, threshold))
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out.select("a", "b", "similarity").distinct()
-
-
-def _crossed(keys: DataFrame, entries: DataFrame, large: DataFrame, texts: DataFrame, found: list[DataFrame], shared, threshold: float) -> DataFrame:
-    """Links between classes of large families: all pairs that share a bucket and lie in different classes.
-
-    The members of a bucket are dealt into chunks, and a task compares one chunk with one other, or with itself. A pair
-    is compared only in the first bucket that it shares.
+    given = keys.select("key", "buckets", "dfs" if "dfs" in keys.columns else F.lit(None).cast("binary").alias("dfs"))
+    family = _families(stars).join(given, F.col("key") == F.col("node")).drop("key")
+    texts = rows.join(family.hint("merge"), F.col("key") == F.col("node")).select("key", "root", F.struct("text", "dfs").alias("text"), "buckets")
+    texts = _sized(stored(texts.dropDuplicates(["key"]), "member-texts"))
+    found = stored(_grouped(texts.filter(F.col("size") <= FAMILY), ["root"], shared, threshold), "family-links")
+    large = texts.filter(F.col("size") > FAMILY).drop("size")
+    if large.isEmpty():
+        return found
+    large = large.drop("root")
+    tied = _families(_stars(stored(leading(large, shared, threshold), "leading"), "shingle"))
+    large = _sized(stored(large.join(tied, F.col("key") == F.col("node")).drop("node"), "large-texts"))
+    found = found.union(stored(_grouped(large.filter(F.col("size") <= FAMILY), ["root"], shared, threshold), "tied-links"))
+    large = large.filter(F.col("size") > FAMILY)
+    if large.isEmpty():
+        return found
+    is_hub = F.pmod(F.xxhash64("key"), F.ceil(F.col("size") / HUBS)) == 0
+    chunks = F.ceil(F.col("size") * 2 / FAMILY).cast("long")
+    dealt = F.when(is_hub, F.sequence(F.lit(0).cast("long"), chunks - 1)).otherwise(F.array(F.pmod(F.xxhash64("key", F.lit(1)), chunks)))
+    dealt = large.withColumn("chunk", F.explode(dealt))
+    joined = stored(_grouped(dealt, ["root", "chunk"], shared, threshold).distinct(), "chunk-links")
+    return found.union(joined).union(_crossed(entries, large, joined, shared, threshold))
+
+
+def _crossed(entries: DataFrame, large: DataFrame, joined: DataFrame, shared, threshold: float) -> DataFrame:
+    """Links between classes of large groups: all pairs that share a bucket and lie in different classes.
+
+    The members of a bucket are dealt into chunks, those of its largest class into chunks of their own, which
+    meet all others but not each other. A task compares one chunk with one other, or with itself. A pair is compared
+    only in the first bucket that it shares.
     """
-    edges = found[0].select("a", "b")
-    for more in found[1:]:
-        edges = edges.union(more.select("a", "b"))
-    roots = components(edges.join(large, F.col("a") == F.col("key"), "left_semi"), "a", "b")
-    part = large.select("key").join(roots, F.col("key") == F.col("node"), "left").select("key", F.coalesce("root", "key").alias("part"))
-    part = stored(part.join(texts.select("key", F.octet_length("text.text").alias("bytes")), "key"), "large-parts")
+    roots = components(joined, "a", "b").withColumnRenamed("root", "part")
+    part = large.select("key", F.octet_length("text.text").alias("bytes")).join(roots, F.col("key") == F.col("node"), "left")
+    part = stored(part.select("key", "bytes", F.coalesce("part", "key").alias("part")), "large-parts")
     part = entries.select("bucket", "key").join(part, "key")
-    mixed = part.groupBy("bucket").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"), F.min("part").alias("low"), F.max("part").alias("high"))
-    chunks = F.greatest(F.lit(1), F.ceil(F.col("n") * 2 / FAMILY), F.ceil(F.col("bytes") * 2 / FAMILY_BYTES)).cast("long")
-    mixed = mixed.filter("low <> high").select("bucket", chunks.alias("chunks"))
-    dealt = part.drop("bytes").join(mixed, "bucket").withColumn("own", F.pmod(F.xxhash64("key"), F.col("chunks")))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
-    dealt = dealt.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "key", "part")
-    tiles = dealt.join(texts.select("key", "text"), "key").join(keys.select("key", "buckets"), "key")
+    classes = part.groupBy("bucket", "part").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+    largest = F.max(F.struct("n", "bytes", "part"))
+    mixed = classes.groupBy("bucket").agg(F.count("*").alias("kinds"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), largest.alias("most")).filter("kinds > 1")
+
+    def chunks(n, size):
+        return F.greatest(F.lit(1), F.ceil(n * 2 / FAMILY), F.ceil(size * 2 / FAMILY_BYTES)).cast("long")
+
+    n, size, most = F.col("n"), F.col("bytes"), F.col("most")
+    mixed = stored(mixed.select("bucket", most["part"].alias("most"), chunks(most["n"], most["bytes"]).alias("main"),
+                                chunks(n - most["n"], size - most["bytes"]).alias("more")), "mixed")
+    here = part.drop("bytes").join(mixed, "bucket").withColumn("in_main", F.col("part") == F.col("most"))
+    turn = F.xxhash64("key", F.lit(2))
+    here = here.withColumn("own", F.when(F.col("in_main"), F.pmod(turn, "main")).otherwise(F.col("main") + F.pmod(turn, "more")))
+    here = here.withColumn("other", F.explode(F.sequence(F.when(F.col("in_main"), F.col("main")).otherwise(F.lit(0).cast("long")), F.col("main") + F.col("more") - 1)))
+    here = here.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "key", "part")
+    tiles = here.join(large.select("key", "text", "buckets"), "key")
 
     def run(t: pa.Table) -> pa.Table:
         t = t.take(pc.sort_indices(t["key"]))
-        names, first = t["part"].to_pylist(), {}
-        part = [first.setdefault(p, x) for x, p in enumerate(names)]
-        bucket, own = t["bucket"][0].as_py(), t["own"].to_numpy()
-        buckets = t["buckets"].combine_chunks().flatten().to_numpy().reshape(len(names), -1)
+        first: dict[bytes, int] = {}
+        part = [first.setdefault(p, x) for x, p in enumerate(t["part"].to_pylist())]
+        bucket, own, buckets = t["bucket"][0].as_py(), t["own"].to_numpy(), _buckets(t)
         two_sided = t["i"][0].as_py() != t["j"][0].as_py()
 
         def apart(x: int, others: np.ndarray) -> np.ndarray:
             alike = buckets[others] == buckets[x]
-            here = buckets[x][alike.argmax(axis=1)] == bucket
-            return here & (own[others] != own[x]) if two_sided else here
+            at = buckets[x][alike.argmax(axis=1)] == bucket
+            return at & (own[others] != own[x]) if two_sided else at
 
         texts, dfs = _bodies(t["text"])
-        got = spanning(texts, shared.value, threshold, part, apart, dfs)[0] if len(first) > 1 else []
-        key = t["key"].to_pylist()
-        return pa.table({"a": pa.array([key[x] for x, _, _ in got], pa.binary()), "b": pa.array([key[y] for _, y, _ in got], pa.binary()),
-                         "similarity": pa.array([sim for _, _, sim in got], pa.float64()), "settled": pa.nulls(len(got), pa.bool_())})
+        return _as_links(t["key"].to_pylist(), spanning(texts, shared.value, threshold, part, apart, dfs)[0] if len(first) > 1 else [])
 
-    return stored(tiles.groupBy("bucket", "i", "j").applyInArrow(run, _LINK), "crossed")
+    return stored(tiles.groupBy("bucket", "i", "j").applyInArrow(run, _LINK).distinct(), "crossed")
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
@@ -486,9 +570,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_col: str =
     kind = rows.schema["doc_id"].dataType.simpleString()
     # Stored, so that a block is the same rows each time.
     blocked = stored(rows.mapInArrow(_numbered, f"doc_id {kind}, text string, key binary, block long"), "blocks")
-    total, size = blocked.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    total, parts = blocked.groupBy("block").agg(F.count("*").alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     own = Weights(np.empty(0, np.uint64), np.empty(0), total)
-    heavy = stored(frequencies(blocked, max(RANGES, -(-size // RANGE_BYTES))), "frequencies")
+    heavy = stored(frequencies(blocked, parts), "frequencies")
 
     def run(t: pa.Table, found: pa.Table) -> pa.Table:
         known = _unpacked(found, total)

@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from arearisk.llm import exactdup, neardup, shards
 
@@ -131,6 +132,79 @@ def test_chain_in_a_large_family(spark, monkeypatch):
     assert {len(p) for p in part.values()} == {len(rows)}
 
 
+@pytest.mark.parametrize(("radix", "rounds"), [(256, 1), (6, 2), (3, 3)])
+def test_frequencies_by_rounds(docs, monkeypatch, radix, rounds):
+    """Every block gets the exact frequencies of its shingles, whatever the number of rounds."""
+    monkeypatch.setattr(neardup, "RADIX", radix)
+    rows = docs.selectExpr("coalesce(text, '') AS text").repartition(20)
+    blocked = rows.withColumn("block", F.pmod(F.xxhash64("text"), F.lit(20))).repartition(5, "block")
+    assert neardup.rounds_of(20)[0] == rounds
+    own = neardup.weights(rows)
+    want = {}
+    for b in {r["block"] for r in blocked.collect()}:
+        h, _ = neardup._df_of_block([r["text"] for r in blocked.filter(F.col("block") == b).collect()])
+        df = own.df_of(h)
+        want[b] = dict(zip(h[df > 1].tolist(), df[df > 1].tolist()))
+    got = defaultdict(dict)
+    for r in neardup.frequencies(blocked, 20).collect():
+        h, df = np.frombuffer(r["hashes"], np.uint64).tolist(), np.frombuffer(r["df"], np.uint32).tolist()
+        assert not got[r["block"]].keys() & set(h)
+        got[r["block"]].update(zip(h, df))
+    assert got == want
+
+
+@pytest.mark.parametrize("family", [4096, 3])
+def test_one_rule_at_every_size(spark, monkeypatch, family):
+    """Near texts without a common bucket are not linked, in a small group or a large one; those with one are."""
+    monkeypatch.setattr(neardup, "FAMILY", family)
+    base = [f"w{i}" for i in range(200)]
+    texts = [" ".join([*base, f"x{k}"]) for k in range(6)]
+    buckets = [[1, 10], [1, 11], [2, 11], [2, 12], [3, 14], [3, 15]]
+    keys = [hashlib.md5(t.encode()).digest() for t in texts]
+    table = spark.createDataFrame([(bytearray(k), t, b) for k, t, b in zip(keys, texts, buckets)], "key binary, text string, buckets array<long>")
+    got = neardup.links(table.select("key", "text"), table.select("key", "buckets"), neardup.Weights(np.empty(0, np.uint64), np.empty(0), 6))
+    pairs = {frozenset((keys.index(bytes(r["a"])), keys.index(bytes(r["b"])))) for r in got.collect()}
+    assert pairs == {frozenset(p) for p in [(0, 1), (1, 2), (2, 3), (4, 5)]}
+
+
+def test_unrelated_texts_with_one_passage(spark, monkeypatch):
+    """A family that shares buckets and a passage only falls apart by its leading shingles; near pairs in it are found."""
+    monkeypatch.setattr(neardup, "FAMILY", 8)
+    passage = " ".join(f"p{i}" for i in range(120))
+    texts = [passage + " " + " ".join(f"o{k}a{i}" for i in range(60)) for k in range(80)]
+    texts += [texts[k] + " end" for k in range(0, 80, 9)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    sizes = Counter(r["class_size"] for r in neardup.near_duplicates(df).collect())
+    assert sizes == {1: 71, 2: 18}
+    keys = df.select(F.unhex(F.md5(F.col("text").cast("binary"))).alias("key"), F.array(F.lit(5).cast("long")).alias("buckets"))
+    rows = df.select(F.unhex(F.md5(F.col("text").cast("binary"))).alias("key"), "text")
+    assert neardup.links(rows, keys, neardup.weights(df)).count() == 9
+
+
+def test_near_texts_share_a_leading_shingle(spark):
+    """No pair of texts at the threshold or above is without a common leading shingle."""
+    rng = np.random.default_rng(3)
+    base = [[f"{c}{i}" for i in range(80)] for c in "abc"]
+    texts = [" ".join(w if rng.random() > 0.02 else f"n{rng.integers(40)}" for w in base[k % 3]) for k in range(60)]
+    df = spark.createDataFrame([(bytearray(hashlib.md5(t.encode()).digest()), t) for t in texts], "key binary, text string")
+    own = neardup.weights(df)
+    shared = spark.sparkContext.broadcast(own)
+    leads = defaultdict(set)
+    for r in neardup.leading(df.select("key", F.struct("text", F.lit(None).cast("binary").alias("dfs")).alias("text")), shared, 0.8).collect():
+        leads[bytes(r["key"])].add(r["shingle"])
+    weights = [Counter(zip(*[t.split()[i:] for i in range(5)])) for t in texts]
+    frequency = Counter(x for w in weights for x in w)
+    near = 0
+    for i, a in enumerate(weights):
+        for j, b in enumerate(weights[:i]):
+            idf = {x: np.log(61 / (frequency[x] + 1)) + 1 for x in a | b}
+            both, either = sum(idf[x] * n for x, n in (a & b).items()), sum(idf[x] * n for x, n in (a | b).items())
+            if both >= 0.8 * either:
+                near += 1
+                assert leads[hashlib.md5(texts[i].encode()).digest()] & leads[hashlib.md5(texts[j].encode()).digest()]
+    assert near > 10
+
+
 def test_samples_agree_as_often_as_the_similarity_says():
     rng = np.random.default_rng(5)
     base = [f"w{i}" for i in range(300)]
