@@ -37,7 +37,7 @@ _UPPER = bytes(range(65, 91))
 _MARKS = b"!?;:,."
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-SHARES = ["symbols", "capitals", "marks", "repeats", "word_length"]
+SHARES = ["symbols", "capitals", "marks", "repeats", "word_length", "dup_lines"]
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -69,7 +69,8 @@ def statistics(text: bytes) -> tuple:
 
     symbols = n_bytes - len(text.translate(None, SYMBOLS))
     return (n, chars, symbols, n_dup, n_repeat,
-            symbols / max(chars, 1), share(_UPPER), share(_MARKS), n_repeat / max(n, 1), min(chars / max(n, 1), 40.0))
+            symbols / max(chars, 1), share(_UPPER), share(_MARKS), n_repeat / max(n, 1), min(chars / max(n, 1), 40.0),
+            n_dup / max(len(lines), 1))
 
 
 _CONTINUED = bytes(range(0x80, 0xC0))

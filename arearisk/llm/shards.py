@@ -24,6 +24,9 @@ from arearisk.scratch import materialize
 #: Text bytes of a bucket on average.
 BUCKET_BYTES = 32 << 20
 
+#: Equal rows that one task writes out in a stretch.
+STRETCH = 10_000
+
 
 def _order(t: pa.Table, seed: int) -> np.ndarray:
     """Fisher-Yates order of a bucket's rows, whatever order they arrived in."""
@@ -35,20 +38,38 @@ def _order(t: pa.Table, seed: int) -> np.ndarray:
     return order
 
 
+def numbered_copies(whole: DataFrame, seed: int) -> DataFrame:
+    """`row`, the seeded `_hash` of it and `_number`, 0 unless several rows have that hash: then equal rows count from 0.
+
+    Hashes that occur more than once are found first; only their rows are grouped, each kind being counted where
+    it lies and unfolded again after the sum, so the numbers do not depend on the order of the rows.
+    """
+    hashed = whole.withColumn("_hash", F.xxhash64(F.lit(seed), "row"))
+    often = materialize(hashed.groupBy("_hash").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("_hash").alias("_often")), "often")
+    alone = hashed.join(often, F.col("_hash") == F.col("_often"), "left_anti").withColumn("_number", F.lit(0).cast("long"))
+    kinds = hashed.join(often, F.col("_hash") == F.col("_often"), "left_semi").groupBy("_hash", "row").agg(F.count("*").alias("n"))
+    # A kind of very many rows is unfolded in stretches that lie in different tasks.
+    stretches = kinds.withColumn("_first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(STRETCH).cast("long"))))
+    stretches = stretches.repartition("_hash", "_first")
+    copies = stretches.select("row", "_hash", F.explode(F.sequence("_first", F.least(F.col("_first") + STRETCH, F.col("n")) - 1)).alias("_number"))
+    return alone.unionByName(copies)
+
+
 def external_shuffle(docs: DataFrame, seed: int = 42, bucket_bytes: int = BUCKET_BYTES, id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
     """All rows in a seeded random order, stored: `row` (the whole row as a struct), `doc_id`, `text`, `bucket`, `place`.
 
     The order is the same for the same rows, seed and number of buckets, however the input is split. NULL ids and
-    texts are scattered like any value; rows equal in id and text share a bucket, in no set order; an empty table gives an empty result. The input's
-    columns stay inside `row`, so their names cannot clash.
+    texts are scattered like any value. Rows equal in all columns are numbered and scattered by their number too, so
+    no key fills a bucket; an empty table gives an empty result. The input's columns stay inside `row`, so their
+    names cannot clash.
     """
     whole = docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("row"))
     own_id, own_text = F.col("row").getField(id_col), F.col("row").getField(text_col)
     size = whole.agg(F.sum(F.coalesce(F.octet_length(own_text), F.lit(0)).cast("long") + 16).alias("n")).first()["n"] or 0
     buckets = max(1, -(-size // bucket_bytes))
-    mixed = F.xxhash64(F.lit(seed), own_id, own_text)
-    scattered = whole.withColumn("_hash", mixed).withColumn("_bucket", F.pmod(F.xxhash64(F.lit(seed + 1), "_hash"), F.lit(buckets)))
+    scattered = numbered_copies(whole, seed).withColumn("_hash", F.xxhash64("_hash", "_number"))
+    scattered = scattered.select("row", "_hash", F.pmod(F.xxhash64(F.lit(seed + 1), "_hash"), F.lit(buckets)).alias("_bucket"))
 
     def shuffle(t: pa.Table) -> pa.Table:
         t = t.take(pa.array(_order(t, seed))).drop_columns(["_hash"])

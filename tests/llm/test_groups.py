@@ -248,6 +248,18 @@ def test_order_depends_on_the_seed_alone(docs):
     assert order(docs, 1) == order(docs.repartition(7), 1) != order(docs, 2)
 
 
+def test_equal_rows_are_scattered(spark, monkeypatch):
+    """A row that occurs thousands of times fills no bucket, and its copies lie the same however the input is split."""
+    monkeypatch.setattr(shards, "STRETCH", 70)
+    rows = [(None, "", 1)] * 3000 + [(k, f"text {k}", k % 2) for k in range(500)] + [(3, "text 3", 1)] * 2 + [(None, "", None)] * 5
+    df = spark.createDataFrame(rows, "doc_id long, text string, more int")
+    # A row counts 16 bytes and its text.
+    got = [shards.external_shuffle(d, bucket_bytes=3000).collect() for d in (df.repartition(3), df.repartition(11))]
+    assert Counter(map(str, [tuple(r["row"]) for r in got[0]])) == Counter(map(str, rows))
+    assert max(Counter(r["bucket"] for r in got[0]).values()) < 300
+    assert sorted(map(str, got[0])) == sorted(map(str, got[1]))
+
+
 def test_written_shards(docs, spark, tmp_path):
     done = shards.shards(shards.external_shuffle(docs), 4)
     shards.write_shards(done, str(tmp_path / "out"))

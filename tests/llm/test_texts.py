@@ -116,6 +116,50 @@ def test_toxicity_on_held_out_rows(docs, labels, sf):
     assert auc > 0.93
 
 
+def test_paths_of_the_forest_against_counting():
+    """A row's path is the depth of its leaf and the mean path of as many rows as the tree's sample has there."""
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(200, 3)).round(1)
+    x[:40] = x[0]
+    forest = quality.grow(x, trees=5, rows=20, seed=9)
+    order = np.random.default_rng(9).permutation(len(x))
+
+    def leaf(t, row):
+        node, depth = 0, 0
+        while forest.feature[t, node] >= 0:
+            node, depth = 2 * node + (2 if row[forest.feature[t, node]] >= forest.place[t, node] else 1), depth + 1
+        return node, depth
+
+    def usual(n):
+        return 0 if n < 2 else 1 if n == 2 else 2 * (np.log(n - 1) + np.euler_gamma) - 2 * (n - 1) / n
+
+    want = []
+    for row in x:
+        paths = []
+        for t in range(5):
+            node, depth = leaf(t, row)
+            paths.append(depth + usual(sum(leaf(t, x[i])[0] == node for i in order[20 * t:20 * t + 20])))
+        want.append(2 ** (-np.mean(paths) / usual(20)))
+    assert np.allclose(forest.score(x), want)
+
+
+def test_repeated_lines_are_anomalous(spark):
+    """Short lines that repeat between differing ones have no repeated window; their share of the lines tells."""
+    rng = np.random.default_rng(2)
+    words = [f"word{i}" for i in range(5000)]
+
+    def prose(lines):
+        return [" ".join(rng.choice(words, 9)) for _ in range(lines)]
+
+    texts = ["\n".join(prose(12)) for _ in range(300)]
+    texts += ["\n".join(x for line in prose(12) for x in (line, ("More", "Share")[i % 2])) for i in range(12)]
+    rows = [(i, t, int(i < 300)) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    got = {r["doc_id"]: r for r in quality.judge_quality(df, df).collect()}
+    assert all(got[i]["n_repeat_words"] == 0 and got[i]["n_dup_lines"] == 11 and not got[i]["kept"] for i in range(300, 312))
+    assert sum(not got[i]["kept"] for i in range(300)) <= 3
+
+
 def test_model_probabilities_add_up():
     words = ["abc", "abd", "bcd", "aab"]
     model = toxicity.fit(words, np.array([[5, 0], [1, 2], [0, 7], [2, 2]]))
