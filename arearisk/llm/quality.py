@@ -33,6 +33,9 @@ SYMBOLS = b"#*$%&|<>"
 LEAST_WORDS = 50
 MOST_REPEATED = 0.5
 
+#: Share of repeated lines that the published quality rules for web text allow; what is over it is a statistic of the trees.
+MOST_DUP_LINES = 0.3
+
 _UPPER = bytes(range(65, 91))
 _MARKS = b"!?;:,."
 
@@ -70,7 +73,7 @@ def statistics(text: bytes) -> tuple:
     symbols = n_bytes - len(text.translate(None, SYMBOLS))
     return (n, chars, symbols, n_dup, n_repeat,
             symbols / max(chars, 1), share(_UPPER), share(_MARKS), n_repeat / max(n, 1), min(chars / max(n, 1), 40.0),
-            n_dup / max(len(lines), 1))
+            max(n_dup / max(len(lines), 1) - MOST_DUP_LINES, 0.0))
 
 
 _CONTINUED = bytes(range(0x80, 0xC0))
